@@ -53,6 +53,8 @@ def read_positional(
     lines = (
         spark.read.schema(schema)
         .option("mode", "PERMISSIVE")
+        # A pruned parse does not see how many fields a line has.
+        .option("columnPruning", False)
         .option("columnNameOfCorruptRecord", "_bad_line")
         .csv(path)
     )
