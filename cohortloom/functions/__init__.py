@@ -1,8 +1,8 @@
-"""Column expressions. All of them stay JVM-side."""
+"""Column expressions and small projections. All of them stay JVM-side."""
 
 from cohortloom.functions.bands import age_band, bucket, bucket_tests, decode, encode_label
-from cohortloom.functions.hashing import order_hash, row_key, signature
-from cohortloom.functions.numbers import integer, missing, numeric
+from cohortloom.functions.hashing import order_hash, row_key, signature, with_signature
+from cohortloom.functions.numbers import inside, is_text, missing, parse, with_numbers, with_whole
 from cohortloom.functions.text import clean_label, is_blank, match_label, strip, title
 
 __all__ = [
@@ -12,14 +12,18 @@ __all__ = [
     "clean_label",
     "decode",
     "encode_label",
-    "integer",
+    "inside",
     "is_blank",
+    "is_text",
     "match_label",
     "missing",
-    "numeric",
     "order_hash",
+    "parse",
     "row_key",
     "signature",
     "strip",
     "title",
+    "with_numbers",
+    "with_signature",
+    "with_whole",
 ]

@@ -7,22 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions.numbers import integer
+from cohortloom.functions.numbers import with_whole
 
 
-def signature(df: DataFrame, features: Sequence[str]) -> Column:
-    """SHA-256 of the ordered whole-number features joined by '|'.
+def signature(columns: Sequence[str]) -> Column:
+    """SHA-256 of the ordered whole-number columns joined by '|'.
 
     `concat` (not `concat_ws`) makes the result null as soon as one feature is
     missing, so two rows that miss different features can never collide.
     """
     parts = []
-    for name in features:
-        parts += [F.lit("|"), integer(df, name).cast("string")]
+    for name in columns:
+        parts += [F.lit("|"), F.col(name).cast("string")]
     return F.sha2(F.concat(*parts[1:]), 256)
 
 
-def row_key(df: DataFrame, columns: Sequence[str]) -> Column:
+def with_signature(df: DataFrame, features: Sequence[str], name: str = "feature_signature") -> DataFrame:
+    """Add the signature of the features, whatever type they are stored in."""
+    whole = [f"_whole_{feature}" for feature in features]
+    return with_whole(df, features, "_whole_").withColumn(name, signature(whole)).drop(*whole)
+
+
+def row_key(columns: Sequence[str]) -> Column:
     """32-byte digest of the stored values, nulls told apart from every text.
 
     Each value carries its length, so no two different rows join to one text.

@@ -1,44 +1,68 @@
 """Lenient numbers: whatever does not parse is null, and nothing raises.
 
-A column that is already integral passes through untouched, so sums over it
-stay exact and no parsing is paid for. NaN and the infinities count as missing.
+These work on frames, not on columns: each step is a projection of its own, so a
+cell is parsed once however often its number is used above. A column that is
+already integral passes through untouched, so sums over it stay exact and no
+parsing is paid for. NaN and the infinities count as missing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.functions.text import is_blank, strip
 
-# Spark's own cast would also take '7d' and '7f'.
-_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-
-
-def numeric(df: DataFrame, name: str) -> Column:
-    dtype = df.schema[name].dataType
-    col = F.col(name)
-    if isinstance(dtype, T.IntegralType):
-        return col
-    if isinstance(dtype, T.StringType):
-        text = strip(col)
-        col = F.when(text.rlike(_NUMBER), text.try_cast("double"))
-    else:
-        col = col.cast("double")
-    # NaN orders above infinity in Spark, so one comparison drops both.
-    return F.when(F.abs(col) < float("inf"), col)
-
-
-def integer(df: DataFrame, name: str) -> Column:
-    """Through double to a whole number, truncating toward zero."""
-    return numeric(df, name).try_cast("bigint")
+# Spark's cast also takes '7d', '7f' and hexadecimal; a letter it does not know
+# in their place makes it refuse them.
+_REFUSED = "dDfFxX"
 
 
 def is_text(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, T.StringType)
 
 
+def is_whole(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, T.IntegralType)
+
+
 def missing(df: DataFrame, name: str) -> Column:
     """Null, or blank where the column is text."""
     return is_blank(F.col(name)) if is_text(df, name) else F.col(name).isNull()
+
+
+def parse(df: DataFrame, name: str) -> Column:
+    """The cell as a number, NaN and the infinities still in; names the cell once."""
+    if is_text(df, name):
+        return F.translate(strip(F.col(name)), _REFUSED, "?" * len(_REFUSED)).try_cast("double")
+    return F.col(name) if is_whole(df, name) else F.col(name).cast("double")
+
+
+def inside(value: Column, low: float, high: float) -> Column:
+    """Whether a number is within the closed range; null, NaN and infinity are not.
+
+    Distance to the middle instead of two comparisons: the value is named once,
+    so a filter pushed below a projection does not parse the cell twice.
+    """
+    return F.coalesce(F.abs(value - (low + high) / 2) <= (high - low) / 2, F.lit(False))
+
+
+def with_numbers(df: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFrame:
+    """Add `<prefix><column>` as a number; without a prefix, in place."""
+
+    parsed = df.withColumns({f"{prefix}{name}": parse(df, name) for name in columns})
+    # NaN orders above infinity in Spark, so one comparison drops both.
+    doubtful = [f"{prefix}{name}" for name in columns if not is_whole(df, name)]
+    if not doubtful:
+        return parsed
+    return parsed.withColumns({name: F.when(F.abs(F.col(name)) < float("inf"), F.col(name)) for name in doubtful})
+
+
+def with_whole(df: DataFrame, columns: Sequence[str], prefix: str = "") -> DataFrame:
+    """Add `<prefix><column>` as a whole number, truncated toward zero."""
+    numbers = with_numbers(df, columns, prefix)
+    doubtful = [f"{prefix}{name}" for name in columns if not is_whole(df, name)]
+    return numbers.withColumns({name: F.col(name).try_cast("bigint") for name in doubtful}) if doubtful else numbers

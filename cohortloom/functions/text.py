@@ -29,11 +29,9 @@ def title(col: Column) -> Column:
 
 def match_label(col: Column, labels: Sequence[str]) -> Column:
     """The declared label this text spells, whatever its case and padding, or null."""
-    folded = F.lower(strip(col))
-    matched = F.when(folded == labels[0].lower(), F.lit(labels[0]))
-    for label in labels[1:]:
-        matched = matched.when(folded == label.lower(), F.lit(label))
-    return matched
+    spellings = F.create_map(*[F.lit(part) for label in labels for part in (label.lower(), label)])
+    # A lookup reads the text once, where a chain of `when` would repeat it.
+    return F.try_element_at(spellings, F.lower(strip(col)))
 
 
 def clean_label(col: Column, labels: Sequence[str]) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,13 +15,15 @@ from cohortloom.functions import (
     age_band,
     clean_label,
     encode_label,
-    integer,
+    inside,
     is_blank,
     match_label,
     missing,
-    numeric,
-    signature,
+    parse,
     strip,
+    with_numbers,
+    with_signature,
+    with_whole,
 )
 from cohortloom.schema import CohortSchema
 
@@ -75,11 +79,11 @@ def clean_text(df: DataFrame, schema: CohortSchema) -> DataFrame:
 
 
 def coerce_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({name: numeric(df, name) for name in columns})
+    return with_numbers(df, columns)
 
 
 def coerce_integer(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({name: integer(df, name).try_cast("int") for name in columns})
+    return with_whole(df, columns).withColumns({name: F.col(name).try_cast("int") for name in columns})
 
 
 def timestamp(moment: datetime) -> Column:
@@ -90,13 +94,13 @@ def timestamp(moment: datetime) -> Column:
 def enrich(df: DataFrame, schema: CohortSchema, version: str, now: datetime) -> DataFrame:
     """Typed row plus band, label code, signature, version and update time."""
     typed = coerce_integer(clean_text(df, schema), schema.features)
-    return typed.select(
+    return with_signature(typed, schema.features).select(
         schema.id,
         *schema.features,
         schema.label,
         age_band(F.col(schema.number), schema).alias(schema.band_name),
         encode_label(F.col(schema.label), schema).alias(f"{schema.label}_encoded"),
-        signature(typed, schema.features).alias("feature_signature"),
+        "feature_signature",
         F.lit(version).alias("dataset_version"),
         timestamp(now).alias("updated_at"),
     )
@@ -120,34 +124,28 @@ def published_frames(df: DataFrame, schema: CohortSchema) -> tuple[DataFrame, Da
 
 
 def rule_violations(df: DataFrame, schema: CohortSchema) -> dict[str, Column]:
-    """Column name -> true where that cell breaks its rule. Missing breaks it."""
+    """Column name -> true where that cell breaks its rule. Missing breaks it.
 
-    def outside(name: str, low: float, high: float) -> Column:
-        return ~F.coalesce(numeric(df, name).between(low, high), F.lit(False))
-
-    rules = {schema.number: outside(schema.number, *schema.number_range)}
-    codes = numeric(df, schema.category).isin(*schema.codes)
-    rules[schema.category] = ~F.coalesce(codes, F.lit(False))
+    Every rule names its cell once, so it can be filtered and counted on without
+    parsing a cell again.
+    """
+    rules = {
+        schema.number: ~inside(parse(df, schema.number), *schema.number_range),
+        schema.category: ~F.coalesce(parse(df, schema.category).isin(*schema.codes), F.lit(False)),
+    }
     for name in schema.ordinals:
-        rules[name] = outside(name, *schema.ordinal_range)
-    rules[schema.label] = match_label(F.col(schema.label), schema.labels).isNull()
+        rules[name] = ~inside(parse(df, name), *schema.ordinal_range)
+    if schema.label in df.columns:
+        rules[schema.label] = match_label(F.col(schema.label), schema.labels).isNull()
     return rules
 
 
-def _row_errors(df: DataFrame, schema: CohortSchema, scoring: bool) -> Column:
-    """Sorted-by-schema list of 'missing:<column>' / 'invalid:<column>' entries."""
-    entries = []
-    if not scoring:
-        entries.append(F.when(is_blank(F.col(schema.id)), f"missing:{schema.id}"))
-    for name, broken in rule_violations(df, schema).items():
-        if scoring and name == schema.label:
-            continue
-        if scoring:
-            # A scored feature has to be whole, not only inside its range.
-            whole = numeric(df, name) == integer(df, name)
-            broken = broken | ~F.coalesce(whole, F.lit(False))
-        entries.append(F.when(missing(df, name), f"missing:{name}").when(broken, f"invalid:{name}"))
-    return F.array_compact(F.array(*entries))
+def _broken_rules(df: DataFrame, schema: CohortSchema, scoring: bool) -> dict[str, Column]:
+    rules = rule_violations(df, schema)
+    if scoring:
+        # A scored feature has to be whole, not only inside its range.
+        return {name: broken | (parse(df, name) % 1 != 0) for name, broken in rules.items()}
+    return {schema.id: is_blank(F.col(schema.id)), **rules}
 
 
 def validate(
@@ -169,7 +167,14 @@ def validate(
         raise ContractError(f"missing columns: {absent}")
     if not scoring and not isinstance(df.schema[schema.id].dataType, T.StringType):
         raise ContractError(f"{schema.id} must be text")
-    marked = df.withColumn("errors", _row_errors(df, schema, scoring))
-    valid = marked.where(F.size("errors") == 0).drop("errors")
-    quarantine = marked.where(F.size("errors") > 0)
-    return valid, quarantine
+    rules = _broken_rules(df, schema, scoring)
+    sound = ~reduce(or_, rules.values())
+    errors = F.array_compact(
+        F.array(
+            *[
+                F.when(missing(df, name), f"missing:{name}").when(broken, f"invalid:{name}")
+                for name, broken in rules.items()
+            ]
+        )
+    )
+    return df.where(sound), df.where(~sound).withColumn("errors", errors)

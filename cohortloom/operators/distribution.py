@@ -11,8 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions import age_band, decode, is_blank, match_label, numeric, strip
-from cohortloom.functions.numbers import is_text
+from cohortloom.functions import age_band, decode, is_text, match_label, strip, with_numbers
 from cohortloom.schema import CohortSchema
 
 
@@ -23,11 +22,12 @@ def label_of(schema: CohortSchema) -> Column:
 
 def dimensions(df: DataFrame, schema: CohortSchema) -> DataFrame:
     """(label, category, band) of every row that has a declared label."""
-    return df.select(
+    labelled = df.where(label_of(schema).isNotNull())
+    return with_numbers(labelled, [schema.number]).select(
         label_of(schema).alias(schema.label),
         strip(F.col(schema.category)).alias(schema.category),
-        age_band(numeric(df, schema.number), schema).alias(schema.band_name),
-    ).where(F.col(schema.label).isNotNull())
+        age_band(F.col(schema.number), schema).alias(schema.band_name),
+    )
 
 
 def counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -35,9 +35,8 @@ def counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _raw_text(df: DataFrame, name: str) -> Column:
-    """The value as written, blanks as null."""
-    text = strip(F.col(name))
-    return F.nullif(text, F.lit("")) if is_text(df, name) else text
+    """The value as written, without padding; blanks stay and are dropped later."""
+    return strip(F.col(name)) if is_text(df, name) else F.col(name).cast("string")
 
 
 def value_counts(df: DataFrame, schema: CohortSchema) -> DataFrame:
@@ -50,7 +49,7 @@ def value_counts(df: DataFrame, schema: CohortSchema) -> DataFrame:
         df.where(label_of(schema).isNotNull())
         .select(*[_raw_text(df, name).alias(name) for name in schema.ordinals])
         .unpivot([], list(schema.ordinals), "indicator", "value")
-        .where(F.col("value").isNotNull())
+        .where(F.col("value") != "")
     )
     return counts(long, ["indicator", "value"])
 
@@ -63,12 +62,13 @@ def distribution_table(df: DataFrame, schema: CohortSchema) -> DataFrame:
     one- and two-way counts are rolled up from that small result.
     """
     dims = [schema.label, schema.category, schema.band_name]
-    rows = df.select(
+    labelled = df.where(label_of(schema).isNotNull())
+    rows = with_numbers(labelled, [schema.number]).select(
         label_of(schema).alias(schema.label),
         F.coalesce(strip(F.col(schema.category)), F.lit("")).alias(schema.category),
-        age_band(numeric(df, schema.number), schema).alias(schema.band_name),
+        age_band(F.col(schema.number), schema).alias(schema.band_name),
         *[_raw_text(df, name).alias(f"value_{name}") for name in schema.ordinals],
-    ).where(F.col(schema.label).isNotNull())
+    )
     entries = [
         F.struct(
             F.lit(None).cast("string").alias("indicator"),
@@ -87,7 +87,7 @@ def distribution_table(df: DataFrame, schema: CohortSchema) -> DataFrame:
         )
     grouped = (
         rows.select(F.inline(F.array(*entries)))
-        .where(F.col("part0").isNotNull())
+        .where(F.col("part0") != "")
         .groupBy("indicator", "part0", "part1", "part2")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -139,14 +139,14 @@ def label_counts_filled(df: DataFrame, schema: CohortSchema) -> DataFrame:
 
 def category_counts_filled(df: DataFrame, schema: CohortSchema) -> DataFrame:
     shown = list(schema.codes.values())
-    value = decode(numeric(df, schema.category), schema)
-    return counts_filled(df, value, [*shown, schema.other], schema.category, always=shown)
+    value = decode(F.col(schema.category), schema)
+    return counts_filled(with_numbers(df, [schema.category]), value, [*shown, schema.other], schema.category, always=shown)
 
 
 def band_counts_filled(df: DataFrame, schema: CohortSchema) -> DataFrame:
-    value = age_band(numeric(df, schema.number), schema)
+    value = age_band(F.col(schema.number), schema)
     return counts_filled(
-        df, value, [*schema.band_names, "N/A"], schema.band_name, always=schema.band_names
+        with_numbers(df, [schema.number]), value, [*schema.band_names, "N/A"], schema.band_name, always=schema.band_names
     )
 
 

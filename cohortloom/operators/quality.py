@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions import missing, numeric, row_key, signature, strip, title
+from cohortloom.functions import missing, row_key, strip, title, with_numbers, with_signature
 from cohortloom.operators.cleaning import rule_violations
 from cohortloom.schema import CohortSchema
 
@@ -45,7 +45,7 @@ def quality_summary(df: DataFrame, schema: CohortSchema) -> DataFrame:
     cells = [broken[name] for name in schema.ordinals]
     measured = df.select(
         F.col(schema.id).alias("id"),
-        row_key(df, schema.checked).alias("row_key"),
+        row_key(schema.checked).alias("row_key"),
         broken[schema.number].cast("int").alias("bad_number"),
         broken[schema.category].cast("int").alias("bad_category"),
         broken[schema.label].cast("int").alias("bad_label"),
@@ -67,11 +67,10 @@ def quality_summary(df: DataFrame, schema: CohortSchema) -> DataFrame:
     )
     groups = (
         signature_groups(df, schema)
-        .where(F.col("signature").isNotNull())
         .agg(
-            F.count(F.lit(1)).alias("unique_feature_signature"),
-            F.count_if("conflicting").alias("signature_label_conflicts"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows_with_signature"),
+            F.count("signature").alias("unique_feature_signature"),
+            F.count_if(F.col("signature").isNotNull() & F.col("conflicting")).alias("signature_label_conflicts"),
+            F.coalesce(F.sum(F.when(F.col("signature").isNull(), F.col("n"))), F.lit(0)).alias("rows_without_signature"),
         )
     )
     total = F.col("row_count_raw")
@@ -88,7 +87,7 @@ def quality_summary(df: DataFrame, schema: CohortSchema) -> DataFrame:
         (total - F.col("distinct_rows")).alias("duplicate_full_row"),
         "unique_feature_signature",
         (total - F.col("unique_feature_signature")).alias("duplicated_feature_rows"),
-        (total - F.col("rows_with_signature")).alias("rows_without_signature"),
+        "rows_without_signature",
         "signature_label_conflicts",
         f"invalid_{schema.number}",
         f"invalid_{schema.category}",
@@ -108,8 +107,9 @@ def signature_groups(df: DataFrame, schema: CohortSchema) -> DataFrame:
     one exchange of hash-aggregated rows is enough.
     """
     return (
-        df.select(
-            F.unhex(signature(df, schema.features)).alias("signature"),
+        with_signature(df, schema.features)
+        .select(
+            F.unhex("feature_signature").alias("signature"),
             F.xxhash64(stated_label(schema)).alias("stated"),
         )
         .groupBy("signature")
@@ -123,14 +123,13 @@ def signature_groups(df: DataFrame, schema: CohortSchema) -> DataFrame:
 def label_conflicts(df: DataFrame, schema: CohortSchema) -> DataFrame:
     """(feature_signature, n_labels) of signatures that carry more than one label."""
     return (
-        df.select(
-            signature(df, schema.features).alias("feature_signature"),
-            stated_label(schema).alias("stated"),
-        )
-        .where(F.col("feature_signature").isNotNull())
+        with_signature(df, schema.features)
+        .select("feature_signature", stated_label(schema).alias("stated"))
         .groupBy("feature_signature")
         .agg(F.count_distinct("stated").alias("n_labels"))
-        .where("n_labels > 1")
+        # One condition on both columns: a test of the signature alone would be
+        # pushed below the hash and compute it twice.
+        .where(F.when(F.col("feature_signature").isNotNull(), F.col("n_labels")) > 1)
     )
 
 
@@ -157,9 +156,10 @@ def quality_report(df: DataFrame, schema: CohortSchema) -> DataFrame:
 
     Scale violations are counted per cell.
     """
-    broken = rule_violations(df, schema)
-    empty = [numeric(df, name).isNull() for name in schema.features]
+    df = with_numbers(df, schema.features)
+    empty = [F.col(name).isNull() for name in schema.features]
     empty += [F.col(schema.id).isNull(), F.col(schema.label).isNull()]
+    broken = rule_violations(df, schema)
     totals = df.select(
         F.col(schema.id).alias("id"),
         *[broken[name].cast("int").alias(f"bad_{name}") for name in (schema.category, schema.number, schema.label)],
@@ -267,7 +267,7 @@ def uniqueness(df: DataFrame, key: str) -> DataFrame:
 def duplicate_excess(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: how many rows repeat an earlier one. Shuffles 32-byte digests."""
     return (
-        df.select(row_key(df, columns).alias("row_key"))
+        df.select(row_key(columns).alias("row_key"))
         .agg((F.count(F.lit(1)) - F.count_distinct("row_key")).alias("duplicate_rows"))
     )
 

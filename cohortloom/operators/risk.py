@@ -13,22 +13,23 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.functions import bucket_tests, integer, numeric
+from cohortloom.functions import bucket_tests, with_numbers, with_whole
 from cohortloom.operators.distribution import counts, label_of
 from cohortloom.schema import CohortSchema
 
 DIGITS = 2
 
 
-def _values(df: DataFrame, schema: CohortSchema, truncate: bool) -> list[Column]:
-    read = integer if truncate else numeric
-    return [read(df, name).alias(f"v{at}") for at, name in enumerate(schema.ordinals)]
+def _values(df: DataFrame, schema: CohortSchema, truncate: bool, *others: Column) -> DataFrame:
+    """The given columns and every indicator as `v<position>`."""
+    read = with_whole if truncate else with_numbers
+    named = [F.col(f"_{name}").alias(f"v{at}") for at, name in enumerate(schema.ordinals)]
+    return read(df, schema.ordinals, "_").select(*others, *named)
 
 
 def _labelled(df: DataFrame, schema: CohortSchema, truncate: bool) -> DataFrame:
-    return df.select(label_of(schema).alias("level"), *_values(df, schema, truncate)).where(
-        F.col("level").isNotNull()
-    )
+    labelled = df.where(label_of(schema).isNotNull())
+    return _values(labelled, schema, truncate, label_of(schema).alias("level"))
 
 
 def _stack(wide: DataFrame, schema: CohortSchema, keep: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -110,7 +111,7 @@ def means_by_label(
 def means_overall(df: DataFrame, schema: CohortSchema) -> DataFrame:
     """(indicator, mean, n) over all rows, undeclared labels included; missing is 0."""
     sums = [F.coalesce(F.sum(f"v{at}"), F.lit(0)).alias(f"total{at}") for at in range(len(schema.ordinals))]
-    totals = df.select(*_values(df, schema, False)).agg(F.count(F.lit(1)).alias("n"), *sums)
+    totals = _values(df, schema, False).agg(F.count(F.lit(1)).alias("n"), *sums)
     return _stack(totals, schema, ["n"], ["total"]).select(
         "indicator", _mean(F.col("total"), F.col("n")).alias("mean"), "n"
     )

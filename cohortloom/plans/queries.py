@@ -175,8 +175,8 @@ def to_int_truncate(spark, sf_dir):
 
 
 def _banded(spark, sf_dir, mode):
-    rows = B.raw(spark, sf_dir)
-    return rows.select(RAW.id, "age", X.age_band(X.numeric(rows, "age"), RAW, mode).alias("age_group"))
+    rows = X.with_numbers(B.raw(spark, sf_dir), ["age"], "number_")
+    return rows.select(RAW.id, "age", X.age_band(F.col("number_age"), RAW, mode).alias("age_group"))
 
 
 @query
@@ -201,14 +201,13 @@ def encode_label(spark, sf_dir):
 
 @query
 def feature_signature(spark, sf_dir):
-    rows = B.raw(spark, sf_dir)
-    return rows.select(RAW.id, X.signature(rows, RAW.features).alias("feature_signature"))
+    return X.with_signature(B.raw(spark, sf_dir), RAW.features).select(RAW.id, "feature_signature")
 
 
 @query
 def bucket_ordinals(spark, sf_dir):
-    rows = B.raw(spark, sf_dir)
-    return rows.select(RAW.id, *[X.bucket(X.numeric(rows, name), RAW).alias(name) for name in RAW.ordinals])
+    rows = X.with_numbers(B.raw(spark, sf_dir), RAW.ordinals)
+    return rows.select(RAW.id, *[X.bucket(F.col(name), RAW).alias(name) for name in RAW.ordinals])
 
 
 @query
@@ -226,8 +225,8 @@ def published_frames(spark, sf_dir):
 
 @query
 def decode_category(spark, sf_dir):
-    rows = B.raw(spark, sf_dir)
-    return rows.select(RAW.id, X.decode(X.numeric(rows, "gender"), RAW).alias("gender_name"))
+    rows = X.with_numbers(B.raw(spark, sf_dir), ["gender"])
+    return rows.select(RAW.id, X.decode(F.col("gender"), RAW).alias("gender_name"))
 
 
 # Filters, lookup, paging
@@ -605,8 +604,7 @@ def leakage_contrast(spark, sf_dir):
 
 
 def _model_split(spark, sf_dir):
-    rows = B.cohort(spark, sf_dir)
-    signed = rows.withColumn("feature_signature", X.signature(rows, COHORT.features))
+    signed = X.with_signature(B.cohort(spark, sf_dir), COHORT.features)
     return split.group_split(signed, "feature_signature", "level", COHORT.labels, on_conflict="trust")
 
 
