@@ -14,11 +14,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.functions.text import is_blank, strip
+from cohortloom.functions.text import WHITESPACE, is_blank
 
 # Spark's cast also takes '7d', '7f' and hexadecimal; a letter it does not know
 # in their place makes it refuse them.
 _REFUSED = "dDfFxX"
+# The cast trims plain spaces and control characters by itself; the other white
+# space is turned into spaces in the same pass.
+_MATCHING = _REFUSED + WHITESPACE
+_REPLACEMENT = "?" * len(_REFUSED) + " " * len(WHITESPACE)
 
 
 def is_text(df: DataFrame, name: str) -> bool:
@@ -37,7 +41,7 @@ def missing(df: DataFrame, name: str) -> Column:
 def parse(df: DataFrame, name: str) -> Column:
     """The cell as a number, NaN and the infinities still in; names the cell once."""
     if is_text(df, name):
-        return F.translate(strip(F.col(name)), _REFUSED, "?" * len(_REFUSED)).try_cast("double")
+        return F.translate(F.col(name), _MATCHING, _REPLACEMENT).try_cast("double")
     return F.col(name) if is_whole(df, name) else F.col(name).cast("double")
 
 

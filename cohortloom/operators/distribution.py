@@ -163,6 +163,9 @@ def crosstab(df: DataFrame, rows: str, columns: str, domain: Sequence[str]) -> D
     Rows without a row value are left out. The domain is given, so no extra job
     looks for the distinct values.
     """
-    return df.where(F.col(rows).isNotNull()).groupBy(rows).agg(
-        *[F.count_if(F.col(columns) == value).alias(value) for value in domain]
+    counted = df.groupBy(rows).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(columns) == value).alias(value) for value in domain]
     )
+    # One condition on key and count: a test of the key alone would be pushed
+    # below the projection and compute the key again for every row.
+    return counted.where(F.when(F.col(rows).isNotNull(), F.col("_n")) > 0).drop("_n")

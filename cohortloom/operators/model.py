@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexerModel, VectorAssembler
@@ -64,9 +64,23 @@ def forest(
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out over all cores if they come from fewer files than that.
+
+    Fitting passes over its input hundreds of times, so one shuffle up front pays
+    for itself; a table of many files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def fit(pipeline: Pipeline, train: DataFrame, features: Sequence[str]) -> PipelineModel:
-    """Fit on the rows whose features are all present."""
-    return pipeline.fit(train.dropna(subset=list(features)))
+    """Fit on the rows whose features are all present.
+
+    Give it a stored manifest (`read_manifest`), not a split still to be computed:
+    every stage of the pipeline reads its input again.
+    """
+    return pipeline.fit(spread(train.dropna(subset=list(features))))
 
 
 def fitted_labels(model: PipelineModel) -> list[str]:
@@ -220,23 +234,17 @@ def compare(
 ) -> DataFrame:
     """(model, n, accuracy, ...): each model fitted on train, judged once on test.
 
-    Train and test are kept for the run because every model reads them again.
+    Both read the same stored manifest, so both see the same split.
     """
     columns = [label, *features]
-    train = split.where(F.col("split") == "train").select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    train = split.where(F.col("split") == "train").select(*columns)
     test = split.where(F.col("split") == "test").select(*columns)
     results = []
-    try:
-        for name, pipeline in pipelines.items():
-            model = fit(pipeline, train, features)
-            metrics = evaluate(predict(model, test), label, "predicted_label", labels)
-            results.append(metrics.select(F.lit(name).alias("model"), "*"))
-    finally:
-        train.unpersist()
-    compared = results[0]
-    for result in results[1:]:
-        compared = compared.unionByName(result)
-    return compared
+    for name, pipeline in pipelines.items():
+        scored = predict(fit(pipeline, train, features), test)
+        metrics = evaluate(scored, label, "predicted_label", labels)
+        results.append(metrics.select(F.lit(name).alias("model"), "*"))
+    return reduce(DataFrame.unionByName, results)
 
 
 def model_card(

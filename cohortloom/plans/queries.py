@@ -604,8 +604,12 @@ def leakage_contrast(spark, sf_dir):
 
 
 def _model_split(spark, sf_dir):
+    """A stored manifest: fitting reads it many times, the split is computed once."""
     signed = X.with_signature(B.cohort(spark, sf_dir), COHORT.features)
-    return split.group_split(signed, "feature_signature", "level", COHORT.labels, on_conflict="trust")
+    rows = split.group_split(signed, "feature_signature", COHORT.label, COHORT.labels, on_conflict="trust")
+    path = f"{files.scratch_dir(spark)}/manifest"
+    files.write_manifest(rows.select(COHORT.id, COHORT.label, *COHORT.features, "split"), path)
+    return files.read_manifest(spark, path)
 
 
 def _logistic():
@@ -617,7 +621,7 @@ def _forest():
 
 
 def _fitted(spark, sf_dir, pipeline):
-    parts = _model_split(spark, sf_dir).select(COHORT.id, COHORT.label, *COHORT.features, "split")
+    parts = _model_split(spark, sf_dir)
     fitted = model.fit(pipeline, parts.where("split = 'train'"), COHORT.features)
     return fitted, parts.where("split = 'test'")
 

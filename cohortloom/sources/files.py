@@ -107,13 +107,18 @@ def read_manifest(spark: SparkSession, path: str, side: str | None = None) -> Da
 
 
 def write_outputs(counting: DataFrame, model: DataFrame, report: DataFrame, path: str) -> dict[str, str]:
-    """The two published frames as CSV and Parquet, the quality report as CSV."""
+    """The two published frames as CSV and Parquet, the quality report as CSV.
+
+    The text form is made from the stored Parquet, so cleaning runs once a frame.
+    """
     places = {}
+    spark = counting.sparkSession
     for name, frame in (("counting", counting), ("model", model)):
         places[f"{name}_csv"] = f"{path}/{name}_csv"
         places[f"{name}_parquet"] = f"{path}/{name}_parquet"
-        frame.write.option("header", True).csv(places[f"{name}_csv"])
         frame.write.parquet(places[f"{name}_parquet"])
+        stored = spark.read.schema(frame.schema).parquet(places[f"{name}_parquet"])
+        stored.write.option("header", True).csv(places[f"{name}_csv"])
     places["report_csv"] = f"{path}/report_csv"
     report.write.option("header", True).csv(places["report_csv"])
     return places
