@@ -86,8 +86,10 @@ def coerce_integer(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return with_whole(df, columns).withColumns({name: F.col(name).try_cast("int") for name in columns})
 
 
-def timestamp(moment: datetime) -> Column:
-    """A zone-free literal, so the clock is always injected by the caller."""
+def timestamp(moment: datetime | Column) -> Column:
+    """Zone-free time given by the caller: the clock is always injected."""
+    if isinstance(moment, Column):
+        return moment.cast("timestamp_ntz")
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 

@@ -14,7 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.operators.cleaning import timestamp
@@ -118,7 +118,7 @@ def score(
     labels: Sequence[str],
     run_id: str,
     version: str,
-    now: datetime,
+    now: datetime | Column,
 ) -> DataFrame:
     """Prediction log rows: label, index, probability map, model and dataset version.
 
