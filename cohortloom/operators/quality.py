@@ -24,7 +24,7 @@ def _count_true(conditions: Sequence[Column]) -> Column:
 def _single_row(frames: Sequence[DataFrame]) -> DataFrame:
     """Put one-row frames side by side: stack them, then keep the filled cells."""
     stacked = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), frames)
-    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+    return stacked.agg(*[F.max(F.col(f"`{name}`")).alias(name) for name in stacked.columns])
 
 
 def stated_label(schema: CohortSchema) -> Column:
@@ -32,20 +32,29 @@ def stated_label(schema: CohortSchema) -> Column:
     return F.coalesce(title(strip(F.col(schema.label))), F.lit("None"))
 
 
+def _distinct_ids(df: DataFrame, schema: CohortSchema) -> DataFrame:
+    """One row: distinct ids and whether a null is among them.
+
+    On its own, because next to other counters every distinct id would carry all
+    of them through the shuffle. It reads the id column only.
+    """
+    return df.select(F.col(schema.id).alias("id")).agg(
+        F.count_distinct("id").alias("distinct_ids"),
+        F.coalesce(F.max(F.col("id").isNull().cast("int")), F.lit(0)).alias("null_id"),
+    )
+
+
 def quality_summary(df: DataFrame, schema: CohortSchema) -> DataFrame:
-    """The whole audit as one row.
+    """The whole audit as one row, from three aggregates.
 
-    Each row is first reduced to a few counters, its id and two digests. The
-    counters and the distinct ids and rows come from one aggregate over that
-    narrow projection; conflicts come from a second one keyed by signature.
-    Both combine on the map side, so a signature that fills a third of the
-    table reaches its reducer as one row per task.
+    Cell and row counters need no shuffle. Ids are counted from their column
+    alone. Repeated rows, signatures and label conflicts come from one pass over
+    digests, which combines on the map side at both of its steps: a signature
+    that fills a third of the table reaches its reducer as one row per task.
     """
     broken = rule_violations(df, schema)
     cells = [broken[name] for name in schema.ordinals]
     measured = df.select(
-        F.col(schema.id).alias("id"),
-        row_key(schema.checked).alias("row_key"),
         broken[schema.number].cast("int").alias("bad_number"),
         broken[schema.category].cast("int").alias("bad_category"),
         broken[schema.label].cast("int").alias("bad_label"),
@@ -61,21 +70,33 @@ def quality_summary(df: DataFrame, schema: CohortSchema) -> DataFrame:
         F.coalesce(F.sum("bad_cells"), F.lit(0)).alias("invalid_risk_scale"),
         F.coalesce(F.sum("bad_label"), F.lit(0)).alias(f"invalid_{schema.label}"),
         F.coalesce(F.sum("blank_cells"), F.lit(0)).alias("missing_cells"),
-        F.count_distinct("row_key").alias("distinct_rows"),
-        F.count_distinct("id").alias("distinct_ids"),
-        F.coalesce(F.max(F.col("id").isNull().cast("int")), F.lit(0)).alias("null_id"),
     )
+    signed = F.col("signature").isNotNull()
     groups = (
-        signature_groups(df, schema)
+        with_signature(df, schema.features)
+        .select(
+            F.unhex("feature_signature").alias("signature"),
+            F.xxhash64(stated_label(schema)).alias("stated"),
+            row_key(schema.checked).alias("row_key"),
+        )
+        .groupBy("signature", "stated", "row_key")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("signature")
+        .agg(
+            F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("n_distinct"),
+            (F.min("stated") != F.max("stated")).alias("conflicting"),
+        )
         .agg(
             F.count("signature").alias("unique_feature_signature"),
-            F.count_if(F.col("signature").isNotNull() & F.col("conflicting")).alias("signature_label_conflicts"),
-            F.coalesce(F.sum(F.when(F.col("signature").isNull(), F.col("n"))), F.lit(0)).alias("rows_without_signature"),
+            F.coalesce(F.sum("n_distinct"), F.lit(0)).alias("distinct_rows"),
+            F.count_if(signed & F.col("conflicting")).alias("signature_label_conflicts"),
+            F.coalesce(F.sum(F.when(~signed, F.col("n"))), F.lit(0)).alias("rows_without_signature"),
         )
     )
     total = F.col("row_count_raw")
     width = len(schema.checked)
-    return _single_row([rows, groups]).select(
+    return _single_row([rows, _distinct_ids(df, schema), groups]).select(
         "row_count_raw",
         "row_count_valid",
         (total - F.col("row_count_valid")).alias("row_count_invalid"),
@@ -152,7 +173,7 @@ def checks_table(summary: DataFrame, schema: CohortSchema) -> DataFrame:
 
 
 def quality_report(df: DataFrame, schema: CohortSchema) -> DataFrame:
-    """(check_name, value, meaning) after cleaning, eight rows, one aggregate.
+    """(check_name, value, meaning) after cleaning, eight rows.
 
     Scale violations are counted per cell.
     """
@@ -161,7 +182,6 @@ def quality_report(df: DataFrame, schema: CohortSchema) -> DataFrame:
     empty += [F.col(schema.id).isNull(), F.col(schema.label).isNull()]
     broken = rule_violations(df, schema)
     totals = df.select(
-        F.col(schema.id).alias("id"),
         *[broken[name].cast("int").alias(f"bad_{name}") for name in (schema.category, schema.number, schema.label)],
         _count_true([broken[name] for name in schema.ordinals]).alias("bad_cells"),
         _count_true(empty).alias("missing"),
@@ -172,9 +192,8 @@ def quality_report(df: DataFrame, schema: CohortSchema) -> DataFrame:
         F.sum(f"bad_{schema.label}").alias("label"),
         F.count(F.lit(1)).alias("total"),
         F.sum("missing").alias("missing"),
-        F.count_distinct("id").alias("ids"),
-        F.max(F.col("id").isNull().cast("int")).alias("null_id"),
     )
+    totals = _single_row([totals, _distinct_ids(df, schema)])
     low, high = schema.ordinal_range
     floor, ceiling = schema.number_range
     checks = [
@@ -185,7 +204,7 @@ def quality_report(df: DataFrame, schema: CohortSchema) -> DataFrame:
         ("row_count", F.col("total"), "Rows kept by cleaning."),
         ("column_count_clean", F.lit(len(df.columns)), "Columns after renaming."),
         ("missing_total", F.col("missing"), "Empty cells after coercion."),
-        (f"duplicated_{schema.id}", F.col("total") - F.col("ids") - F.col("null_id"), f"Rows repeating an earlier {schema.id}."),
+        (f"duplicated_{schema.id}", F.col("total") - F.col("distinct_ids") - F.col("null_id"), f"Rows repeating an earlier {schema.id}."),
     ]
     entries = [
         F.struct(
@@ -282,10 +301,10 @@ def verify(
     """(check_name, ok, measured, expected) of a stored cohort table.
 
     `expected` holds (check_name, expected BIGINT) for `total`,
-    `<label>:<value>` and `<category>:<code>`. Everything measured on the table
-    comes from one aggregate; the rest reads its column names only.
+    `<label>:<value>` and `<category>:<code>`. What is measured on the table takes
+    one aggregate and the distinct ids; the rest reads its column names only.
     """
-    counters = {"total": F.count(F.lit(1)), "unique_id": F.count_distinct(schema.id)}
+    counters = {"total": F.count(F.lit(1))}
     for label in schema.labels:
         counters[f"{schema.label}:{label}"] = F.count_if(F.col(schema.label) == label)
     for code in schema.codes:
@@ -294,7 +313,8 @@ def verify(
     counters["signature"] = (
         F.count_if(F.length("feature_signature") == 64) if has_signature else F.lit(0).cast("bigint")
     )
-    measured = df.agg(*[value.alias(name) for name, value in counters.items()])
+    ids = _distinct_ids(df, schema).select((F.col("distinct_ids") + F.col("null_id")).alias("unique_id"))
+    measured = _single_row([df.agg(*[value.alias(name) for name, value in counters.items()]), ids])
     # Without its own expectation, a counter has to reach the number of rows.
     whole = {"unique_id", "signature"}
     absent = [name for name in (schema.id, *schema.features, schema.label) if name not in df.columns]
@@ -309,7 +329,7 @@ def verify(
 
     none = F.lit(None)
     entries = [
-        entry(name, F.col(f"`{name}`"), F.col("total") if name in whole else none) for name in counters
+        entry(name, F.col(f"`{name}`"), F.col("total") if name in whole else none) for name in measured.columns
     ]
     entries.append(entry("missing_columns", F.lit(len(absent)), F.lit(0)))
     entries.append(entry("raw_case_columns", F.lit(len(raw)), F.lit(0)))

@@ -59,9 +59,16 @@ def overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _ordered(pairs: DataFrame, key: str, seed: int) -> DataFrame:
+def _ordered(pairs: DataFrame, key: str, label: str, seed: int) -> DataFrame:
+    """Groups with their order hash and its prefix; a missing key has no place.
+
+    Both users of this frame join on label and prefix or count by them. Saying
+    here what the join would infer keeps the two plans equal, so the distinct
+    groups are shuffled once and reused.
+    """
     hashed = pairs.withColumn("order_hash", order_hash(F.col(key), seed))
-    return hashed.withColumn("prefix", F.substring("order_hash", 1, PREFIX))
+    prefixed = hashed.withColumn("prefix", F.substring("order_hash", 1, PREFIX))
+    return prefixed.where(F.col("prefix").isNotNull() & F.col(label).isNotNull())
 
 
 def _prefix_counts(ordered: DataFrame, label: str) -> DataFrame:
@@ -90,7 +97,7 @@ def group_rank(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame
     Counting per prefix gives every prefix its offset; the row number is then
     only needed inside a prefix, which holds 1/65 536 of the groups of a label.
     """
-    ordered = _ordered(groups(df, key, label), key, seed)
+    ordered = _ordered(groups(df, key, label), key, label, seed)
     offsets = _prefix_counts(ordered, label).select(label, "prefix", "before", "group_count")
     inside = Window.partitionBy(label, "prefix").orderBy("order_hash")
     return (
@@ -109,7 +116,7 @@ def cut_points(
     the schema, not by the data.
     """
     pairs = groups(df.where(F.col(label).isin(*labels)), key, label)
-    ordered = _ordered(pairs, key, seed)
+    ordered = _ordered(pairs, key, label, seed)
     cut_prefix = (
         _prefix_counts(ordered, label)
         .withColumn("train_n", train_count(F.col("group_count"), ratio))
