@@ -27,6 +27,7 @@ class CohortSchema:
     other: str = "other"
     number_range: tuple[int, int] = (0, 120)
     ordinal_range: tuple[int, int] = (1, 9)
+    # The bands, ranges and bucket bounds results are compared under.
     bands: tuple[tuple[int, int, str], ...] = (
         (0, 19, "<20"),
         (20, 29, "20-29"),
