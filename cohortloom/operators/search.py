@@ -6,6 +6,8 @@ scan. Callers never pass SQL text.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -140,12 +142,17 @@ def history(
     *,
     subject: str | None = None,
     predicted: str | None = None,
+    labels: Sequence[str] = (),
 ) -> DataFrame:
-    """Prediction log rows of one subject and/or one predicted label."""
+    """Prediction log rows of one subject and/or one predicted label.
+
+    With the declared `labels`, the label is found whatever its case.
+    """
     if subject:
         log = log.where(F.col("subject_id") == str(subject))
     if predicted:
-        log = log.where(F.col("predicted_label") == str(predicted))
+        declared = {name.lower(): name for name in labels}
+        log = log.where(F.col("predicted_label") == declared.get(str(predicted).lower(), str(predicted)))
     return log
 
 

@@ -263,8 +263,8 @@ ORACLES: dict[str, str] = {
     "read_clean_rows": _with(COHORT_CTE, "SELECT * FROM cohort"),
     "positional_bad_rows": _with(
         COHORT_CTE,
-        """SELECT 'good' AS kind, count(*) AS n FROM cohort WHERE age NOT IN (13, 17)
-        UNION ALL SELECT 'bad', count(*) FROM cohort WHERE age IN (13, 17)""",
+        """SELECT 'good' AS kind, count(*) AS n FROM cohort WHERE age NOT IN (13, 17, 29)
+        UNION ALL SELECT 'bad', count(*) FROM cohort WHERE age IN (13, 17, 29)""",
     ),
     "split_manifest_roundtrip": _with(ORDERED_CTE, "SELECT * FROM divided"),
     "counts_parse": _with(COHORT_KEYS_CTE, "SELECT split_part(key, '|', 1) AS section, key, n FROM counted"),

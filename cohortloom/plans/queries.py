@@ -55,11 +55,12 @@ def positional_bad_rows(spark, sf_dir):
         .when(F.col("age") == 17, F.concat(full, F.lit(",extra")))
         .when(F.col("age") == 19, F.concat(F.lit("\n"), full))
         .when(F.col("age") == 23, F.concat(F.lit(",".join(columns) + "\n"), full))
+        .when(F.col("age") == 29, F.concat_ws(",", *columns[:-1], F.lit("Severe")))
         .otherwise(full)
     )
     path = f"{files.scratch_dir(spark)}/positional"
     B.cohort(spark, sf_dir).select(line.alias("value")).write.text(path)
-    rows, bad = files.read_positional(spark, path, columns)
+    rows, bad = files.read_positional(spark, path, columns, COHORT.labels)
     good = distribution.counts(rows.select(F.lit("good").alias("kind")), ["kind"])
     return good.unionByName(bad.select(F.lit("bad").alias("kind"), F.col("bad_rows").alias("n")))
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.functions import strip
+from cohortloom.functions import match_label, strip
 
 
 class EmptyExportError(ValueError):
@@ -42,12 +42,13 @@ def read_clean(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def read_positional(
-    spark: SparkSession, path: str, columns: Sequence[str]
+    spark: SparkSession, path: str, columns: Sequence[str], labels: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, one row with `bad_rows`) of CSV text read by position.
 
     Blank lines and header lines, wherever in a file they stand, are skipped;
-    lines with too few or too many fields are counted and left out.
+    lines with too few or too many fields are counted and left out. With declared
+    `labels`, so are lines whose last field is none of them.
     """
     schema = text_schema(columns).add("_bad_line", T.StringType())
     lines = (
@@ -64,9 +65,10 @@ def read_positional(
         F.col(last) == last, F.lit(False)
     )
     body = lines.where(~is_header)
-    rows = body.where(F.col("_bad_line").isNull()).select(*columns)
-    bad = body.agg(F.count(F.col("_bad_line")).alias("bad_rows"), F.count(F.lit(1)).alias("lines"))
-    return rows, bad.select("bad_rows")
+    broken = F.col("_bad_line").isNotNull()
+    if labels:
+        broken = broken | match_label(F.col(last), labels).isNull()
+    return body.where(~broken).select(*columns), body.agg(F.count_if(broken).alias("bad_rows"))
 
 
 def read_counts(spark: SparkSession, path: str) -> DataFrame:

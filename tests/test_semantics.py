@@ -288,6 +288,16 @@ def test_paging(spark):
     assert search.page_meta(frame.limit(0)).first().total_pages == 1
 
 
+def test_history(spark):
+    log = spark.createDataFrame(
+        [("1", "a", "High", datetime(2024, 1, 1)), ("2", "a", "Low", datetime(2024, 1, 2)), ("3", "a", "High", datetime(2024, 1, 2))],
+        "prediction_id string, subject_id string, predicted_label string, created_at timestamp_ntz",
+    )
+    assert values(search.page_rows(search.history(log, subject="a"), search.newest_first()), "prediction_id") == ["2", "3", "1"]
+    assert search.history(log, predicted="HIGH", labels=S.labels).count() == 2
+    assert search.history(log, predicted="HIGH").count() == 0
+
+
 def test_export_is_capped_by_the_feature_only(spark):
     frame = rows(spark, *DIRTY)
     assert search.export_rows(frame.withColumn("age", F.lit(3)), S, limit=2).count() == 2

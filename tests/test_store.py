@@ -114,6 +114,8 @@ def test_positional_lines(spark, tmp_path):
     assert rows.select("level").where("level = 'Low'").count() == 3
     assert rows.count() == 4  # a pruned read must not let short lines in
     assert bad.first().bad_rows == 3
+    rows, bad = files.read_positional(spark, str(tmp_path), ["id", "a", "level"], labels=("Medium", "HIGH"))
+    assert [row.id for row in rows.collect()] == ["4"] and bad.first().bad_rows == 6
 
 
 def test_clean_csv_with_byte_order_mark(spark, tmp_path):
