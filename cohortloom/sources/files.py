@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -18,14 +17,13 @@ class EmptyExportError(ValueError):
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A fresh directory under the shared folder the cluster names.
+    """A fresh directory under the folder that driver and executors share.
 
-    A machine-local folder is used only where none is named, as in tests.
+    That is `spark.checkpoint.dir`; where the session names none, the warehouse,
+    which every cluster that stores tables shares.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/cohortloom-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="cohortloom-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/cohortloom-{uuid.uuid4().hex}"
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:

@@ -142,8 +142,9 @@ def test_export(spark, tmp_path):
 
 def test_scratch_uses_the_shared_folder():
     def session(folder):
-        return SimpleNamespace(conf=SimpleNamespace(get={"spark.checkpoint.dir": folder}.get))
+        conf = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "file:/warehouse"}
+        return SimpleNamespace(conf=SimpleNamespace(get=conf.get))
 
     first, second = (files.scratch_dir(session("hdfs://shared/work/")) for _ in range(2))
     assert first != second and first.startswith("hdfs://shared/work/cohortloom-")
-    assert files.scratch_dir(session(None)).startswith("/")
+    assert files.scratch_dir(session(None)).startswith("file:/warehouse/cohortloom-")
