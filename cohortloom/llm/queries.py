@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import packing
+from cohortloom.llm import packing, pii
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,8 @@ def query(function):
 def op8_concat_pack(spark, sf_dir):
     pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return packing.piece_digest(pieces)
+
+
+@query
+def op2_pii_boosting(spark, sf_dir):
+    return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
