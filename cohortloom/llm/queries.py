@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import packing, pii
+from cohortloom.llm import packing, pii, secrets
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,8 @@ def op8_concat_pack(spark, sf_dir):
 @query
 def op2_pii_boosting(spark, sf_dir):
     return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
+
+
+@query
+def op7_linked_secrets(spark, sf_dir):
+    return secrets.digest(secrets.detect(table(spark, sf_dir, "documents")))

@@ -78,3 +78,16 @@ def joined(entries: Column) -> Column:
         F.transform(entries, lambda e: F.concat_ws(":", e["kind"], e["start"].cast("string"), e["end"].cast("string"))),
         ",",
     )
+
+
+def uncovered(base: Column) -> Column:
+    """Whether a span is no base span and overlaps none of its document; needs rows dealt by _row.
+
+    Two sweeps: the furthest base end among spans that begin no later, and the nearest
+    base start among those that begin no earlier.
+    """
+    first = F.coalesce(base, F.lit(False)).desc()
+    reach = running(F.when(base, F.col("end")), ROW, F.col("start"), first)
+    ahead = -running(F.when(base, -F.col("start")), ROW, F.col("start").desc(), first)
+    covered = F.coalesce(reach > F.col("start"), F.lit(False)) | F.coalesce(ahead < F.col("end"), F.lit(False))
+    return ~base & ~covered
