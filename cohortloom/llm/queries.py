@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import packing, pii, secrets
+from cohortloom.llm import packing, pii, secrets, winnowing
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,8 @@ def op2_pii_boosting(spark, sf_dir):
 @query
 def op7_linked_secrets(spark, sf_dir):
     return secrets.digest(secrets.detect(table(spark, sf_dir, "documents")))
+
+
+@query
+def op9_winnowing(spark, sf_dir):
+    return winnowing.compare(table(spark, sf_dir, "documents"))
