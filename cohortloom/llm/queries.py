@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortloom.llm import packing, pii, secrets, warc, winnowing
+from cohortloom.llm import decontamination, packing, pii, secrets, warc, winnowing
 from cohortloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,3 +46,8 @@ def op9_winnowing(spark, sf_dir):
 def op5_warc_revisits(spark, sf_dir):
     heads = warc.deduplicate(table(spark, sf_dir, "pages"))
     return heads.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op6_decontamination(spark, sf_dir):
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
