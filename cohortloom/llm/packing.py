@@ -15,8 +15,12 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain
+from unicodedata import is_normalized
 
+import numpy as np
 import pandas as pd
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,11 +31,16 @@ from cohortloom.llm.common import chunks, map_text, stored, text_of
 MAX_CACHED_WORDS = 1_000_000
 
 
+PIECE = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+WORD_END = "</w>"
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
 class WordEncoder:
-    """Ids of texts under a tokenizer that never merges across white space.
+    """Ids of texts under a tokenizer that drops case and never merges across white space.
 
-    Words repeat, so each distinct one is encoded once per task; the cache starts
-    anew when it is full.
+    Words repeat, so each distinct one is encoded once. A worker process keeps its
+    encoder for all its tasks; a full cache starts anew.
     """
 
     def __init__(self, path: str) -> None:
@@ -39,38 +48,59 @@ class WordEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    @classmethod
+    def of(cls, path: str) -> WordEncoder:
+        if path not in _ENCODERS:
+            _ENCODERS[path] = cls(path)
+        return _ENCODERS[path]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
+        if len(self.words) + len(self.pieces) > MAX_CACHED_WORDS:
+            self.words, self.pieces = {}, {}
         split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
-        known = self.known
-        new = {word for words in split for word in words}.difference(known)
-        if new:
-            self.learn(new)
-        out = [b"".join([known[word] for word in words]) for words in split]
-        if len(known) > MAX_CACHED_WORDS:
-            self.known = {"": b""}
-        return out
+        self.learn(set(chain.from_iterable(split)).difference(self.words))
+        ids = self.words.__getitem__
+        return [b"".join(map(ids, words)) for words in split]
 
     def learn(self, new: set[str]) -> None:
-        # Punctuation after a letter is a token group of its own, and case is dropped.
-        plain = {word: self.plain(word) for word in new}
-        needed = {part for parts in plain.values() for part in parts}.difference(self.known)
-        ordered = sorted(needed)
-        for word, found in zip(ordered, self.tokenizer.encode_batch_fast(ordered, add_special_tokens=False), strict=True):
-            self.known[word] = b"".join(i.to_bytes(4, "little") for i in found.ids)
-        for word, parts in plain.items():
-            if word not in self.known:
-                self.known[word] = b"".join(self.known[part] for part in parts)
+        parts = {word: self.parts(word) for word in new}
+        needed = sorted(set(chain.from_iterable(parts.values())).difference(self.pieces))
+        letters = [piece for piece in needed if piece.isalpha()]
+        rest = [piece for piece in needed if not piece.isalpha()]
+        self.pieces.update(zip(letters, self.runs(letters), strict=True))
+        self.pieces.update(zip(rest, self.singly(rest), strict=True))
+        for word, own in parts.items():
+            self.words[word] = b"".join([self.pieces[piece] for piece in own])
 
     @staticmethod
-    def plain(word: str) -> tuple[str, ...]:
-        if not word.isascii():
-            return (word,)
-        if len(word) > 1 and word[-1] in ".," and word[-2].isalpha():
-            return (word[:-1].lower(), word[-1])
-        return (word.lower(),) if word.isalpha() else (word,)
+    def parts(word: str) -> list[str]:
+        """What the tokenizer encodes apart from each other; the word itself where that is not plain."""
+        plain = word.isascii() or (is_normalized("NFC", word) and is_normalized("NFC", word.lower()))
+        if not plain or "'" in word or "<|" in word or "\u03a3" in word or "\u0130" in word:
+            return [word]
+        return PIECE.findall(word.lower())
+
+    def singly(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
+
+    def runs(self, words: list[str]) -> list[bytes]:
+        """As `singly`, in one call: each word of letters closes with its only end-of-word token."""
+        if not words:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return self.singly(words)
+        raw, starts = ids.tobytes(), [0, *(4 * ends[:-1]).tolist()]
+        return [raw[a:b] for a, b in zip(starts, (4 * ends).tolist(), strict=True)]
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
@@ -86,7 +116,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int, id_col: str, text_co
     )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, part, start = WordEncoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, start = WordEncoder.of(tokenizer), TaskContext.get().partitionId(), 0
         end = end_id.to_bytes(4, "little")
         for frame in chunks(frames, 1000):
             ids = [found + end for found in encoder.encode(frame["text"].tolist())]
