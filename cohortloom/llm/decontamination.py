@@ -133,7 +133,8 @@ def block_matches(docs: DataFrame, items: Items, window: int, threshold: float)
         for frame in chunks(frames, 1000):
             found = [np.unique(own.hits(own.numbers(text))[1]) for text in frame["text"]]
             some = np.array([len(x) > 0 for x in found], dtype=bool)
-            yield frame[some].assign(grams=[x for x in found if len(x)])[["id", "text", "grams"]]
+            if some.any():
+                yield frame[some].assign(grams=[x for x in found if len(x)])[["id", "text", "grams"]]
 
     kept = stored(docs.mapInPandas(keep, kept_schema), "decontamination-kept")
     counts = kept.select(F.explode("grams").alias("gram")).groupBy("gram").count().collect()  # a row a gram of the block
@@ -163,7 +164,8 @@ def block_matches(docs: DataFrame, items: Items, window: int, threshold: float)
                     (best, end), low = max((align(own.words[item], words[a:b]), a) for a, b in parts)
                     if best >= threshold * size * MATCH:
                         out.append((doc_id, item, best / (size * MATCH), max(0, low + end - size), low + end))
-            yield pd.DataFrame(out, columns=["id", "item", "score", "first_word", "end_word"])
+            if out:
+                yield pd.DataFrame(out, columns=["id", "item", "score", "first_word", "end_word"])
 
     return kept.select("id", "text").mapInPandas(score, schema)
 

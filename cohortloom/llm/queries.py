@@ -5,15 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortloom.llm import decontamination, packing, pii, secrets, warc, winnowing
+from cohortloom.llm import crf, decontamination, packing, pii, secrets, toxicity, warc, winnowing
 from cohortloom.llm.common import table
+from cohortloom.llm.labelled import held_out, training_rows
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 TOKENIZER = "word_bpe_49k.json"
+SAMPLE = 4000  # labelled documents that a classifier is fitted on
+KEPT = 0.7  # score from which label 1 is predicted
+
+
+def predictions(docs: DataFrame, score: Column, held: Column) -> DataFrame:
+    scored = docs.select("doc_id", held.alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= KEPT).cast("int"))
 
 
 def query(function):
@@ -51,3 +60,17 @@ def op5_warc_revisits(spark, sf_dir):
 @query
 def op6_decontamination(spark, sf_dir):
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_quality_crf(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    field = crf.fit(training_rows(docs, table(spark, sf_dir, "labels"), "quality", 4, 2, SAMPLE))
+    return predictions(docs, crf.score(field), held_out("doc_id", 4, 2))
+
+
+@query
+def op3_toxicity_automata(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(training_rows(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1, SAMPLE))
+    return predictions(docs, toxicity.score(model), held_out("doc_id", 3, 1))

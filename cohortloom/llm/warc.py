@@ -116,8 +116,8 @@ def headers(spark: SparkSession, path: str) -> DataFrame:
                     for at, f, _ in parse(gunzip(content))
                 ]
                 columns = [c.split()[0] for c in HEADERS.split(", ")]
-                out = pd.DataFrame(rows, columns=columns)
-                yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+                if rows:
+                    yield pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
 
     return archives(spark, path).mapInPandas(run, HEADERS)
 
@@ -157,7 +157,8 @@ def rewrite(spark: SparkSession, source: str, target: str, repeats: DataFrame) -
                 for at, f, payload in parse(gunzip(content)):
                     digest, size = f["WARC-Payload-Digest"].removeprefix("sha1:"), int(f["X-Payload-Length"])
                     out.append(record(f["X-Page-Id"] or None, f["WARC-Target-URI"], payload.decode(), digest, size, original.get(at)))
-                yield pd.DataFrame({"value": out})
+                if out:
+                    yield pd.DataFrame({"value": out})
 
     write_archives(work.select("content", "repeats").mapInPandas(run, "value string"), target)
 
