@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import crf, decontamination, packing, pii, secrets, toxicity, warc, winnowing
+from cohortloom.llm import crf, decontamination, packing, pii, secrets, templates, toxicity, warc, winnowing
 from cohortloom.llm.common import table
 from cohortloom.llm.labelled import held_out, training_rows
 
@@ -74,3 +74,8 @@ def op3_toxicity_automata(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(training_rows(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1, SAMPLE))
     return predictions(docs, toxicity.score(model), held_out("doc_id", 3, 1))
+
+
+@query
+def op10_template_extraction(spark, sf_dir):
+    return templates.extract(table(spark, sf_dir, "pages"))
