@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.llm import crf, decontamination, packing, pii, secrets, templates, toxicity, warc, winnowing
+from cohortloom.llm import crf, decontamination, jaccard, packing, pii, secrets, templates, toxicity, warc, winnowing
 from cohortloom.llm.common import table
 from cohortloom.llm.labelled import held_out, training_rows
 
@@ -79,3 +79,8 @@ def op3_toxicity_automata(spark, sf_dir):
 @query
 def op10_template_extraction(spark, sf_dir):
     return templates.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_jaccard_regions(spark, sf_dir):
+    return jaccard.classes(table(spark, sf_dir, "documents"), k=4, percent=85)
