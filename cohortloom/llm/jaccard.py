@@ -265,6 +265,7 @@ def join_large(members: DataFrame, percent: int) -> DataFrame:
     dealt = members.withColumn("part", F.pmod(F.xxhash64("node", F.lit(1)), parts))
     spread = listed.join(members.groupBy("region").agg(F.first("weight").alias("weight")), "region")
     spread = spread.select("region", "pivots", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    spread = stored(spread, "regions-pivots")
 
     def place(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """Distances of a part of a region to the pivots, and the cell of the nearest."""
@@ -279,7 +280,7 @@ def join_large(members: DataFrame, percent: int) -> DataFrame:
                 distance[region.order, j] = 1 - shared / (len(own) + region.sizes - shared)
         home = distance.argmin(axis=1) if len(pivot_list) else np.zeros(len(sets), dtype=int)
         out = left[["region", "weight", "count", "node", "shingles"]].assign(cell=home)
-        return out.assign(distances=list(distance) if len(pivot_list) else [[]] * len(out))
+        return out.assign(distances=pd.Series(list(distance), index=out.index, dtype=object))
 
     schema = "region long, weight long, count long, node long, shingles binary, cell int, distances array<float>"
     placed = stored(dealt.groupBy("region", "part").cogroup(spread.groupBy("region", "part")).applyInPandas(place, schema), "regions-placed")
@@ -319,6 +320,7 @@ def join_large(members: DataFrame, percent: int) -> DataFrame:
         away = F.get("distances", F.col("to"))
         copies = copies.filter((away <= F.col("far") + radius + 1e-5) & (away >= F.col("near") - radius - 1e-5))
         copies = copies.select("region", F.col("to").alias("cell"), "node", "shingles", "distances", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"))
+        copies = stored(copies, "regions-copies")
         keys = ["region", "cell", "slice"]
         found = homes.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(compare, "a long, b long")
         found = stored(found, "regions-links")
