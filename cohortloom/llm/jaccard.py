@@ -390,11 +390,13 @@ def join_regions(rows: DataFrame, members: DataFrame, k: int, percent: int) -> D
     return small.unionByName(join_large(stored(large, "regions-large"), percent))
 
 
-def representatives(docs: DataFrame, k: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group of linked ones: that with the smallest id, the first among equal ids.
+def representatives(
+    docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One document of each group of linked ones: that with the smallest id.
 
-    Documents with null ids stay.
+    Rows that share an id stay or go together; rows with a null id stay.
     """
     groups = classes(docs, k, percent, id_col, text_col)
-    gone = groups.filter(F.col("component_id") != F.col(id_col)).select(id_col)
-    return docs.join(gone.distinct(), id_col, "left_anti")
+    gone = groups.filter(F.col("component_id") != F.col(id_col)).select(id_col).distinct()
+    return docs.join(gone, id_col, "left_anti").select(*docs.columns)

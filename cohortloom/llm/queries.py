@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cohortloom.llm import crf, decontamination, jaccard, packing, pii, secrets, templates, toxicity, warc, winnowing
 from cohortloom.llm.common import table
 from cohortloom.llm.labelled import held_out, training_rows
@@ -84,3 +85,8 @@ def op10_template_extraction(spark, sf_dir):
 @query
 def op4_jaccard_regions(spark, sf_dir):
     return jaccard.classes(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
+@query
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
