@@ -208,7 +208,7 @@ def _names(docs: DataFrame, names: list, own: DataFrame) -> DataFrame:
 
 def without_matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that hold no item. A document is known by its id and its text, so that null ids count too."""
-    keyed = docs.withColumn("_key", F.xxhash64(F.col(id_col).cast("string"), text_col))
-    rows = keyed.select(F.col("_key").alias(id_col), text_col)
-    bad = matches(rows, items, id_col=id_col, text_col=text_col, **options).select(F.col(id_col).alias("_key")).distinct()
-    return keyed.join(bad, "_key", "left_anti").select(*docs.columns)
+    keyed = docs.select(F.struct("*").alias("doc"), F.xxhash64(F.col(id_col).cast("string"), text_col).alias("key"))
+    rows = keyed.select(F.col("key").alias(id_col), F.col(f"doc.{text_col}").alias(text_col))
+    bad = matches(rows, items, id_col=id_col, text_col=text_col, **options).select(F.col(id_col).alias("key")).distinct()
+    return keyed.join(bad, "key", "left_anti").select("doc.*")

@@ -19,7 +19,7 @@ KEPT = 0.7  # quality score from which a document stays
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line field scores as good; the same fold as in the quality query is never learned from."""
     field = crf.fit(training_rows(docs, table(spark, sf_dir, "labels"), "quality", 4, 2, SAMPLE))
-    return docs.withColumn("_score", crf.score(field)).filter(F.col("_score") >= KEPT).select(*docs.columns)
+    return docs.filter(crf.score(field) >= KEPT)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
