@@ -28,8 +28,8 @@ def with_signature(df: DataFrame, features: Sequence[str], name: str = "feature_
     return with_whole(df, features, "_whole_").withColumn(name, signature(whole)).drop(*whole)
 
 
-def row_key(columns: Sequence[str]) -> Column:
-    """32-byte digest of the stored values, nulls told apart from every text.
+def length_prefixed(columns: Sequence[str]) -> Column:
+    """The stored values as one text, nulls told apart from every text.
 
     Each value carries its length, so no two different rows join to one text.
     """
@@ -37,7 +37,12 @@ def row_key(columns: Sequence[str]) -> Column:
     for name in columns:
         text = F.col(name).cast("string")
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return F.unhex(F.sha2(F.concat(*parts), 256))
+    return F.concat(*parts)
+
+
+def row_key(columns: Sequence[str]) -> Column:
+    """32-byte digest of the stored values."""
+    return F.unhex(F.sha2(length_prefixed(columns), 256))
 
 
 def order_hash(key: Column, seed: int) -> Column:

@@ -17,6 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.functions.hashing import length_prefixed
 from cohortloom.operators.cleaning import timestamp
 
 PROBABILITY_DIGITS = 4
@@ -64,23 +65,13 @@ def forest(
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows out over all cores if they come from fewer files than that.
-
-    Fitting passes over its input hundreds of times, so one shuffle up front pays
-    for itself; a table of many files is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def fit(pipeline: Pipeline, train: DataFrame, features: Sequence[str]) -> PipelineModel:
     """Fit on the rows whose features are all present.
 
     Give it a stored manifest (`read_manifest`), not a split still to be computed:
     every stage of the pipeline reads its input again.
     """
-    return pipeline.fit(spread(train.dropna(subset=list(features))))
+    return pipeline.fit(train.dropna(subset=list(features)))
 
 
 def fitted_labels(model: PipelineModel) -> list[str]:
@@ -136,7 +127,7 @@ def score(
     # The label plays no part in scoring and may be absent.
     scored = predict(model, df.select(id_column, *features))
     return scored.select(
-        F.sha2(F.concat_ws("|", F.lit(run_id), id_column, *features), 256).alias("prediction_id"),
+        F.sha2(F.concat(F.lit(f"{len(run_id)}:{run_id}"), length_prefixed([id_column, *features])), 256).alias("prediction_id"),
         F.col(id_column).alias("subject_id"),
         "predicted_label",
         "predicted_index",
@@ -221,8 +212,16 @@ def summarize(classes: DataFrame) -> DataFrame:
 
 
 def evaluate(pred: DataFrame, actual: str, predicted: str, labels: Sequence[str], digits: int = 4) -> DataFrame:
+    """One row: n, n_unscored and the rates over the n rows whose pair is declared.
+
+    Rows without a prediction or with an undeclared label on either side are unscored.
+    """
     result = summarize(per_class(confusion(pred, actual, predicted, labels)))
-    return result.select("n", *[F.round(name, digits).alias(name) for name in result.columns if name != "n"])
+    declared = F.col(actual).isin(*labels) & F.col(predicted).isin(*labels)
+    left_out = pred.agg(F.count_if(~F.coalesce(declared, F.lit(False))).alias("n_unscored"))
+    rates = [F.round(name, digits).alias(name) for name in result.columns if name != "n"]
+    one = F.lit(1).alias("_one")
+    return result.select(one, "n", *rates).join(left_out.select(one, "n_unscored"), "_one").drop("_one")
 
 
 def compare(
@@ -254,7 +253,7 @@ def model_card(
     labels = fitted_labels(model)
     mapping = F.create_map(*[part for at, label in enumerate(labels) for part in (F.lit(str(at)), F.lit(label))])
     values = F.create_map(
-        *[part for name in metrics.columns if name != "n" for part in (F.lit(name), F.col(name))]
+        *[part for name in metrics.columns if name not in ("n", "n_unscored") for part in (F.lit(name), F.col(name))]
     )
     return metrics.select(
         F.lit(run_id).alias("model_run_id"),
@@ -289,5 +288,5 @@ def write_metrics(metrics: DataFrame, matrix: DataFrame, path: str) -> None:
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    fields = "n bigint, accuracy double, weighted_precision double, weighted_recall double, f1 double, macro_f1 double"
+    fields = "n bigint, n_unscored bigint, accuracy double, weighted_precision double, weighted_recall double, f1 double, macro_f1 double"
     return spark.read.schema(fields).json(f"{path}/metrics_json")

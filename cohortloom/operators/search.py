@@ -6,16 +6,15 @@ scan. Callers never pass SQL text.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.schema import CohortSchema
 
+# The filter operators of the contract.
 OPERATORS = ("eq", "gte", "lte", "between")
-MAX_PAGE_SIZE = 100
-MAX_EXPORT = 20_000
 
 
 def _whole(name: str, value) -> int:
@@ -83,15 +82,23 @@ def lookup(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.where(F.col(key) == str(value))
 
 
-def sort_columns(schema: CohortSchema, by: str | None = None, direction: str = "asc") -> list[Column]:
-    """Allow-listed sort with the id as tie-break, nulls first when ascending."""
+def sort_keys(schema: CohortSchema, by: str | None = None, direction: str = "asc") -> list[tuple[str, bool]]:
+    """Allow-listed sort as (column, descending), with the id as tie-break."""
+    descending = bool(by) and str(direction).lower() == "desc"
     if not by or by == schema.id:
-        descending = bool(by) and str(direction).lower() == "desc"
-        return [F.desc_nulls_last(schema.id) if descending else F.asc_nulls_first(schema.id)]
+        return [(schema.id, descending)]
     if by not in (schema.number, schema.label, schema.category, *schema.ordinals):
         raise ValueError(f"not a sortable column: {by}")
-    first = F.desc_nulls_last(by) if str(direction).lower() == "desc" else F.asc_nulls_first(by)
-    return [first, F.asc_nulls_first(schema.id)]
+    return [(by, descending), (schema.id, False)]
+
+
+def ordered_by(keys: Sequence[tuple[str, bool]]) -> list[Column]:
+    """Nulls come first when ascending and last when descending."""
+    return [F.desc_nulls_last(name) if descending else F.asc_nulls_first(name) for name, descending in keys]
+
+
+def sort_columns(schema: CohortSchema, by: str | None = None, direction: str = "asc") -> list[Column]:
+    return ordered_by(sort_keys(schema, by, direction))
 
 
 def sort(df: DataFrame, schema: CohortSchema, by: str | None = None, direction: str = "asc") -> DataFrame:
@@ -99,24 +106,44 @@ def sort(df: DataFrame, schema: CohortSchema, by: str | None = None, direction:
 
 
 def page_bounds(page: int, size: int) -> tuple[int, int]:
-    return max(1, int(page)), min(MAX_PAGE_SIZE, max(1, int(size)))
+    return max(1, int(page)), max(1, int(size))
 
 
 def page_rows(df: DataFrame, order: list[Column], page: int = 1, size: int = 20) -> DataFrame:
-    """One page: a top-k of the pages up to it. Deep pages: `page_after`."""
+    """One page by its number: a top-k of all pages up to it. To walk on, use `page_after`."""
     page, size = page_bounds(page, size)
     return df.orderBy(*order).offset((page - 1) * size).limit(size)
 
 
-def page_after(df: DataFrame, key: str, last: str | None, size: int = 20) -> DataFrame:
-    """The page that follows the key `last`, at the cost of a first page.
+def _behind(name: str, descending: bool, value) -> Column:
+    """Rows that come after a value in the order of one column."""
+    col = F.col(name)
+    if value is None:
+        return F.lit(False) if descending else col.isNotNull()
+    return ((col < F.lit(value)) | col.isNull()) if descending else col > F.lit(value)
+
 
-    The bound is a filter on the key, so it is pushed into the scan. The key has
-    to be unique, or rows sharing the last key are passed over.
+def page_after(
+    df: DataFrame, keys: Sequence[tuple[str, bool]], last: Mapping | None, size: int = 20
+) -> DataFrame:
+    """The page that follows the row `last`, at the cost of a first page.
+
+    `keys` is a sort as from `sort_keys`, whose last column identifies a row; `last`
+    holds that row's values, nulls included. The bound is a filter on bare columns,
+    so it reaches the scan. A repeated last row is refused, because rows equal to it
+    in all keys cannot be told apart.
     """
     _, size = page_bounds(1, size)
-    rest = df if last is None else df.where(F.col(key) > last)
-    return rest.orderBy(F.asc(key)).limit(size)
+    if last is None:
+        return df.orderBy(*ordered_by(keys)).limit(size)
+    same = F.lit(True)
+    after = F.lit(False)
+    for name, descending in keys:
+        after = after | (same & _behind(name, descending, last[name]))
+        same = same & F.col(name).eqNullSafe(F.lit(last[name]))
+    if df.where(same).limit(2).count() > 1:
+        raise ValueError(f"rows repeat in {[name for name, _ in keys]}: {[last[name] for name, _ in keys]}")
+    return df.where(after).orderBy(*ordered_by(keys)).limit(size)
 
 
 def page_meta(df: DataFrame, page: int = 1, size: int = 20) -> DataFrame:
@@ -130,11 +157,13 @@ def page_meta(df: DataFrame, page: int = 1, size: int = 20) -> DataFrame:
     )
 
 
-def export_rows(df: DataFrame, schema: CohortSchema, limit: int = 5000, **filters) -> DataFrame:
-    """Filtered rows in id order, never more than the export cap."""
+def export_rows(df: DataFrame, schema: CohortSchema, limit: int | None = None, **filters) -> DataFrame:
+    """Every row that matches the filters; with a `limit`, that many in id order."""
     columns = [name for name in (schema.id, *schema.features, schema.label) if name in df.columns]
     matched = where(df, schema, **filters).select(*columns)
-    return matched.orderBy(F.asc_nulls_first(schema.id), *columns[1:]).limit(min(int(limit), MAX_EXPORT))
+    if limit is None:
+        return matched
+    return matched.orderBy(F.asc_nulls_first(schema.id), *columns[1:]).limit(int(limit))
 
 
 def history(
@@ -161,14 +190,10 @@ def newest_first() -> list[Column]:
 
 
 def latest(df: DataFrame, time_column: str) -> DataFrame:
-    """The newest row. Rows without a time come last, ties go to the larger row.
+    """All rows of the newest time: one snapshot, or one log entry.
 
-    A combinable maximum: nothing is sorted.
+    Without any time, all rows. The newest time is a combinable maximum and one row
+    wide; nothing is sorted.
     """
-    others = [name for name in df.columns if name != time_column]
-    newest = F.max(F.struct(F.col(time_column), *[F.col(name) for name in others]))
-    return (
-        df.agg(newest.alias("newest"))
-        .where(F.col("newest").isNotNull())
-        .select(*[F.col("newest").getField(name).alias(name) for name in df.columns])
-    )
+    newest = df.agg(F.max(time_column).alias("_newest"))
+    return df.join(newest, F.col(time_column).eqNullSafe(F.col("_newest"))).select(*df.columns)

@@ -29,24 +29,22 @@ def groups(df: DataFrame, key: str, label: str) -> DataFrame:
     return df.select(key, label).distinct()
 
 
-def attach(df: DataFrame, assignment: DataFrame, key: str, salt: int = 1) -> DataFrame:
+def attach(df: DataFrame, assignment: DataFrame, key: str, salt: int = 16) -> DataFrame:
     """Left join a per-group assignment (one row per key) to every row.
 
-    Adaptive execution splits a key that holds a large part of the rows. With
-    `salt` > 1 that does not depend on its thresholds: the rows of each key are
-    spread over that many parts by their content, and the assignment is repeated
-    once per part.
+    The rows of each key are spread over `salt` parts by their content, and the
+    assignment is repeated once per part, so that a key may hold a large part of the
+    rows. Sides of a split need no join at all: see `with_side`.
     """
-    if salt <= 1:
-        return df.join(assignment, key, "left")
     spread = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salt)).cast("int"))
     repeated = assignment.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return spread.join(repeated, [key, "_salt"], "left").drop("_salt")
 
 
-def keep_groups(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is among the wanted ones."""
-    return df.join(wanted.select(key).distinct(), key, "left_semi")
+def keep_groups(df: DataFrame, wanted: DataFrame, key: str, salt: int = 16) -> DataFrame:
+    """Rows whose key is among the wanted ones; a key's rows are spread as by `attach`."""
+    marked = wanted.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_wanted", F.lit(True))
+    return attach(df, marked, key, salt).where("_wanted").drop("_wanted")
 
 
 def overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -103,7 +101,7 @@ def group_rank(df: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame
     return (
         ordered.withColumn("inside", F.row_number().over(inside))
         .join(offsets, [label, "prefix"])
-        .select(key, label, (F.col("before") + F.col("inside")).cast("int").alias("rn"), "group_count")
+        .select(key, label, (F.col("before") + F.col("inside")).cast("bigint").alias("rn"), "group_count")
     )
 
 
@@ -155,9 +153,12 @@ def without_conflicts(
     df: DataFrame, key: str, label: str, labels: Sequence
 ) -> tuple[DataFrame, DataFrame]:
     """(rows that can be split, quarantined rows with the reason). Together all rows."""
-    bad = unsplittable(df, key, label, labels).withColumnRenamed(key, "_bad_key")
-    marked = df.join(bad, F.col(key).eqNullSafe(F.col("_bad_key")), "left").drop("_bad_key")
-    return marked.where(F.col("reason").isNull()).drop("reason"), marked.where(F.col("reason").isNotNull())
+    # Rows without a key need no partner, and would all meet in one.
+    bad = unsplittable(df, key, label, labels).where(F.col(key).isNotNull())
+    marked = attach(df.where(F.col(key).isNotNull()), bad, key)
+    unsigned = df.where(F.col(key).isNull()).withColumn("reason", F.lit("no signature"))
+    quarantined = marked.where(F.col("reason").isNotNull()).unionByName(unsigned)
+    return marked.where(F.col("reason").isNull()).drop("reason"), quarantined
 
 
 def group_split(
@@ -176,8 +177,8 @@ def group_split(
 
     `on_conflict="raise"` runs one job and fails if a group has several labels,
     an undeclared one or no key; `"quarantine"` leaves such groups out (take
-    them from `without_conflicts`); `"trust"` skips the check, and rows of an
-    undeclared label get a null split.
+    them from `without_conflicts`); `"trust"` skips the check for a caller who has
+    made it, and rows without a key or of an undeclared label get a null split.
     """
     if on_conflict == "raise":
         bad = unsplittable(df, key, label, labels).take(5)
@@ -187,14 +188,19 @@ def group_split(
         df, _ = without_conflicts(df, key, label, labels)
     elif on_conflict != "trust":
         raise ValueError(f"unknown conflict rule: {on_conflict}")
-    cuts = cut_points(df, key, label, labels, seed, ratio)
+    return with_side(df, cut_points(df, key, label, labels, seed, ratio), key, label, seed)
+
+
+def with_side(df: DataFrame, cuts: DataFrame, key: str, label: str, seed: int = 42) -> DataFrame:
+    """Add `split` from the cut of each label; null without a key or for an undeclared label.
+
+    A row's own hash decides, so rows are not shuffled, however they are spread over groups.
+    """
+    known = F.col("cut").isNotNull() & F.col(key).isNotNull()
     # One row per declared label.
     return (
         df.join(F.broadcast(cuts), label, "left")
-        .withColumn(
-            "split",
-            F.when(order_hash(F.col(key), seed) <= F.col("cut"), "train").when(F.col("cut").isNotNull(), "test"),
-        )
+        .withColumn("split", F.when(order_hash(F.col(key), seed) <= F.col("cut"), "train").when(known, "test"))
         .select(*df.columns, "split")
     )
 
@@ -202,8 +208,13 @@ def group_split(
 def assignment(
     df: DataFrame, key: str, label: str, seed: int = 42, ratio: float = 0.70
 ) -> DataFrame:
-    """(key, split) per group, from the exact ranks."""
-    ranked = group_rank(df, key, label, seed)
+    """(key, split) per group, from the exact ranks: one row a key.
+
+    Keys with several labels and rows without a key have no side.
+    """
+    pairs = groups(df.where(F.col(key).isNotNull()), key, label)
+    single = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.first(label).alias(label)).where("n = 1").drop("n")
+    ranked = group_rank(single, key, label, seed)
     side = F.when(F.col("rn") <= train_count(F.col("group_count"), ratio), "train").otherwise("test")
     return ranked.select(key, side.alias("split"))
 
@@ -222,33 +233,37 @@ def row_split(df: DataFrame, id_column: str, seed: int = 42, ratio: float = 0.70
     return df.withColumn("split", F.when(F.substring(hashed, 1, 8) < cut, "train").otherwise("test"))
 
 
-def shared_groups(split: DataFrame, key: str) -> DataFrame:
+def shared_groups(split: DataFrame, key: str, side: str = "split") -> DataFrame:
     """One row: test groups, those of them also in train, and their share."""
-    side = F.when(F.col("split") == "train", 1).otherwise(2)
-    return (
-        split.select(key, side.alias("side"))
-        .groupBy(key)
-        .agg(F.bit_or("side").alias("sides"))
-        .agg(
-            F.count_if(F.col("sides") >= 2).alias("test_groups"),
-            F.count_if(F.col("sides") == 3).alias("shared_groups"),
-        )
-        .select(
-            "test_groups",
-            "shared_groups",
-            F.when(F.col("test_groups") > 0, F.round(F.col("shared_groups") / F.col("test_groups"), 4))
-            .otherwise(0.0)
-            .alias("shared_ratio"),
-        )
+    return _shared(split, key, [side]).select("test_groups", "shared_groups", "shared_ratio")
+
+
+def _shared(split: DataFrame, key: str, sides: Sequence[str]) -> DataFrame:
+    """(method, test_groups, shared_groups, shared_ratio) of every side column, from one grouping."""
+    bit = {name: F.when(F.col(name) == "train", 1).when(F.col(name) == "test", 2) for name in sides}
+    found = split.groupBy(key).agg(*[F.bit_or(value).alias(name) for name, value in bit.items()])
+    counted = found.agg(
+        *[F.count_if(F.col(name) >= 2).alias(f"{name}_test") for name in sides],
+        *[F.count_if(F.col(name) == 3).alias(f"{name}_shared") for name in sides],
     )
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("method"),
+                F.col(f"{name}_test").alias("test_groups"),
+                F.col(f"{name}_shared").alias("shared_groups"),
+            )
+            for name in sides
+        ]
+    )
+    share = F.when(F.col("test_groups") > 0, F.round(F.col("shared_groups") / F.col("test_groups"), 4)).otherwise(0.0)
+    return counted.select(F.inline(rows)).withColumn("shared_ratio", share)
 
 
 def leakage_contrast(
     df: DataFrame, id_column: str, key: str, label: str, labels: Sequence, seed: int = 42, ratio: float = 0.70
 ) -> DataFrame:
-    """(method, test_groups, shared_groups, shared_ratio) of both ways to split."""
-    by_row = shared_groups(row_split(df, id_column, seed, ratio), key)
-    by_group = shared_groups(group_split(df, key, label, labels, seed, ratio, "trust"), key)
-    return by_row.select(F.lit("row").alias("method"), "*").unionByName(
-        by_group.select(F.lit("group").alias("method"), "*")
-    )
+    """(method, test_groups, shared_groups, shared_ratio) of both ways to split, from one pass over the rows."""
+    by_row = row_split(df, id_column, seed, ratio).withColumnRenamed("split", "row")
+    both = with_side(by_row, cut_points(df, key, label, labels, seed, ratio), key, label, seed)
+    return _shared(both.withColumnRenamed("split", "group"), key, ["row", "group"])

@@ -80,7 +80,7 @@ GROUPED_CTE = {
 ORDERED_CTE = {
     **GROUPED_CTE,
     "pairs": "SELECT DISTINCT feature_signature, label FROM grouped",
-    "ranked": """SELECT *, CAST(row_number() OVER (PARTITION BY label ORDER BY sha256(feature_signature || '42')) AS INTEGER) AS rn,
+    "ranked": """SELECT *, CAST(row_number() OVER (PARTITION BY label ORDER BY sha256(feature_signature || '42')) AS BIGINT) AS rn,
         count(*) OVER (PARTITION BY label) AS group_count FROM pairs""",
     "sides": f"""SELECT feature_signature, CASE WHEN rn <= greatest(1, least(group_count - 1, round(group_count * {RATIO})))
         THEN 'train' ELSE 'test' END AS split FROM ranked""",
@@ -259,6 +259,24 @@ def _side_groups(rows: str) -> str:
               FROM {rows} GROUP BY 1)"""
 
 
+SNAPSHOT = f"SELECT {NOW_SQL} AS created_at, split_part(key, '|', 1) AS section, key, n FROM counted"
+
+# The test side of the cohort by its signatures, as the split has to give it.
+TESTED_CTE = {
+    **COHORT_CTE,
+    "signed": f"SELECT subject_id, level, {_signature(COHORT)} AS feature_signature FROM cohort",
+    "ranked": """SELECT *, row_number() OVER (PARTITION BY level ORDER BY sha256(feature_signature || '42')) AS rn,
+        count(*) OVER (PARTITION BY level) AS group_count FROM (SELECT DISTINCT feature_signature, level FROM signed)""",
+    "held": f"SELECT feature_signature FROM ranked WHERE rn > greatest(1, least(group_count - 1, round(group_count * {RATIO})))",
+    "tested": "SELECT level FROM signed SEMI JOIN held USING (feature_signature)",
+}
+FITTED = _with(TESTED_CTE, "SELECT level AS actual, count(*) AS n, TRUE AS above_majority FROM tested GROUP BY level")
+
+
+def _prefixed(name: str) -> str:
+    return f"CAST(length(CAST({name} AS VARCHAR)) AS VARCHAR) || ':' || CAST({name} AS VARCHAR)"
+
+
 ORACLES: dict[str, str] = {
     "read_clean_rows": _with(COHORT_CTE, "SELECT * FROM cohort"),
     "positional_bad_rows": _with(
@@ -273,10 +291,7 @@ ORACLES: dict[str, str] = {
         f"""SELECT subject_id, {', '.join(RAW.features)},
         CAST(CASE level WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 WHEN 'High' THEN 2 END AS INTEGER) AS level_encoded, level FROM clean""",
     ),
-    "export_capped": _with(
-        COHORT_CTE,
-        f"SELECT {_cohort_columns} FROM cohort WHERE level = 'High' AND ind_qty >= 6 ORDER BY {_cohort_columns} LIMIT 20000",
-    ),
+    "export_rows": _with(COHORT_CTE, f"SELECT {_cohort_columns} FROM cohort WHERE level = 'High' AND ind_qty >= 6"),
     "risk_export_wide": _with(
         COHORT_RISK,
         'SELECT "rank", indicator, mean_low, mean_medium, mean_high, impact, pct_high AS pct_high_when_high_value FROM ranked',
@@ -296,11 +311,11 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (t.id IS NOT NULL AND (t.amount, t.note, t.updated_at) IS DISTINCT FROM (f.amount, f.note, f.updated_at)) AS modified
         FROM fresh f LEFT JOIN target t ON t.id = f.id""",
     ),
-    "distribution_snapshot": _with(
-        {**COHORT_KEYS_CTE, "total": "SELECT CAST(count(*) AS INTEGER) AS n_keys FROM counted"},
-        f"""SELECT {NOW_SQL} AS created_at, (SELECT n_keys FROM total) AS n_keys, split_part(key, '|', 1) || '_distribution' AS map_name,
-            split_part(key, '|', 2) AS key, n FROM counted WHERE split_part(key, '|', 1) IN ('level', 'gender', 'age_group')
-        UNION ALL SELECT {NOW_SQL}, (SELECT n_keys FROM total), 'distributions', key, n FROM counted""",
+    "distribution_snapshot": _with(COHORT_KEYS_CTE, SNAPSHOT),
+    "result_document": _with(
+        COHORT_RISK,
+        """SELECT r.name, "rank", indicator, impact, pct_high AS pct_high_when_high_value, mean_low, mean_medium, mean_high,
+        TIMESTAMP '2024-01-15 12:00:00' AS created_at FROM ranked, (VALUES ('risk', 1000), ('other', 1)) r(name, most) WHERE "rank" <= r.most""",
     ),
     "version_registry": f"""SELECT 'v20240101' AS version, count(*) AS n_rows, TIMESTAMP '2024-01-01 00:00:00' AS created_at FROM orders
         UNION ALL SELECT '{VERSION}', count(*), {NOW_SQL} FROM lineitem""",
@@ -357,12 +372,16 @@ ORACLES: dict[str, str] = {
     "prediction_history": _with(LOG_CTE, "SELECT * FROM log WHERE subject_id = '42' AND predicted_label = 'purchase'"),
     "search_sorted": _with(COHORT_CTE, "SELECT * FROM cohort WHERE level = 'Medium'"),
     "page_rows": _with(LOG_CTE, "SELECT * FROM log ORDER BY created_at DESC, prediction_id LIMIT 50 OFFSET 100"),
+    "page_next": _with(
+        COHORT_CTE,
+        "SELECT * FROM cohort WHERE level = 'Medium' ORDER BY ind_price DESC, subject_id LIMIT 50 OFFSET 100",
+    ),
     "page_meta": _with(
         LOG_CTE,
-        """SELECT 1 AS page, 100 AS page_size, count(*) AS total, CAST(greatest(1, ceil(count(*) / 100)) AS BIGINT) AS total_pages
+        """SELECT 1 AS page, 500 AS page_size, count(*) AS total, CAST(greatest(1, ceil(count(*) / 500)) AS BIGINT) AS total_pages
         FROM log WHERE predicted_label = 'click'""",
     ),
-    "latest_snapshot": _with(LOG_CTE, "SELECT * FROM log ORDER BY created_at DESC, prediction_id DESC LIMIT 1"),
+    "latest_snapshot": _with(COHORT_KEYS_CTE, SNAPSHOT),
     "split_assign": _with(ORDERED_CTE, "SELECT * FROM divided"),
     "rows_in_train_groups": _with(ORDERED_CTE, "SELECT row_id, feature_signature, label FROM divided WHERE split = 'train'"),
     "split_overlap": _with(
@@ -506,6 +525,16 @@ ORACLES: dict[str, str] = {
         """SELECT sha256(nation_text) AS feature_signature, 'several labels' AS reason FROM bound
         GROUP BY nation_text HAVING count(DISTINCT label) > 1""",
     ),
+    "split_quarantine": _with(
+        {
+            "bound": _tables(B.GROUPED_SQL),
+            "signed": """SELECT row_id, label, CASE WHEN row_id % 7 = 0 THEN NULL WHEN row_id % 3 = 0 THEN nation_text ELSE group_text END AS signature
+                FROM bound""",
+            "mixed": "SELECT signature FROM signed GROUP BY signature HAVING count(DISTINCT label) > 1",
+        },
+        """SELECT row_id, label, CASE WHEN signature IS NULL THEN 'no signature'
+        WHEN signature IN (SELECT signature FROM mixed WHERE signature IS NOT NULL) THEN 'several labels' END AS reason FROM signed""",
+    ),
     "split_report": _with(
         ORDERED_CTE,
         "SELECT split, label, count(*) AS n_rows, count(DISTINCT feature_signature) AS n_groups FROM divided GROUP BY split, label",
@@ -523,7 +552,7 @@ ORACLES: dict[str, str] = {
     ),
     "eval_metrics": _with(
         CLASSES_CTE,
-        """SELECT CAST(sum(support) AS BIGINT) AS n, round(sum(recall * support) / sum(support), 4) AS accuracy,
+        """SELECT CAST(sum(support) AS BIGINT) AS n, (SELECT count(*) FROM judged) - CAST(sum(support) AS BIGINT) AS n_unscored, round(sum(recall * support) / sum(support), 4) AS accuracy,
         round(sum("precision" * support) / sum(support), 4) AS weighted_precision,
         round(sum(recall * support) / sum(support), 4) AS weighted_recall,
         round(sum(f1 * support) / sum(support), 4) AS f1, round(avg(f1), 4) AS macro_f1 FROM rates""",
@@ -538,4 +567,20 @@ ORACLES: dict[str, str] = {
         """SELECT label, support, round("precision", 4) AS "precision", round(recall, 4) AS recall, round(f1, 4) AS f1 FROM rates""",
     ),
 }
+ORACLES["fit_logistic"] = ORACLES["fit_forest"] = FITTED
+ORACLES["model_roundtrip"] = _with(TESTED_CTE, "SELECT level AS actual, count(*) AS n, TRUE AS same FROM tested GROUP BY level")
+ORACLES["model_compare"] = _with(
+    TESTED_CTE,
+    """SELECT m.model, count(*) AS n, CAST(0 AS BIGINT) AS n_unscored, TRUE AS above_half
+    FROM tested, (VALUES ('logistic_regression'), ('random_forest')) m(model) GROUP BY m.model""",
+)
+ORACLES["score_batch"] = _with(
+    COHORT_CTE,
+    f"""SELECT sha256('10:logistic-1' || {' || '.join(_prefixed(name) for name in (COHORT.id, *COHORT.features))}) AS prediction_id,
+    subject_id, 'logistic-1' AS model_run_id, '{VERSION}' AS dataset_version, {NOW_SQL} AS created_at,
+    TRUE AS label_agrees, TRUE AS sums_to_one FROM cohort""",
+)
+ORACLES["model_card"] = f"""SELECT 'logistic-1' AS model_run_id, 'LogisticRegressionModel' AS algorithm,
+    '{",".join(COHORT.features)}' AS features, '{{"0":"High","1":"Low","2":"Medium"}}' AS index_to_label,
+    'accuracy,f1,macro_f1,weighted_precision,weighted_recall' AS metric_names, '{VERSION}' AS dataset_version, {NOW_SQL} AS trained_at"""
 ORACLES["metrics_roundtrip"] = ORACLES["eval_metrics"]

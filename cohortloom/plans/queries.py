@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortloom import functions as X
@@ -15,6 +15,7 @@ from cohortloom.plans.bindings import COHORT, RAW
 from cohortloom.sources import files, store
 
 NOW = datetime(2024, 2, 1, 12, 0, 0)
+EARLIER = datetime(2024, 1, 15, 12, 0, 0)
 VERSION = "v20240201"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -78,7 +79,11 @@ def counts_parse(spark, sf_dir):
     path = f"{files.scratch_dir(spark)}/counts"
     counted.select(
         F.explode(
-            F.array(F.concat_ws("\t", "key", "n"), F.concat(F.lit("junk|"), "key", F.lit("\tn/a")))
+            F.array(
+                F.concat_ws("\t", "key", "n"),
+                F.concat(F.lit("junk|"), "key", F.lit("\tn/a")),
+                F.concat_ws("\t", F.lit("three"), "key", "n"),
+            )
         ).alias("value")
     ).write.text(path)
     return files.read_counts(spark, path)
@@ -94,10 +99,8 @@ def clean_outputs_roundtrip(spark, sf_dir):
 
 
 @query
-def export_capped(spark, sf_dir):
-    rows = search.export_rows(
-        B.cohort(spark, sf_dir), COHORT, limit=25_000, label="high", feature="ind_qty", operator="gte", value=6
-    )
+def export_rows(spark, sf_dir):
+    rows = search.export_rows(B.cohort(spark, sf_dir), COHORT, label="high", feature="ind_qty", operator="gte", value=6)
     path = f"{files.scratch_dir(spark)}/export"
     files.write_export(rows, path)
     return files.read_clean(spark, path, rows.schema)
@@ -129,14 +132,23 @@ def upsert_counts(spark, sf_dir):
 
 @query
 def distribution_snapshot(spark, sf_dir):
-    counted = distribution.distribution_table(B.cohort(spark, sf_dir), COHORT)
-    sections = [COHORT.label, COHORT.category, COHORT.band_name]
-    document = store.snapshot_document(counted, NOW, sections)
-    maps = [f"{name}_distribution" for name in sections] + ["distributions"]
-    named = F.explode(F.array(*[F.struct(F.lit(name).alias("map_name"), F.col(name).alias("map")) for name in maps]))
-    return document.select("created_at", "n_keys", named.alias("entry")).select(
-        "created_at", "n_keys", "entry.map_name", F.explode("entry.map").alias("key", "n")
-    )
+    path = f"{files.scratch_dir(spark)}/snapshots"
+    store.append_snapshot(distribution.distribution_table(B.cohort(spark, sf_dir), COHORT), path, NOW)
+    return spark.read.parquet(path)
+
+
+@query
+def result_document(spark, sf_dir):
+    """The stored risk result after it was replaced by a later one."""
+    flat = [
+        "rank", "indicator", "impact", "pct_high_when_high_value",
+        *[F.col("mean_by_level")[label].alias(f"mean_{label.lower()}") for label in COHORT.labels],
+    ]
+    document = risk.factor_documents(B.cohort(spark, sf_dir), COHORT)
+    dated = document.select(F.lit("risk").alias("name"), "*", F.lit(EARLIER).cast("timestamp_ntz").alias("created_at"))
+    other = dated.withColumn("name", F.lit("other"))
+    results = dated.where("rank <= 3").unionByName(other.where("rank = 1"))
+    return store.put_result(results, "risk", document, NOW).select("name", *flat, "created_at")
 
 
 @query
@@ -319,35 +331,42 @@ def page_meta(spark, sf_dir):
 
 @query
 def latest_snapshot(spark, sf_dir):
-    return search.latest(B.prediction_log(spark, sf_dir), "created_at")
+    """The newer of two stored snapshots, all its keys."""
+    path = f"{files.scratch_dir(spark)}/snapshots"
+    counted = distribution.distribution_table(B.cohort(spark, sf_dir), COHORT)
+    store.append_snapshot(counted.where("key like 'level|%'"), path, EARLIER)
+    store.append_snapshot(counted, path, NOW)
+    return search.latest(spark.read.parquet(path), "created_at")
 
 
-# Joins and sets over groups
+@query
+def page_next(spark, sf_dir):
+    """The page after row 100 of a sort with many ties."""
+    rows = search.where(B.cohort(spark, sf_dir), COHORT, label="Medium")
+    keys = search.sort_keys(COHORT, "ind_price", "desc")
+    last = rows.orderBy(*search.ordered_by(keys)).offset(99).limit(1).first()
+    return search.page_after(rows, keys, last and last.asDict(), 50)
 
 
-def _sides(spark, sf_dir):
-    rows = split_assign(spark, sf_dir)
-    return rows.where("split = 'train'"), rows.where("split = 'test'")
+# Joins and sets over groups
 
 
 @query
 def split_assign(spark, sf_dir):
     rows = B.grouped(spark, sf_dir)
-    return split.attach(rows, split.assignment(rows, "feature_signature", "label"), "feature_signature").select(
-        "row_id", "feature_signature", "label", "split"
-    )
+    cuts = split.cut_points(rows, "feature_signature", "label", B.SEGMENTS)
+    return split.with_side(rows, cuts, "feature_signature", "label")
 
 
 @query
 def rows_in_train_groups(spark, sf_dir):
-    rows = B.grouped(spark, sf_dir)
-    train = split.assignment(rows, "feature_signature", "label").where("split = 'train'")
-    return split.keep_groups(rows, train, "feature_signature").select("row_id", "feature_signature", "label")
+    return split_assign(spark, sf_dir).where("split = 'train'").drop("split")
 
 
 @query
 def split_overlap(spark, sf_dir):
-    return split.overlap(*_sides(spark, sf_dir), "feature_signature")
+    shared = split.shared_groups(split_assign(spark, sf_dir), "feature_signature")
+    return shared.select(F.col("shared_groups").alias("overlap"))
 
 
 @query
@@ -591,6 +610,13 @@ def split_conflict_gate(spark, sf_dir):
     return split.unsplittable(rows, "feature_signature", "label", B.SEGMENTS)
 
 
+@query
+def split_quarantine(spark, sf_dir):
+    """Every row with its reason for quarantine: no signature, a signature under several labels, or none."""
+    good, bad = split.without_conflicts(B.conflicting(spark, sf_dir), "feature_signature", "label", B.SEGMENTS)
+    return good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad).select("row_id", "label", "reason")
+
+
 @query
 def split_report(spark, sf_dir):
     return split.split_report(group_split(spark, sf_dir), "feature_signature", "label")
@@ -607,7 +633,7 @@ def leakage_contrast(spark, sf_dir):
 def _model_split(spark, sf_dir):
     """A stored manifest: fitting reads it many times, the split is computed once."""
     signed = X.with_signature(B.cohort(spark, sf_dir), COHORT.features)
-    rows = split.group_split(signed, "feature_signature", COHORT.label, COHORT.labels, on_conflict="trust")
+    rows = split.group_split(signed, "feature_signature", COHORT.label, COHORT.labels)
     path = f"{files.scratch_dir(spark)}/manifest"
     files.write_manifest(rows.select(COHORT.id, COHORT.label, *COHORT.features, "split"), path)
     return files.read_manifest(spark, path)
@@ -629,7 +655,15 @@ def _fitted(spark, sf_dir, pipeline):
 
 def _judged(spark, sf_dir, pipeline):
     fitted, test = _fitted(spark, sf_dir, pipeline)
-    return model.confusion(model.predict(fitted, test), COHORT.label, "predicted_label", COHORT.labels)
+    return _support(model.predict(fitted, test))
+
+
+def _support(pred):
+    """(actual, n, above_majority): test rows of each label, and whether all together are right more often than their majority."""
+    right = F.coalesce(F.col(COHORT.label) == F.col("predicted_label"), F.lit(False))
+    counted = pred.groupBy(F.col(COHORT.label).alias("actual")).agg(F.count(F.lit(1)).alias("n"), F.count_if(right).alias("hits"))
+    labels = Window.partitionBy(F.lit(1))  # a row a label
+    return counted.select("actual", "n", (F.sum("hits").over(labels) > F.max("n").over(labels)).alias("above_majority"))
 
 
 @query
@@ -661,7 +695,8 @@ def per_class_f1(spark, sf_dir):
 @query
 def model_compare(spark, sf_dir):
     pipelines = {"logistic_regression": _logistic(), "random_forest": _forest()}
-    return model.compare(pipelines, _model_split(spark, sf_dir), COHORT.label, COHORT.labels, COHORT.features)
+    compared = model.compare(pipelines, _model_split(spark, sf_dir), COHORT.label, COHORT.labels, COHORT.features)
+    return compared.select("model", "n", "n_unscored", (F.col("accuracy") > 0.5).alias("above_half"))
 
 
 @query
@@ -669,9 +704,19 @@ def score_batch(spark, sf_dir):
     fitted, _ = _fitted(spark, sf_dir, _logistic())
     scored = model.score(B.cohort(spark, sf_dir), fitted, COHORT.id, COHORT.labels, "logistic-1", VERSION, NOW)
     path = f"{files.scratch_dir(spark)}/predictions"
-    if not store.append_predictions(scored, path):
-        return scored
-    return spark.read.parquet(path)
+    for _ in range(2):  # a rerun adds nothing
+        store.append_predictions(scored, path)
+    names = F.array(*[F.lit(name) for name in model.fitted_labels(fitted)])
+    total = F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda a, b: a + b)
+    return spark.read.parquet(path).select(
+        "prediction_id",
+        "subject_id",
+        "model_run_id",
+        "dataset_version",
+        "created_at",
+        (F.get(names, F.col("predicted_index")) == F.col("predicted_label")).alias("label_agrees"),
+        (F.abs(total - 1) <= 0.001).alias("sums_to_one"),
+    )
 
 
 @query
@@ -680,7 +725,10 @@ def model_roundtrip(spark, sf_dir):
     path = f"{files.scratch_dir(spark)}/model"
     model.save_model(fitted, path)
     loaded = model.load_model(path, COHORT.labels)
-    return model.confusion(model.predict(loaded, test), COHORT.label, "predicted_label", COHORT.labels)
+    before = model.predict(fitted, test).withColumnRenamed("predicted_label", "before").drop("predicted_index", "probability")
+    both = model.predict(loaded, before)
+    same = F.col("before").eqNullSafe(F.col("predicted_label"))
+    return both.groupBy(F.col(COHORT.label).alias("actual")).agg(F.count(F.lit(1)).alias("n"), F.bool_and(same).alias("same"))
 
 
 @query
@@ -700,7 +748,7 @@ def model_card(spark, sf_dir):
         "algorithm",
         F.array_join("features", ",").alias("features"),
         F.to_json("index_to_label").alias("index_to_label"),
-        F.to_json("metrics").alias("metrics"),
+        F.array_join(F.array_sort(F.map_keys("metrics")), ",").alias("metric_names"),
         "dataset_version",
         "trained_at",
     )

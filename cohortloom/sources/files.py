@@ -72,8 +72,8 @@ def read_positional(
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """(section, key, n) of `key<TAB>count` lines.
 
-    The section is the key up to its first '|'. Lines whose count is not a whole
-    number are dropped. If a key repeats, its last line wins.
+    The section is the key up to its first '|'. The count is everything after the
+    first tab; lines where that is not a whole number are dropped. If a key repeats, its last line wins.
     """
     lines = spark.read.text(path).select(
         F.regexp_replace(F.col("value"), "^\ufeff", "").alias("line"),
@@ -81,7 +81,7 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
             "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at")
         ).alias("place"),
     )
-    value = strip(F.substring_index("line", "\t", -1))
+    value = strip(F.expr("substring(line, locate('\t', line) + 1)"))
     parsed = lines.where(F.col("line").contains("\t")).select(
         F.substring_index("line", "\t", 1).alias("key"),
         F.when(value.rlike(r"^[+-]?[0-9]+$"), value.try_cast("bigint")).alias("n"),
@@ -97,8 +97,12 @@ def write_counts(distribution: DataFrame, path: str) -> None:
 
 
 def write_manifest(split: DataFrame, path: str) -> None:
-    """Split rows as Parquet, one directory per side so a side can be read alone."""
-    split.write.mode("errorifexists").partitionBy("split").parquet(path)
+    """Split rows as Parquet, one directory per side so a side can be read alone.
+
+    The rows are dealt out evenly, because a fit reads them many times over.
+    """
+    parts = int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    split.repartition(parts).write.mode("errorifexists").partitionBy("split").parquet(path)
 
 
 def read_manifest(spark: SparkSession, path: str, side: str | None = None) -> DataFrame:
@@ -125,7 +129,7 @@ def write_outputs(counting: DataFrame, model: DataFrame, report: DataFrame, path
 
 
 def write_export(rows: DataFrame, path: str) -> None:
-    """A capped export as one CSV file with a header; an empty one raises."""
+    """An export as CSV part files with headers; an empty one raises."""
     if rows.isEmpty():
         raise EmptyExportError("no row matches the filter")
-    rows.coalesce(1).write.option("header", True).csv(path)
+    rows.write.option("header", True).csv(path)

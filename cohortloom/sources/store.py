@@ -6,15 +6,14 @@ caller writes it next to the old one. The version registry says which is current
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cohortloom.operators.cleaning import timestamp
-
-MAX_MAP_KEYS = 100_000
+from cohortloom.sources.files import scratch_dir
 
 
 def dedupe_batch(batch: DataFrame, key: str, order: str | None) -> DataFrame:
@@ -80,9 +79,15 @@ def merge_counts(target: DataFrame, batch: DataFrame, key: str, order: str | Non
 
 
 def put_result(results: DataFrame, name: str, document: DataFrame, now: datetime) -> DataFrame:
-    """Replace or add one named result document (a one-row frame)."""
+    """Replace or add one named result of any number of rows.
+
+    All rows of the name are replaced; `created_at` stays that of its first insert.
+    """
     named = document.select(F.lit(name).alias("name"), "*")
-    return merge_by_key(results, named, "name", now)
+    first = results.where(F.col("name") == name).groupBy("name").agg(F.min("created_at").alias("_first"))
+    dated = named.join(first, "name", "left").withColumn("created_at", F.coalesce("_first", timestamp(now))).drop("_first")
+    others = results.where(~F.col("name").eqNullSafe(F.lit(name)))
+    return others.unionByName(dated.select(*results.columns))
 
 
 def register_version(registry: DataFrame, version: str, rows: DataFrame, now: datetime) -> DataFrame:
@@ -126,47 +131,23 @@ def append_snapshot(distribution: DataFrame, path: str, now: datetime) -> None:
     snapshot_rows(distribution, now).write.mode("append").parquet(path)
 
 
-def snapshot_document(
-    distribution: DataFrame, now: datetime, sections: Sequence[str], max_keys: int = MAX_MAP_KEYS
-) -> DataFrame:
-    """One row per snapshot: a map per section, and one map of all keys.
+def append_predictions(scored: DataFrame, path: str) -> bool:
+    """Append scored rows that the log does not hold yet, by prediction id.
 
-    A map is one value in one task, so its size is bounded: a distribution with
-    more keys than `max_keys` fails loudly and stays in long form.
+    The scores are computed and stored first, and a failure there is the caller's. Only
+    a log that cannot be written is survived: the caller learns that nothing was logged.
     """
-    bounded = distribution.select("key", "n").limit(max_keys + 1)
-    entries = F.collect_list(F.struct("key", "n")).alias("entries")
-    gathered = bounded.agg(entries).select(
-        F.when(
-            F.size("entries") > max_keys,
-            F.raise_error(F.lit(f"more than {max_keys} keys: keep the snapshot in long form")).cast(
-                "array<struct<key:string,n:bigint>>"
-            ),
-        )
-        .otherwise(F.col("entries"))
-        .alias("entries")
-    )
-
-    def section(name: str):
-        chosen = F.filter("entries", lambda entry: F.startswith(entry["key"], F.lit(f"{name}|")))
-        bare = F.transform(
-            chosen, lambda entry: F.struct(F.substring(entry["key"], len(name) + 2, 1 << 20).alias("key"), entry["n"])
-        )
-        return F.map_from_entries(bare).alias(f"{name}_distribution")
-
-    return gathered.select(
-        timestamp(now).alias("created_at"),
-        F.size("entries").alias("n_keys"),
-        *[section(name) for name in sections],
-        F.map_from_entries("entries").alias("distributions"),
-    )
-
-
-def append_predictions(scored: DataFrame, path: str) -> bool:
-    """Append scored rows to the log. A failing log does not lose the scores:
-    the frame stays usable and the caller learns that nothing was logged."""
+    spark = scored.sparkSession
+    place = f"{scratch_dir(spark)}/scored"
+    scored.write.parquet(place)
+    stored = spark.read.schema(scored.schema).parquet(place)
+    try:
+        known = spark.read.parquet(path).select("prediction_id")
+        stored = stored.join(known, "prediction_id", "left_anti").select(*scored.columns)
+    except AnalysisException:
+        pass  # no log yet
     try:
-        scored.write.mode("append").parquet(path)
+        stored.write.mode("append").parquet(path)
     except Exception as error:  # noqa: BLE001 - whatever the sink raises
         print(f"prediction log not written: {error}")
         return False

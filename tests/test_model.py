@@ -120,3 +120,9 @@ def test_requests_are_scored_as_they_arrive(spark, cohort, fitted, tmp_path):
             scoring.append_stream(rows, f"{tmp_path}/{name}", f"{tmp_path}/{name}_state", once=True).awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/log").count() == 599
     assert spark.read.parquet(f"{tmp_path}/refused").first().errors == ["invalid:age"]
+
+
+def test_unscored_pairs_are_counted(spark):
+    pred = spark.createDataFrame([("a", "a"), ("a", None), ("z", "a")], "actual string, predicted string")
+    row = model.evaluate(pred, "actual", "predicted", ["a", "b"]).first()
+    assert (row.n, row.n_unscored, row.accuracy) == (1, 2, 1.0)

@@ -54,7 +54,6 @@ def test_whole_number_columns_are_not_parsed(stored):
         (lambda df: risk.correlation_table(df, COHORT), 1),
         (lambda df: quality.violation_counts(df, COHORT), 1),
         (lambda df: quality.profile(df, COHORT), 2),
-        (lambda df: search.latest(df.select("subject_id", "updated_at"), "updated_at"), 1),
     ],
 )
 def test_one_scan_and_few_exchanges(stored, build, exchanges):

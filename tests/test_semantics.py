@@ -283,11 +283,24 @@ def test_paging(spark):
     pages = [values(search.page_rows(frame, order, page, 100), "id") for page in (1, 2, 3)]
     assert [len(page) for page in pages] == [100, 100, 50]
     assert sum(pages, []) == [f"p{at:03}" for at in range(250)]
-    assert values(search.page_after(frame, "id", pages[0][-1], 100), "id") == pages[1]
-    assert tuple(search.page_meta(frame, 0, 500).first()) == (1, 100, 250, 3)
+    assert tuple(search.page_meta(frame, 0, 100).first()) == (1, 100, 250, 3)
+    assert tuple(search.page_meta(frame, 0, 500).first()) == (1, 500, 250, 1)
     assert search.page_meta(frame.limit(0)).first().total_pages == 1
 
 
+@pytest.mark.parametrize("direction", ["asc", "desc"])
+def test_walking_all_pages_is_the_sorted_table(spark, direction):
+    frame = rows(spark, *[(f"p{at:02}", None if at % 5 == 0 else at % 3, 1, 5, 1, "Low") for at in range(40)], schema=TYPED)
+    keys, seen, last = search.sort_keys(S, "age", direction), [], None
+    while page := search.page_after(frame, keys, last, 7).collect():
+        seen += [row.id for row in page]
+        last = page[-1].asDict()
+    assert seen == values(search.sort(frame, S, "age", direction), "id")
+    twice = frame.unionByName(frame)
+    with pytest.raises(ValueError, match="repeat"):
+        search.page_after(twice, keys, twice.first().asDict(), 5)
+
+
 def test_history(spark):
     log = spark.createDataFrame(
         [("1", "a", "High", datetime(2024, 1, 1)), ("2", "a", "Low", datetime(2024, 1, 2)), ("3", "a", "High", datetime(2024, 1, 2))],
@@ -298,8 +311,9 @@ def test_history(spark):
     assert search.history(log, predicted="HIGH").count() == 0
 
 
-def test_export_is_capped_by_the_feature_only(spark):
+def test_export_is_whole_without_a_limit(spark):
     frame = rows(spark, *DIRTY)
+    assert search.export_rows(frame.withColumn("age", F.lit(3)), S).count() == len(DIRTY)
     assert search.export_rows(frame.withColumn("age", F.lit(3)), S, limit=2).count() == 2
 
 
@@ -327,3 +341,11 @@ def test_patient_pipeline(spark):
     assert stored.where("length(feature_signature) = 64 and age_group = '30-39'").count() == 18
     assert risk.risk_factors(stored, PATIENTS).count() == 21
     assert quality.quality_summary(stored, PATIENTS).first().row_count_valid == 18
+
+
+def test_verify_reports_what_is_missing(spark):
+    stored = cleaning.enrich(rows(spark, *DIRTY[2:3]), S, "v1", datetime(2024, 1, 1)).drop(S.label)
+    expected = spark.createDataFrame([("total", 1), (f"{S.label}:Severe", 3)], "check_name string, expected bigint")
+    checks = {row.check_name: row for row in quality.verify(stored, S, expected).collect()}
+    assert not checks["missing_columns"].ok and checks["missing_columns"].measured == 1
+    assert not checks[f"{S.label}:Severe"].ok and checks["total"].ok

@@ -109,3 +109,14 @@ def test_row_split_leaks_and_group_split_does_not(cohort):
     rows = {row.method: row for row in split.leakage_contrast(cohort, "row_id", KEY, LABEL, LABELS).collect()}
     assert rows["row"].shared_groups > 0
     assert rows["group"].shared_groups == 0 and rows["group"].test_groups > 0
+
+
+def test_a_key_has_one_side_or_none(spark):
+    rows = spark.createDataFrame(
+        [("k1", "x"), ("k1", "y"), ("k2", "x"), ("k3", "x"), (None, "x"), ("k6", "y")], f"{KEY} string, {LABEL} string"
+    )
+    sides = split.assignment(rows, KEY, LABEL)
+    assert {row[KEY] for row in sides.collect()} == {"k2", "k3", "k6"}
+    assert split.attach(rows, sides, KEY).count() == rows.count()
+    trusted = split.group_split(rows, KEY, LABEL, LABELS, on_conflict="trust")
+    assert trusted.where(f"{KEY} is null and split is not null").count() == 0

@@ -49,11 +49,15 @@ def test_repeated_key_without_order_fails(spark):
 
 
 def test_named_result_is_replaced(spark):
-    results = spark.createDataFrame([("risk", 1, OLD)], "name string, total int, created_at timestamp_ntz")
-    document = spark.createDataFrame([(2,)], "total int")
+    results = spark.createDataFrame(
+        [("risk", 1, OLD), ("risk", 5, NOW), (None, 7, OLD)], "name string, total int, created_at timestamp_ntz"
+    )
+    document = spark.createDataFrame([(2,), (3,)], "total int")
     kept = store.put_result(results, "risk", document, NOW)
     both = store.put_result(kept, "quality", document, NOW)
-    assert {tuple(row) for row in both.collect()} == {("risk", 2, OLD), ("quality", 2, NOW)}
+    assert {tuple(row) for row in both.collect()} == {
+        ("risk", 2, OLD), ("risk", 3, OLD), ("quality", 2, NOW), ("quality", 3, NOW), (None, 7, OLD)
+    }
 
 
 def test_version_registry(spark):
@@ -73,16 +77,13 @@ def test_versions_stand_side_by_side(spark, tmp_path):
 
 def test_snapshot(spark, tmp_path):
     counted = spark.createDataFrame([("level|Low", 2), ("age|<20", 1), ("cross|level_age|Low|<20", 1)], "key string, n bigint")
-    row = store.snapshot_document(counted, NOW, ["level", "age"]).first()
-    assert (row.n_keys, row.level_distribution, row.age_distribution) == (3, {"Low": 2}, {"<20": 1})
-    assert row.distributions["cross|level_age|Low|<20"] == 1
-    with pytest.raises(Exception, match="more than 2 keys"):
-        store.snapshot_document(counted, NOW, ["level"], max_keys=2).collect()
     store.append_snapshot(counted, f"{tmp_path}/s", OLD)
     store.append_snapshot(counted.withColumn("n", F.lit(9).cast("bigint")), f"{tmp_path}/s", NOW)
     snapshots = spark.read.parquet(f"{tmp_path}/s")
     assert snapshots.count() == 6
-    assert search.latest(snapshots, "created_at").first().n == 9
+    assert [row.n for row in search.latest(snapshots, "created_at").collect()] == [9, 9, 9]
+    sections = {row.section for row in search.latest(snapshots, "created_at").collect()}
+    assert sections == {"level", "age", "cross"}
 
 
 def test_latest_puts_rows_without_a_time_last(spark):
@@ -94,10 +95,14 @@ def test_latest_puts_rows_without_a_time_last(spark):
 
 def test_failing_log_keeps_the_scores(spark, tmp_path):
     (tmp_path / "file").write_text("in the way")
-    scored = target(spark)
+    scored = target(spark).withColumnRenamed("id", "prediction_id")
     assert store.append_predictions(scored, f"{tmp_path}/file/log") is False
     assert scored.count() == 3
-    assert store.append_predictions(scored, f"{tmp_path}/log") is True
+    for _ in range(2):
+        assert store.append_predictions(scored, f"{tmp_path}/log") is True
+    assert spark.read.parquet(f"{tmp_path}/log").count() == 3
+    with pytest.raises(Exception, match="no score"):
+        store.append_predictions(scored.withColumn("bad", F.raise_error(F.lit("no score"))), f"{tmp_path}/log")
 
 
 POSITIONAL = {
@@ -128,14 +133,15 @@ def test_clean_csv_with_byte_order_mark(spark, tmp_path):
 
 def test_counts_file(spark, tmp_path):
     path = tmp_path / "counts.tsv"
-    path.write_text("\ufefflevel|Low\t1\nlevel|Low\t7\n\ncross|a|b|c\t2\nbad\tx\nno tab\nfraction\t1.5\n", encoding="utf-8")
+    path.write_text("\ufefflevel|Low\t1\nlevel|Low\t7\n\ncross|a|b|c\t2\nbad\tx\nno tab\nfraction\t1.5\nthree\tx\t5\n", encoding="utf-8")
     got = {tuple(row) for row in files.read_counts(spark, str(path)).collect()}
     assert got == {("level", "level|Low", 7), ("cross", "cross|a|b|c", 2)}
 
 
 def test_export(spark, tmp_path):
     files.write_export(batch(spark), f"{tmp_path}/out")
-    assert len(list((tmp_path / "out").glob("*.csv"))) == 1
+    written = files.read_clean(spark, f"{tmp_path}/out", batch(spark).schema)
+    assert written.exceptAll(batch(spark)).count() == 0 and written.count() == batch(spark).count()
     with pytest.raises(files.EmptyExportError):
         files.write_export(batch(spark).limit(0), f"{tmp_path}/none")
 
