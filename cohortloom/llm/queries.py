@@ -73,7 +73,7 @@ def op1_quality_crf(spark, sf_dir):
 @query
 def op3_toxicity_automata(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit(training_rows(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1, SAMPLE))
+    model = toxicity.fit(training_rows(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1, 2 * SAMPLE))
     return predictions(docs, toxicity.score(model), held_out("doc_id", 3, 1))
 
 

@@ -1,10 +1,10 @@
 """Toxicity from a learned lexicon, matched through Levenshtein automata.
 
 The lexicon comes from labelled documents: words, and word beginnings shared by a
-family of words, that toxic documents hold far more often than clean ones. It is kept
-as a trie of words beside the beginnings. A word meets the trie as a Levenshtein automaton, so that misspelled terms
-are found without listing their variants; a misspelling that clean documents use as a
-word of its own does not count. Around every match a window of text tells quotation
+family of words, that toxic documents hold far more often than clean ones, and too
+often for chance. Its words form a trie, and Levenshtein automata are intersected with
+it, so that misspelled terms are found without listing their variants; a misspelling
+that clean documents use as a word of its own does not count. Around every match a window of text tells quotation
 (quote marks, reporting words) from abuse (address), and weighs the match. A logistic
 curve over a document's weighted matches gives its score.
 
@@ -36,6 +36,7 @@ WORD = re.compile(r"[^\W_]+")
 MIN_STEM = 4
 MIN_SUPPORT = 5
 MIN_ODDS = 2.5
+MIN_GAIN = 15.0  # about one chance in 10,000 for a term that means nothing
 WINDOW = 60  # characters on each side of a match
 CACHED_WORDS = 500_000
 # Marks and words of quotation and of address.
@@ -49,89 +50,100 @@ def edits_for(size: int) -> int:
     return 0 if size < 5 else 1 if size < 9 else 2
 
 
-class Automaton:
-    """The strings within `most` edits of a word. A state is the row of distances to the word's beginnings."""
+class TrieAutomaton:
+    """The strings within each term's edits of some term: the lexicon trie under a Levenshtein automaton.
 
-    def __init__(self, word: str, most: int) -> None:
-        self.word, self.most = word, most
+    A state holds the trie nodes that the letters so far may have reached, with the
+    fewest edits for each; a node is left out once its edits exceed what any term below
+    it allows. States and steps are built when a word first needs them and then kept,
+    so that a word costs one lookup a letter and most words end after a few.
+    """
 
-    def start(self) -> tuple[int, ...]:
-        return tuple(min(i, self.most + 1) for i in range(len(self.word) + 1))
-
-    def step(self, state: tuple[int, ...], letter: str) -> tuple[int, ...]:
-        out, limit = [min(state[0] + 1, self.most + 1)], self.most + 1
-        for i, own in enumerate(self.word):
-            out.append(min(out[i] + 1, state[i + 1] + 1, state[i] + (own != letter), limit))
-        return tuple(out)
+    def __init__(self, terms: dict[str, float]) -> None:
+        self.children: list[dict[str, int]] = [{}]
+        self.allowed = [0]
+        self.ends: list[tuple[str, float] | None] = [None]
+        for term, weight in terms.items():
+            node, most = 0, edits_for(len(term))
+            self.allowed[0] = max(self.allowed[0], most)
+            for letter in term:
+                if letter not in self.children[node]:
+                    self.children[node][letter] = len(self.children)
+                    self.children.append({})
+                    self.allowed.append(0)
+                    self.ends.append(None)
+                node = self.children[node][letter]
+                self.allowed[node] = max(self.allowed[node], most)
+            self.ends[node] = (term, weight)
+        self.numbers: dict[tuple, int] = {}
+        self.states: list[tuple] = []
+        self.steps: list[dict[str, int]] = []
+        self.found: list[tuple[str, float, int] | None] = []
+        self.start = self.state({0: 0})
+
+    def state(self, reached: dict[int, int]) -> int:
+        """The number of the state of these nodes and all that leaving out letters of terms adds."""
+        waiting = list(reached)
+        while waiting:
+            node = waiting.pop()
+            for child in self.children[node].values():
+                edits = reached[node] + 1
+                if edits <= self.allowed[child] and edits < reached.get(child, edits + 1):
+                    reached[child] = edits
+                    waiting.append(child)
+        key = tuple(sorted(reached.items()))
+        if key not in self.numbers:
+            self.numbers[key] = len(self.states)
+            self.states.append(key)
+            self.steps.append({})
+            whole = [(e, -self.ends[n][1], self.ends[n][0]) for n, e in key if self.ends[n] and e <= edits_for(len(self.ends[n][0]))]
+            best = min(whole, default=None)
+            self.found.append(best and (best[2], -best[1], best[0]))
+        return self.numbers[key]
+
+    def step(self, number: int, letter: str) -> int:
+        known = self.steps[number].get(letter)
+        if known is None:
+            reached: dict[int, int] = {}
+            for node, edits in self.states[number]:
+                moves = [(child, edits + (own != letter)) for own, child in self.children[node].items()]
+                for there, cost in [*moves, (node, edits + 1)]:
+                    if cost <= self.allowed[there] and cost < reached.get(there, cost + 1):
+                        reached[there] = cost
+            known = self.steps[number][letter] = self.state(reached)
+        return known
 
-    def alive(self, state: tuple[int, ...]) -> bool:
-        return min(state) <= self.most
+    def match(self, word: str) -> tuple[str, float, int] | None:
+        """(term, weight, edits) of the closest term."""
+        at = self.start
+        for letter in word:
+            at = self.step(at, letter)
+            if not self.states[at]:
+                return None
+        return self.found[at]
 
 
 @dataclass
 class Lexicon:
-    """Terms with weights. A term is a whole word, kept in the trie, or a stem that any ending may follow."""
+    """Terms with weights. A term is a whole word, or a stem that any ending may follow."""
 
     words: dict[str, float]
     stems: dict[str, float]
     innocent: set[str] = field(default_factory=set)
 
     def __post_init__(self) -> None:
-        self.trie: dict = {}
-        for term, weight in self.words.items():
-            node = self.trie
-            for letter in term:
-                node = node.setdefault(letter, {})
-            node["word"] = (term, weight)
+        self.automaton = TrieAutomaton(self.words)
         self.stem_sizes = sorted({len(stem) for stem in self.stems})
-        # One edit leaves the first or the second half of a term as it is, two edits one of three
-        # parts: what such a part tells is the lengths that a misspelling can have.
-        self.heads: dict[str, set[int]] = {}
-        self.tails: dict[str, set[int]] = {}
-        self.middles: list[tuple[str, set[int]]] = []
-        for term in self.words:
-            size, most = len(term), edits_for(len(term))
-            lengths = set(range(size - most, size + most + 1))
-            if most:
-                self.heads.setdefault(term[:3], set()).update(lengths)
-                self.tails.setdefault(term[-min(3, size // 2) :], set()).update(lengths)
-            if most == 2:
-                self.middles.append((term[3:-3], lengths))
 
     def match(self, word: str) -> tuple[str, float, int] | None:
         """(term, weight, edits) of the best match of a word in lower case."""
         if word in self.words:
             return (word, self.words[word], 0)
         for size in self.stem_sizes:
-            if word[:size] in self.stems and size <= len(word):
+            if size <= len(word) and word[:size] in self.stems:
                 return (word[:size], self.stems[word[:size]], 0)
-        size = len(word)
-        likely = (
-            size in self.heads.get(word[:3], ())
-            or size in self.tails.get(word[-3:], ())
-            or size in self.tails.get(word[-2:], ())
-            or any(size in lengths and part in word for part, lengths in self.middles)
-        )
-        return self.near(word) if likely and word not in self.innocent else None
-
-    def near(self, word: str) -> tuple[str, float, int] | None:
-        """The closest term by intersecting the word's automaton with the trie."""
-        # A word of seven letters is the shortest within two edits of a term of nine.
-        automaton = Automaton(word, 2 if len(word) > 6 else 1)
-        best, stack = None, [(self.trie, automaton.start())]
-        while stack:
-            node, state = stack.pop()
-            if "word" in node:
-                term, weight = node["word"]
-                edits = state[-1]
-                if 0 < edits <= edits_for(len(term)) and (best is None or (edits, -weight, term) < (best[2], -best[1], best[0])):
-                    best = (term, weight, edits)
-            for letter, below in node.items():
-                if len(letter) == 1:
-                    ahead = automaton.step(state, letter)
-                    if automaton.alive(ahead):
-                        stack.append((below, ahead))
-        return best
+        found = self.automaton.match(word)
+        return found if found and word not in self.innocent else None
 
 
 def context(text: str, start: int, end: int) -> float:
@@ -210,12 +222,21 @@ def counted(rows: DataFrame, only: dict | None) -> DataFrame:
     return rows.select("text").mapInPandas(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def gain(toxic: int, clean: int, n_toxic: int, n_clean: int) -> float:
+    """Log-likelihood ratio (G squared) of a term's counts against equal frequency in both kinds of documents."""
+    share, out = (toxic + clean) / (n_toxic + n_clean), 0.0
+    for seen, of in ((toxic, n_toxic), (clean, n_clean)):
+        for n, expected in ((seen, of * share), (of - seen, of * (1 - share))):
+            out += 2 * n * math.log(n / expected) if n else 0.0
+    return out
+
+
 def build_lexicon(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int, innocent: set[str] = frozenset()) -> Lexicon:
     odds = {
         term: math.log(((n + 0.5) / (n_toxic + 1)) / ((clean.get(term, 0) + 0.5) / (n_clean + 1)))
         for term, n in toxic.items()
     }
-    strong = {term: w for term, w in odds.items() if w >= MIN_ODDS}
+    strong = {t: w for t, w in odds.items() if w >= MIN_ODDS and gain(toxic[t], clean.get(t, 0), n_toxic, n_clean) >= MIN_GAIN}
     words = {term[:-1]: w for term, w in strong.items() if term.endswith("$")}
     one_word: Counter = Counter()  # the most frequent word with a beginning
     for term, n in toxic.items():
