@@ -11,22 +11,25 @@ from cohortloom.llm.common import stored
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, label) of every node with an edge (a, b); the label is the smallest node of its component.
 
-    Each round takes the smallest label among a node's neighbours, then the label of
-    its label, so that chains shorten by more than half; rounds end when nothing
-    changes. State is a stored table, so a lost executor costs one round at most.
+    Each round lets every node point to its smallest neighbour and to where that one
+    points, then contracts the edges to the nodes pointed to, so that few are left after
+    a round or two. When none is left, the rounds' pointers are followed one after
+    another. Edges and pointers are stored tables: a lost executor costs one round.
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = stored(both.filter("a != b").distinct(), f"{name}-links")
-    labels = stored(
-        links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select("node", F.least("node", "b").alias("label")),
-        f"{name}-labels",
-    )
-    while True:
-        heard = links.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard"))
-        lower = labels.join(heard, "node").select("node", "label", F.least("label", "heard").alias("low"))
-        jump = lower.select(F.col("node").alias("low"), F.col("low").alias("far"))
-        after = lower.join(jump, "low").select("node", F.col("far").alias("label"), (F.col("far") != F.col("label")).alias("changed"))
-        after = stored(after, f"{name}-labels")
-        labels = after.select("node", "label")
-        if after.filter("changed").isEmpty():
-            return labels
+    rounds: list[DataFrame] = []
+    while not rounds or not links.isEmpty():
+        near = links.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")).withColumn("up", F.least("node", "up"))
+        near = stored(near, f"{name}-near")
+        above = near.select(F.col("node").alias("up"), F.col("up").alias("top"))
+        pointers = stored(near.join(above, "up").select("node", F.col("top").alias("up")), f"{name}-pointers")
+        rounds.append(pointers)
+        left = links.join(pointers.withColumnRenamed("node", "a"), "a").select(F.col("up").alias("x"), "b")
+        moved = left.join(pointers.select(F.col("node").alias("b"), F.col("up").alias("y")), "b").filter("x != y")
+        links = stored(moved.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), f"{name}-links")
+    labels = rounds[0].withColumnRenamed("up", "label")
+    for pointers in rounds[1:]:
+        labels = labels.join(pointers.select(F.col("node").alias("label"), "up"), "label", "left")
+        labels = labels.select("node", F.coalesce("up", "label").alias("label"))
+    return stored(labels, f"{name}-labels")
