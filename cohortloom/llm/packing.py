@@ -28,7 +28,9 @@ from pyspark.sql import types as T
 
 from cohortloom.llm.common import chunks, map_text, stored, text_of
 
-MAX_CACHED_WORDS = 1_000_000
+# A worker keeps its encoder, so these bound what stays in memory: some 100 MB.
+MAX_CACHED_WORDS = 150_000
+MAX_CACHED_PIECES = 300_000
 
 
 PIECE = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -40,7 +42,8 @@ class WordEncoder:
     """Ids of texts under a tokenizer that drops case and never merges across white space.
 
     Words repeat, so each distinct one is encoded once. A worker process keeps its
-    encoder for all its tasks; a full cache starts anew.
+    encoder for all its tasks; a full cache starts anew. Words are put together from
+    pieces, which are dear to encode and kept longer.
     """
 
     def __init__(self, path: str) -> None:
@@ -62,8 +65,10 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.words) + len(self.pieces) > MAX_CACHED_WORDS:
-            self.words, self.pieces = {}, {}
+        if len(self.words) > MAX_CACHED_WORDS:
+            self.words = {}
+        if len(self.pieces) > MAX_CACHED_PIECES:
+            self.pieces = {}
         split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
         self.learn(set(chain.from_iterable(split)).difference(self.words))
         ids = self.words.__getitem__
