@@ -50,11 +50,12 @@ from cohortloom.llm.graph import components
 
 BLOCK = 4000  # documents in which a shingle's frequency is looked at together
 HOT_SHARE = 0.01
+TABLE_SHARE = 0.002
 TASK_SHINGLES = 3_000_000  # of a region joined within one task
 PIVOTS = 64  # first pivots of a larger region
 MORE_PIVOTS = 512  # pivots of a larger region in each later round
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 250_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -132,23 +133,26 @@ class Cells:
 
 
 def frequent_shingles(rows: DataFrame, k: int) -> DataFrame:
-    """(shingle): shingles that are in at least HOT_SHARE of the different sets of some block of documents.
+    """(shingle): shingles that stand out in blocks of documents and are frequent in the whole table.
 
-    At most (mean set size) / HOT_SHARE of them stand out in a block, and they stand out
-    in every block where they are as frequent.
+    Within a block, each different set counts once; a shingle stands out from HOT_SHARE
+    of the block on. Of these, the ones stay whose counts add up to TABLE_SHARE of all
+    documents, which can be at most (mean set size) / TABLE_SHARE, whatever the table's size.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler, hot = Shingler(k), set()
+        shingler = Shingler(k)
         for frame in frames:
             for part in chunks([frame], BLOCK):
                 sets = {s.tobytes() for s in map(shingler.shingles, part["text"])}
                 values, counts = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_counts=True)
-                hot.update(values[counts >= max(20, HOT_SHARE * len(part))].astype(np.int64).tolist())
-        if hot:
-            yield pd.DataFrame({"shingle": sorted(hot)})
+                hot = counts >= max(20, HOT_SHARE * len(part))
+                if hot.any():
+                    yield pd.DataFrame({"shingle": values[hot].astype(np.int64), "n": counts[hot].astype(np.int64)})
 
-    return rows.select("text").mapInPandas(run, "shingle long").distinct()
+    least = TABLE_SHARE * rows.count()
+    found = rows.select("text").mapInPandas(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    return found.filter(F.col("n") >= least).select("shingle")
 
 
 def described(rows: DataFrame, hot: np.ndarray, k: int, percent: int) -> DataFrame:
