@@ -1,10 +1,11 @@
 """Find benchmark items in training documents, edited or not.
 
-Items give word n-grams. A first pass over the documents keeps those with any of
-these grams and counts in how many documents each gram occurs. In every run of
-`window` grams of an item the rarest becomes a seed, so that a copied passage of
-window + n - 1 words holds one. Documents with a seed are aligned with its item by
-Smith-Waterman around the seeds; the score is the best local alignment over that of
+Items give word n-grams, and every one is a seed: a choice among them, by rarity or
+otherwise, can fall on just the edited places. A document and an item that share a
+gram are aligned by Smith-Waterman around the shared grams, unless the words alone
+rule the threshold out: no alignment scores more than the best run of an item's words
+that the text holds, or of a text's words that the item holds, less what the words
+between them cost at least. The score is the best local alignment over that of
 the whole item, so replaced, dropped and inserted words cost a little each.
 
 The items are the fixed side: they are read in blocks of bounded size, each block
@@ -20,7 +21,6 @@ equal results. An empty table on either side gives no rows.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.common import chunks, stored, text_of
+from cohortloom.llm.common import chunks, text_of
 
 WORD = re.compile(r"[^\W_]+")
 BLOCK_CHARS = 16_000_000  # of items in one block
@@ -37,7 +37,7 @@ MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
 
 
 class Items:
-    """A block of items as word numbers, with the place of every gram."""
+    """A block of items as word numbers, with the items of every gram."""
 
     def __init__(self, rows: list[tuple[int, str]], n: int) -> None:
         self.n = n
@@ -50,12 +50,15 @@ class Items:
                 self.ids.append(item_id)
                 numbers = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words]
                 self.words.append(np.array(numbers, dtype=np.int64))
-        places = defaultdict(list)
-        for item, words in enumerate(self.words):
-            for at, gram in enumerate(self.grams(words).tolist()):
-                places[gram].append((item, at))
-        self.codes = np.array(sorted(places), dtype=np.int64)
-        self.places = [places[c] for c in self.codes.tolist()]
+        self.sizes = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.concatenate([np.empty(0, dtype=np.int64), *self.words])
+        own = [np.unique(self.grams(w)) for w in self.words]
+        self.codes = np.unique(np.concatenate([np.empty(0, dtype=np.int64), *own]))
+        self.own = [np.searchsorted(self.codes, grams) for grams in own]
+        held = np.concatenate([np.empty(0, dtype=np.int64), *self.own])
+        by = np.repeat(np.arange(len(own)), [len(g) for g in own])[np.argsort(held, kind="stable")]
+        self.holders = np.split(by, np.cumsum(np.bincount(held, minlength=len(self.codes)))[:-1])
 
     def grams(self, words: np.ndarray) -> np.ndarray:
         """One number a gram; -1 where it has a word that no item has."""
@@ -83,15 +86,31 @@ class Items:
         same = self.codes[index] == grams[at]
         return at[same], index[same]
 
-    def seeds(self, frequency: dict[int, int], window: int) -> set[int]:
-        """The rarest gram of every run of `window` grams of each item."""
-        chosen = set()
-        for words in self.words:
-            index = np.searchsorted(self.codes, self.grams(words)).tolist()
-            rank = [(frequency.get(i, 0), at, i) for at, i in enumerate(index)]
-            for start in range(max(1, len(rank) - window + 1)):
-                chosen.add(min(rank[start : start + window])[2])
-        return chosen
+    def near(self, words: np.ndarray, threshold: float) -> Iterator[tuple[int, list[int]]]:
+        """(item, places of its grams) for each item that shares a gram with a text and whose words allow the threshold."""
+        at, grams = self.hits(words)
+        if not len(at):
+            return
+        items = np.unique(np.concatenate([self.holders[g] for g in np.unique(grams).tolist()]))
+        present = np.zeros(len(self.vocabulary) + 1, dtype=bool)
+        present[words] = True
+        present[-1] = False  # a word that no item has
+        sizes = self.sizes[items]
+        first = np.cumsum(sizes) - sizes
+        inside = np.repeat(self.starts[items] - first, sizes) + np.arange(sizes.sum())
+        found = np.add.reduceat(present[self.flat[inside]], first, dtype=np.int64)
+        for item in items[found * MATCH >= threshold * sizes * MATCH].tolist():
+            own, least = self.words[item], threshold * len(self.words[item]) * MATCH
+            shared = np.zeros(len(present), dtype=bool)
+            shared[own] = True
+            if best_run(present[own]) >= least and best_run(shared[words]) >= least:
+                yield item, at[np.isin(grams, self.own[item])].tolist()
+
+
+def best_run(shared: np.ndarray) -> float:
+    """The most that any run of words can score when only the shared ones can match."""
+    total = np.concatenate([[0.0], np.cumsum(np.where(shared, MATCH, max(MISMATCH, GAP)))])
+    return float((total - np.minimum.accumulate(total)).max())
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
@@ -111,7 +130,7 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int]:
 
 
 def regions(places: list[int], size: int, total: int) -> list[tuple[int, int]]:
-    """Parts of a text around seeds that may hold one alignment, apart from each other."""
+    """Parts of a text around shared grams that may hold one alignment, apart from each other."""
     out: list[list[int]] = []
     for at in sorted(places):
         low, high = max(0, at - 2 * size), min(total, at + 2 * size)
@@ -122,23 +141,9 @@ def regions(places: list[int], size: int, total: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def block_matches(docs: DataFrame, items: Items, window: int, threshold: float) -> DataFrame:
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(items)
+def block_matches(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(items)
     id_field = T.StructField("id", docs.schema["id"].dataType)
-    kept_schema = T.StructType([id_field]).add("text", T.StringType()).add("grams", T.ArrayType(T.LongType()))
-
-    def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = shared.value
-        for frame in chunks(frames, 1000):
-            found = [np.unique(own.hits(own.numbers(text))[1]) for text in frame["text"]]
-            some = np.array([len(x) > 0 for x in found], dtype=bool)
-            if some.any():
-                yield frame[some].assign(grams=[x for x in found if len(x)])[["id", "text", "grams"]]
-
-    kept = stored(docs.mapInPandas(keep, kept_schema), "decontamination-kept")
-    counts = kept.select(F.explode("grams").alias("gram")).groupBy("gram").count().collect()  # a row a gram of the block
-    seeds = spark.sparkContext.broadcast(items.seeds({r["gram"]: r["count"] for r in counts}, window))
     schema = (
         T.StructType([id_field])
         .add("item", T.IntegerType())
@@ -148,17 +153,12 @@ def block_matches(docs: DataFrame, items: Items, window: int, threshold: float)
     )
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, chosen = shared.value, seeds.value
+        own = shared.value
         for frame in chunks(frames, 1000):
             out = []
             for doc_id, text in zip(frame["id"], frame["text"], strict=True):
                 words = own.numbers(text)
-                near = defaultdict(list)
-                for at, gram in zip(*(x.tolist() for x in own.hits(words)), strict=True):
-                    if gram in chosen:
-                        for item, _ in own.places[gram]:
-                            near[item].append(at)
-                for item, places in near.items():
+                for item, places in own.near(words, threshold):
                     size = len(own.words[item])
                     parts = regions(places, size, len(words))
                     (best, end), low = max((align(own.words[item], words[a:b]), a) for a, b in parts)
@@ -167,14 +167,13 @@ def block_matches(docs: DataFrame, items: Items, window: int, threshold: float)
             if out:
                 yield pd.DataFrame(out, columns=["id", "item", "score", "first_word", "end_word"])
 
-    return kept.select("id", "text").mapInPandas(score, schema)
+    return docs.select("id", "text").mapInPandas(score, schema)
 
 
 def matches(
     docs: DataFrame,
     items: DataFrame,
     n: int = 3,
-    window: int = 4,
     threshold: float = 0.5,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -194,7 +193,7 @@ def matches(
         part = own.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         found = Items([(r.item_id, r.text) for r in part.collect()], n)  # at most about BLOCK_CHARS
         names = found.ids
-        scored = block_matches(rows, found, window, threshold)
+        scored = block_matches(rows, found, threshold)
         named = scored.join(F.broadcast(_names(docs, names, own)), "item").drop("item")
         out = named if out is None else out.unionByName(named)
     return out.select(F.col("id").alias(id_col), F.col("item_id").alias(item_col), "score", "first_word", "end_word")

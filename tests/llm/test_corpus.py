@@ -133,6 +133,35 @@ def test_edited_passages_are_found_and_clean_texts_are_not(spark, monkeypatch):
     assert decontamination.matches(frame, bench.limit(0)).count() == 0
 
 
+def test_regularly_edited_copies_are_found(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(2000)]
+    items = [(i, " ".join(rng.choices(words, k=20 + 3 * i))) for i in range(12)]
+    docs, expected = [], set()
+    for i, text in items:
+        for every in (4, 5, 6):
+            edited = [f"x{rng.random()}" if k % every == every - 1 else w for k, w in enumerate(text.split())]
+            docs.append((10 * i + every, "head " * 30 + " ".join(edited) + " tail" * 30))
+            expected.add((10 * i + every, i))
+        docs.append((10 * i, text))  # a whole copy makes the intact grams more frequent
+        expected.add((10 * i, i))
+    found = decontamination.matches(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == expected
+
+
+def test_words_rule_out_no_alignment():
+    rng = random.Random(6)
+    for _ in range(200):
+        size, words = rng.randrange(3, 9), rng.randrange(3, 9)
+        rows = [(i, " ".join(f"w{rng.randrange(words)}" for _ in range(size))) for i in range(5)]
+        own = decontamination.Items(rows, 3)
+        text = own.numbers(" ".join(f"w{rng.randrange(words + 2)}" for _ in range(rng.randrange(3, 60))))
+        grams, near = set(own.grams(text).tolist()) - {-1}, {item for item, _ in own.near(text, 0.5)}
+        for item, item_words in enumerate(own.words):
+            if grams.intersection(own.grams(item_words).tolist()) and brute_alignment(item_words, text) >= 0.5 * size:
+                assert item in near
+
+
 def test_marginals_are_those_of_all_labellings():
     rng = np.random.default_rng(4)
     sizes = np.array([3, 1, 5])
