@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -115,6 +116,51 @@ def test_redaction_leaves_nothing_and_keeps_the_rest(spark):
         assert all(p in (row.chars or "") for p in pieces)
 
 
+def disguised_and_plain(seed=8):
+    """Documents with personal data in plain writing, in disguise, and with what only resembles it."""
+    rng = random.Random(seed)
+
+    def card(good):
+        while True:
+            digits = "4" + "".join(rng.choices("0123456789", k=15))
+            if luhn(digits) == good:
+                return [digits[i : i + 4] for i in range(0, 16, 4)]
+
+    texts = []
+    for i in range(150):
+        number = [str(rng.randrange(10 ** (k - 1), 10**k)) for k in (3, 3, 4)]
+        texts += [
+            f"please write to user{i}@site{i % 9}.org today",
+            f"please write to name{i} (at) host{i % 7} (dot) net today",
+            f"we met at noon. Then room {i} was shut, and all left at six. Nobody came back",
+            f"pay by card {' '.join(card(True))} today",
+            f"pay by card {'.'.join(card(True))} today",
+            f"order {'.'.join(card(False))} is late",
+            f"my phone is +{' '.join(number)} today",
+            f"my phone is {'-'.join(number)} today",
+            f"part 1{rng.randrange(10)}-{rng.randrange(100, 999)}-{rng.randrange(100, 999)} is sold out",
+        ]
+    return texts
+
+
+def test_candidates_in_other_writing_are_added(spark):
+    targets = [
+        ("email", "please write to jane.doe (at) example (dot) com today", "jane.doe (at) example (dot) com"),
+        ("card", "pay by card 4111.1111.1111.1111 today", "4111.1111.1111.1111"),
+        ("phone", "my phone is 415-555-2671 today", "415-555-2671"),
+    ]
+    others = ["order 4111.1111.1111.1112 is late", "they met at noon. Then it rained", "part 12-345-678 is sold out"]
+    texts = [t for _, t, _ in targets] + others + disguised_and_plain()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    added = pii.detect(docs).filter("chosen and not base").select("id", "kind", "value").collect()
+    got = {(r.kind, r.value) for r in added if r.id < len(targets)}
+    assert got == {(kind, value) for kind, _, value in targets}
+    assert not [r for r in added if len(targets) <= r.id < len(targets) + len(others)]
+    kept = {r.doc_id: r.text for r in pii.redact(docs).filter("doc_id < 6").collect()}
+    assert [kept[i] for i in range(3)] == ["please write to [EMAIL] today", "pay by card [CARD] today", "my phone is [PHONE] today"]
+    assert [kept[i + 3] for i in range(3)] == others
+
+
 def marks(text, k=3, w=4):
     """Every window's smallest gram, by definition; grams are told apart by their words."""
     words = text.lower().split()
