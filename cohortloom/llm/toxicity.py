@@ -50,21 +50,28 @@ def edits_for(size: int) -> int:
     return 0 if size < 5 else 1 if size < 9 else 2
 
 
+def stem_edits(size: int) -> int:
+    """Fewer than for words: "moro" is a misspelled moron, but no beginning of its family."""
+    return edits_for(size - 2)
+
+
 class TrieAutomaton:
     """The strings within each term's edits of some term: the lexicon trie under a Levenshtein automaton.
 
     A state holds the trie nodes that the letters so far may have reached, with the
     fewest edits for each; a node is left out once its edits exceed what any term below
-    it allows. States and steps are built when a word first needs them and then kept,
+    it allows. A stem is a term that any ending may follow: once met within its edits it
+    stays met, and the walk goes on for closer terms. States and steps are built when a word first needs them and then kept,
     so that a word costs one lookup a letter and most words end after a few.
     """
 
-    def __init__(self, terms: dict[str, float]) -> None:
+    def __init__(self, terms: dict[str, float], stems: dict[str, float] | None = None) -> None:
         self.children: list[dict[str, int]] = [{}]
         self.allowed = [0]
         self.ends: list[tuple[str, float] | None] = [None]
-        for term, weight in terms.items():
-            node, most = 0, edits_for(len(term))
+        self.open: list[tuple[str, float] | None] = [None]
+        for term, weight, ends in [*((t, w, self.ends) for t, w in terms.items()), *((t, w, self.open) for t, w in (stems or {}).items())]:
+            node, most = 0, edits_for(len(term)) if ends is self.ends else stem_edits(len(term))
             self.allowed[0] = max(self.allowed[0], most)
             for letter in term:
                 if letter not in self.children[node]:
@@ -72,16 +79,18 @@ class TrieAutomaton:
                     self.children.append({})
                     self.allowed.append(0)
                     self.ends.append(None)
+                    self.open.append(None)
                 node = self.children[node][letter]
                 self.allowed[node] = max(self.allowed[node], most)
-            self.ends[node] = (term, weight)
+            ends[node] = (term, weight)
         self.numbers: dict[tuple, int] = {}
         self.states: list[tuple] = []
         self.steps: list[dict[str, int]] = []
         self.found: list[tuple[str, float, int] | None] = []
-        self.start = self.state({0: 0})
+        self.met: list[tuple[int, float, str] | None] = []
+        self.start = self.state({0: 0}, None)
 
-    def state(self, reached: dict[int, int]) -> int:
+    def state(self, reached: dict[int, int], met: tuple[int, float, str] | None) -> int:
         """The number of the state of these nodes and all that leaving out letters of terms adds."""
         waiting = list(reached)
         while waiting:
@@ -91,13 +100,17 @@ class TrieAutomaton:
                 if edits <= self.allowed[child] and edits < reached.get(child, edits + 1):
                     reached[child] = edits
                     waiting.append(child)
-        key = tuple(sorted(reached.items()))
+        nodes = tuple(sorted(reached.items()))
+        stems = [(e, -self.open[n][1], self.open[n][0]) for n, e in nodes if self.open[n] and e <= stem_edits(len(self.open[n][0]))]
+        met = min([*stems, *([met] if met else [])], default=None)
+        key = (nodes, met)
         if key not in self.numbers:
             self.numbers[key] = len(self.states)
-            self.states.append(key)
+            self.states.append(nodes)
+            self.met.append(met)
             self.steps.append({})
-            whole = [(e, -self.ends[n][1], self.ends[n][0]) for n, e in key if self.ends[n] and e <= edits_for(len(self.ends[n][0]))]
-            best = min(whole, default=None)
+            whole = [(e, -self.ends[n][1], self.ends[n][0]) for n, e in nodes if self.ends[n] and e <= edits_for(len(self.ends[n][0]))]
+            best = min([*whole, *([met] if met else [])], default=None)
             self.found.append(best and (best[2], -best[1], best[0]))
         return self.numbers[key]
 
@@ -110,7 +123,7 @@ class TrieAutomaton:
                 for there, cost in [*moves, (node, edits + 1)]:
                     if cost <= self.allowed[there] and cost < reached.get(there, cost + 1):
                         reached[there] = cost
-            known = self.steps[number][letter] = self.state(reached)
+            known = self.steps[number][letter] = self.state(reached, self.met[number])
         return known
 
     def match(self, word: str) -> tuple[str, float, int] | None:
@@ -119,7 +132,7 @@ class TrieAutomaton:
         for letter in word:
             at = self.step(at, letter)
             if not self.states[at]:
-                return None
+                break
         return self.found[at]
 
 
@@ -132,7 +145,7 @@ class Lexicon:
     innocent: set[str] = field(default_factory=set)
 
     def __post_init__(self) -> None:
-        self.automaton = TrieAutomaton(self.words)
+        self.automaton = TrieAutomaton(self.words, self.stems)
         self.stem_sizes = sorted({len(stem) for stem in self.stems})
 
     def match(self, word: str) -> tuple[str, float, int] | None:
@@ -248,7 +261,6 @@ def build_lexicon(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_
         covered = any(stem[:k] in stems for k in range(MIN_STEM, len(stem)))
         if not covered and one_word[stem] < 0.9 * toxic[stem]:
             stems[stem] = strong[stem]
-    words = {w: x for w, x in words.items() if not any(w[:k] in stems for k in range(MIN_STEM, len(w) + 1))}
     return Lexicon(words, stems, set(innocent))
 
 

@@ -227,6 +227,18 @@ def test_lexicon_catches_misspellings_and_spares_quotation(spark):
     assert scored[0].s == scored[1].s < 0.5
 
 
+def test_words_and_stems_of_a_family_are_found_misspelled():
+    toxic = {"idiot$": 100, "idiots$": 40, "idio": 140, "idiot": 40, "worthle": 60, "worthless$": 30, "worthlessly$": 30}
+    lexicon = toxicity.build_lexicon(toxic, {}, 200, 200)
+    assert set(lexicon.stems) == {"idio", "worthle"}
+    assert lexicon.match("idjot")[::2] == ("idiot", 1)
+    assert lexicon.match("idjots")[::2] == ("idiots", 1)
+    assert lexicon.match("idiotic")[::2] == ("idio", 0)
+    assert lexicon.match("wirthlenesses")[::2] == ("worthle", 1)
+    assert lexicon.match("idaho") is None
+    assert lexicon.match("northern") is None
+
+
 def edits(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
