@@ -7,7 +7,8 @@ stand for the whole occurrence vector, so classes come from ordinary aggregates
 whatever a host's size. Classes that are large and frequent, and whose tokens nest in
 each other, make the host's template. Text that is part of it is boilerplate; the
 remaining text lies in its slots, and what stands in the slots of menus, notices,
-adverts and the like, or outside the article where a page marks one, is left out.
+adverts and the like is left out. Where a page marks an article that holds at least
+half of what is left, the slots outside it are left out too.
 
 Exact copies of a page count once, so that copied articles do not pass for template.
 
@@ -186,15 +187,15 @@ def templates(tokens: DataFrame) -> DataFrame:
 
 def main_text(page: str, template: frozenset[int] | set[int]) -> str:
     """The text in a page's slots, blocks parted by an empty line."""
-    kept, marked = [], False
-    for element, text in blocks(page):
-        if element is not None and element.main and not element.outside:
-            marked = True
-        if text and not (element is not None and element.outside):
-            kept.append((element, text))
-    if marked:
-        return "\n\n".join(text for element, text in kept if element is not None and element.main)
-    return "\n\n".join(text for element, text in kept if number(token(element, text)) not in template)
+    kept = [
+        (element, text)
+        for element, text in blocks(page)
+        if text and not (element is not None and element.outside) and number(token(element, text)) not in template
+    ]
+    marked = [text for element, text in kept if element is not None and element.main]
+    # A marked teaser beside the text proper does not stand for it.
+    enough = marked and 2 * sum(map(len, marked)) >= sum(len(text) for _, text in kept)
+    return "\n\n".join(marked if enough else [text for _, text in kept])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -111,6 +111,17 @@ def test_article_text():
     assert templates.main_text('<p title="a>b">x', frozenset()) == "x"
 
 
+def test_the_template_decides_on_marked_pages_too(spark):
+    within = "<body><article><div>Read our terms</div><p>Story {0}</p></article></body>"
+    beside = "<body><article>Teaser {0}</article><div><p>The long story of number {0}</p><p>goes on and on {0}</p></div></body>"
+    rows = [(i, "http://within.example/", within.format(i)) for i in range(6)]
+    rows += [(10 + i, "http://beside.example/", beside.format(i)) for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r.page_id: r.text for r in templates.extract(pages).collect()}
+    assert texts[3] == "Story 3"
+    assert texts[13] == "Teaser 3\n\nThe long story of number 3\n\ngoes on and on 3"
+
+
 def test_text_shared_by_a_hosts_pages_is_template(spark):
     body = "<body><div>Welcome to this site</div><div>All rights</div><section><p>Story {0}</p><p>More {0}</p></section></body>"
     rows = [(i, f"http://h.example/{i}", body.format(f"number {i}")) for i in range(6)]
