@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cohortloom.llm import crf, decontamination, jaccard, packing, pii, secrets, templates, toxicity, warc, winnowing
+from cohortloom.llm import (
+    centroids, crf, decontamination, jaccard, licenses, packing, pii, secrets, templates, toxicity, variants, warc, winnowing,
+)
 from cohortloom.llm.common import table
 from cohortloom.llm.labelled import held_out, training_rows
 
@@ -87,6 +89,22 @@ def op4_jaccard_regions(spark, sf_dir):
     return jaccard.classes(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
+@query
+def op11_trie_pairs(spark, sf_dir):
+    return variants.group(variants.counted_words(table(spark, sf_dir, "documents")))
+
+
+@query
+def op12_rotated_centroids(spark, sf_dir):
+    clusters, found = centroids.fit(table(spark, sf_dir, "embeddings"))
+    return centroids.with_inertia(clusters, found)
+
+
+@query
+def op13_license_index(spark, sf_dir):
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 @query
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
