@@ -94,14 +94,15 @@ SELECT l_returnflag AS actual,
 FROM {lineitem}
 """
 
+# A row of the store and a part of the batch have no id.
 STORE_SQL = """
-SELECT s_suppkey AS id, s_acctbal AS amount, s_name AS note, CAST('2024-01-05 00:00:00' AS TIMESTAMP_NTZ) AS updated_at,
+SELECT CASE WHEN s_suppkey <> 3 THEN s_suppkey END AS id, s_acctbal AS amount, s_name AS note, CAST('2024-01-05 00:00:00' AS TIMESTAMP_NTZ) AS updated_at,
        CAST('2024-01-01 00:00:00' AS TIMESTAMP_NTZ) AS created_at
 FROM {supplier}
 """
 
 BATCH_SQL = """
-SELECT user_id AS id, value AS amount, event_type AS note, ts AS updated_at
+SELECT CASE WHEN event_id % 11 <> 0 THEN user_id END AS id, value AS amount, event_type AS note, ts AS updated_at
 FROM {events}
 """
 

@@ -299,17 +299,17 @@ ORACLES: dict[str, str] = {
     "upsert_merge": _with(
         STORE_CTE,
         f"""SELECT coalesce(t.id, f.id) AS id,
-        CASE WHEN f.id IS NOT NULL THEN f.amount ELSE t.amount END AS amount,
-        CASE WHEN f.id IS NOT NULL THEN f.note ELSE t.note END AS note,
-        CASE WHEN f.id IS NOT NULL THEN f.updated_at ELSE t.updated_at END AS updated_at,
-        CASE WHEN t.id IS NULL THEN {NOW_SQL} ELSE t.created_at END AS created_at
-        FROM target t FULL OUTER JOIN fresh f ON t.id = f.id""",
+        CASE WHEN f.here THEN f.amount ELSE t.amount END AS amount,
+        CASE WHEN f.here THEN f.note ELSE t.note END AS note,
+        CASE WHEN f.here THEN f.updated_at ELSE t.updated_at END AS updated_at,
+        CASE WHEN t.created_at IS NULL THEN {NOW_SQL} ELSE t.created_at END AS created_at
+        FROM target t FULL OUTER JOIN (SELECT *, TRUE AS here FROM fresh) f ON t.id IS NOT DISTINCT FROM f.id""",
     ),
     "upsert_counts": _with(
         STORE_CTE,
-        """SELECT count(*) AS total, count(*) FILTER (t.id IS NULL) AS inserted, count(t.id) AS matched,
-        count(*) FILTER (t.id IS NOT NULL AND (t.amount, t.note, t.updated_at) IS DISTINCT FROM (f.amount, f.note, f.updated_at)) AS modified
-        FROM fresh f LEFT JOIN target t ON t.id = f.id""",
+        """SELECT count(*) AS total, count(*) FILTER (t.created_at IS NULL) AS inserted, count(t.created_at) AS matched,
+        count(*) FILTER (t.created_at IS NOT NULL AND (t.amount, t.note, t.updated_at) IS DISTINCT FROM (f.amount, f.note, f.updated_at)) AS modified
+        FROM fresh f LEFT JOIN target t ON t.id IS NOT DISTINCT FROM f.id""",
     ),
     "distribution_snapshot": _with(COHORT_KEYS_CTE, SNAPSHOT),
     "result_document": _with(

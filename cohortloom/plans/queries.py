@@ -12,7 +12,7 @@ from cohortloom import functions as X
 from cohortloom.operators import cleaning, distribution, model, quality, risk, search, split
 from cohortloom.plans import bindings as B
 from cohortloom.plans.bindings import COHORT, RAW
-from cohortloom.sources import files, store
+from cohortloom.sources import files, keyed, store
 
 NOW = datetime(2024, 2, 1, 12, 0, 0)
 EARLIER = datetime(2024, 1, 15, 12, 0, 0)
@@ -118,10 +118,10 @@ def _store(spark, sf_dir):
 @query
 def upsert_merge(spark, sf_dir):
     target, batch = _store(spark, sf_dir)
-    merged = store.merge_by_key(target, batch, "id", NOW, order="updated_at")
-    root = files.scratch_dir(spark)
-    store.write_version(merged, root, VERSION)
-    return store.read_version(spark, root, VERSION)
+    table = keyed.KeyedTable(files.scratch_dir(spark), "id", target.schema, buckets=16)
+    table.merge(target.drop("created_at"), datetime(2024, 1, 1))
+    table.merge(batch, NOW, order="updated_at")
+    return table.read(spark)
 
 
 @query

@@ -6,9 +6,10 @@ caller writes it next to the old one. The version registry says which is current
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -35,26 +36,62 @@ def dedupe_batch(batch: DataFrame, key: str, order: str | None) -> DataFrame:
     return grouped.select(key, *[F.col(f"row.{name}").alias(name) for name in (*lead, *others)])
 
 
+def merged_rows(
+    target: DataFrame, fresh: DataFrame, key: str, fields: Sequence[str], now: datetime, along: Sequence[str] = (),
+    how: str = "full_outer",
+) -> DataFrame:
+    """Target and a deduplicated batch joined null-safely by key: the rows afterwards, and
+    for each `_arrived` (in the batch), `_found` (in the target) and `_same` (no field differs).
+
+    Each side marks its rows with a literal, so a null key says nothing about presence.
+    Columns `along` belong to the key and are equal on both sides wherever it is.
+    """
+    old = target.withColumn("_old", F.lit(True))
+    others = [name for name in fields if name != key]
+    new = fresh.select(
+        F.lit(True).alias("_new"),
+        *[F.col(name).alias(f"_{name}") for name in (key, *along)],
+        *[F.col(name).alias(f"_{name}_new") for name in others],
+    )
+    condition = F.col(key).eqNullSafe(F.col(f"_{key}"))
+    for name in along:
+        condition = condition & (F.col(name) == F.col(f"_{name}"))
+    joined = old.join(new, condition, how)
+    arrived, found = F.col("_new").isNotNull(), F.col("_old").isNotNull()
+    same = F.lit(True)
+    for name in others:
+        same = same & F.col(name).eqNullSafe(F.col(f"_{name}_new"))
+    return joined.select(
+        *[F.when(arrived, F.col(f"_{name}")).otherwise(F.col(name)).alias(name) for name in (key, *along)],
+        *[F.when(arrived, F.col(f"_{name}_new")).otherwise(F.col(name)).alias(name) for name in others],
+        F.when(found, F.col("created_at")).otherwise(timestamp(now)).alias("created_at"),
+        arrived.alias("_arrived"),
+        found.alias("_found"),
+        same.alias("_same"),
+    )
+
+
+def changes() -> list[Column]:
+    """Aggregates over `merged_rows`: total, inserted, matched and modified keys of the batch."""
+    arrived, found = F.col("_arrived"), F.col("_found")
+    return [
+        F.count_if(arrived).alias("total"),
+        F.count_if(arrived & ~found).alias("inserted"),
+        F.count_if(arrived & found).alias("matched"),
+        F.count_if(arrived & found & ~F.col("_same")).alias("modified"),
+    ]
+
+
 def merge_by_key(
     target: DataFrame, batch: DataFrame, key: str, now: datetime, order: str | None = None
 ) -> DataFrame:
     """The table after the batch: matched rows take all batch fields, new keys are
-    added, `created_at` stays that of the first insert.
+    added, `created_at` stays that of the first insert. A null key is a key as any other.
 
-    Keys are unique on both sides of the join, so no key can be hot. A target
-    bucketed by its key is not shuffled.
+    Keys are unique on both sides of the join, so no key can be hot.
     """
-    fields = [name for name in target.columns if name not in (key, "created_at")]
-    fresh = dedupe_batch(batch, key, order).select(
-        F.col(key).alias("_key"), *[F.col(name).alias(f"_{name}") for name in fields]
-    )
-    joined = target.join(fresh, F.col(key) == F.col("_key"), "full_outer")
-    arrived = F.col("_key").isNotNull()
-    return joined.select(
-        F.coalesce(F.col(key), F.col("_key")).alias(key),
-        *[F.when(arrived, F.col(f"_{name}")).otherwise(F.col(name)).alias(name) for name in fields],
-        F.when(arrived & F.col(key).isNull(), timestamp(now)).otherwise(F.col("created_at")).alias("created_at"),
-    )
+    fields = [name for name in target.columns if name != "created_at"]
+    return merged_rows(target, dedupe_batch(batch, key, order), key, fields, now).select(*target.columns)
 
 
 def merge_counts(target: DataFrame, batch: DataFrame, key: str, order: str | None = None) -> DataFrame:
@@ -62,20 +99,9 @@ def merge_counts(target: DataFrame, batch: DataFrame, key: str, order: str | Non
 
     Modified means that at least one field would change.
     """
-    fields = [name for name in target.columns if name not in (key, "created_at")]
+    fields = [name for name in target.columns if name != "created_at"]
     fresh = dedupe_batch(batch, key, order)
-    current = target.select(F.col(key).alias("_key"), *[F.col(name).alias(f"_{name}") for name in fields])
-    joined = fresh.join(current, F.col(key) == F.col("_key"), "left")
-    same = F.lit(True)
-    for name in fields:
-        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    found = F.col("_key").isNotNull()
-    return joined.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(~found).alias("inserted"),
-        F.count_if(found).alias("matched"),
-        F.count_if(found & ~same).alias("modified"),
-    )
+    return merged_rows(target, fresh, key, fields, datetime.min, how="right_outer").agg(*changes())
 
 
 def put_result(results: DataFrame, name: str, document: DataFrame, now: datetime) -> DataFrame:

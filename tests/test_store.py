@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortloom.operators import cleaning, search
-from cohortloom.sources import files, store
+from cohortloom.sources import files, keyed, store
 
 OLD, NOW = datetime(2024, 1, 1), datetime(2024, 2, 1)
 FIELDS = "id string, x int, note string, at int"
@@ -41,6 +41,75 @@ def test_merge_twice_changes_nothing(spark):
     assert store.merge_counts(once, batch(spark), "id", "at").first().modified == 0
 
 
+def with_null_keys(spark):
+    old = spark.createDataFrame([(None, 9, "nobody", 0), ("a", 1, "old", 0)], FIELDS).withColumn("created_at", cleaning.timestamp(OLD))
+    return old, spark.createDataFrame([(None, 7, "n", 1), (None, 8, "m", 2), ("z", 1, None, 1)], FIELDS)
+
+
+def test_null_keys_are_merged_as_a_key(spark):
+    old, new = with_null_keys(spark)
+    merged = {tuple(row) for row in store.merge_by_key(old, new, "id", NOW, "at").collect()}
+    assert merged == {(None, 8, "m", 2, OLD), ("a", 1, "old", 0, OLD), ("z", 1, None, 1, NOW)}
+    assert tuple(store.merge_counts(old, new, "id", "at").first()) == (2, 1, 1, 1)
+    fresh = {tuple(row) for row in store.merge_by_key(old.where("id = 'a'"), new, "id", NOW, "at").collect()}
+    assert (None, 8, "m", 2, NOW) in fresh and len(fresh) == 3
+
+
+def files_of(root):
+    return {path: path.read_bytes() for path in root.rglob("*.parquet")}
+
+
+def test_a_batch_rewrites_its_buckets_alone(spark, tmp_path):
+    rows = spark.createDataFrame([(f"k{i}", i, "first", 0) for i in range(200)], FIELDS)
+    schema = rows.withColumn("created_at", cleaning.timestamp(OLD)).schema
+    table = keyed.KeyedTable(str(tmp_path / "t"), "id", schema, buckets=16)
+    assert table.read(spark).count() == 0
+    assert table.merge(rows, OLD) == {"total": 200, "inserted": 200, "matched": 0, "modified": 0}
+    before = files_of(tmp_path / "t")
+    batch_rows = spark.createDataFrame([("k7", 70, "later", 1), ("k7", 71, "last", 2), (None, 1, "nobody", 0)], FIELDS)
+    assert table.merge(batch_rows, NOW, "at") == {"total": 2, "inserted": 1, "matched": 1, "modified": 1}
+    after = files_of(tmp_path / "t")
+    kept = {path for path in before if after.get(path) == before[path]}
+    changed = {path.parent.name for path in before.keys() | after.keys() if path not in kept}
+    assert len(changed) <= 2 and len({path.parent.name for path in kept}) >= 12
+    merged = {row.id: row for row in table.read(spark).collect()}
+    assert len(merged) == 201 and (merged["k7"].x, merged["k7"].created_at) == (71, OLD)
+    assert (merged[None].note, merged[None].created_at) == ("nobody", NOW)
+    # A repeated batch changes nothing, whatever the time.
+    assert table.merge(batch_rows, datetime(2025, 1, 1), "at")["modified"] == 0
+    assert {tuple(row) for row in table.read(spark).collect()} == {tuple(row) for row in merged.values()}
+
+
+def test_bucketed_merge_equals_the_plain_one(spark, tmp_path):
+    old, new = with_null_keys(spark)
+    table = keyed.KeyedTable(str(tmp_path / "t"), "id", old.schema, buckets=3)
+    table.merge(old.drop("created_at"), OLD)
+    counts = table.merge(new, NOW, "at")
+    assert {tuple(r) for r in table.read(spark).collect()} == {tuple(r) for r in store.merge_by_key(old, new, "id", NOW, "at").collect()}
+    assert counts == store.merge_counts(old, new, "id", "at").first().asDict()
+    assert table.merge(new.limit(0), NOW, "at") == {"total": 0, "inserted": 0, "matched": 0, "modified": 0}
+    assert table.read(spark).count() == 3
+
+
+def test_keyed_table_reads_one_bucket_for_a_key(spark, tmp_path):
+    old, _ = with_null_keys(spark)
+    table = keyed.KeyedTable(str(tmp_path / "t"), "id", old.schema, buckets=8)
+    table.merge(old.drop("created_at"), OLD)
+    found = table.lookup(spark, "a")
+    assert [row.x for row in found.collect()] == [1] and [row.x for row in table.lookup(spark, None).collect()] == [9]
+    assert "PartitionFilters: [isnotnull(_bucket" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_null_keys_can_be_refused(spark, tmp_path):
+    old, new = with_null_keys(spark)
+    table = keyed.KeyedTable(str(tmp_path / "t"), "id", old.schema, buckets=3, null_keys="refuse")
+    with pytest.raises(keyed.KeyedTableError, match="2 rows of the batch have no id"):
+        table.merge(new, NOW, "at")
+    assert table.read(spark).count() == 0
+    with pytest.raises(keyed.KeyedTableError, match="lacks columns"):
+        table.merge(new.drop("note"), NOW, "at")
+
+
 def test_repeated_key_without_order_fails(spark):
     with pytest.raises(Exception, match="key repeats in the batch: c"):
         store.merge_by_key(target(spark), batch(spark), "id", NOW).collect()
