@@ -139,28 +139,35 @@ def score(
     )
 
 
-def confusion(pred: DataFrame, actual: str, predicted: str, labels: Sequence[str]) -> DataFrame:
-    """(actual, predicted, n) for every pair of declared labels, zeros included.
+def _pair_counts(pred: DataFrame, actual: str, predicted: str, labels: Sequence[str]) -> DataFrame:
+    """One row: a count for every pair of declared labels, and `n_unscored` for all other rows.
 
-    One grouped count, then one counter per declared pair over that small frame.
+    One grouped count over the rows, then counters over that small frame.
     """
     counted = pred.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    pairs = [(a, p) for a in labels for p in labels]
-    totals = counted.agg(
-        *[
-            F.coalesce(F.sum(F.when((F.col("actual") == a) & (F.col("predicted") == p), F.col("n"))), F.lit(0)).alias(
-                f"n{at}"
-            )
-            for at, (a, p) in enumerate(pairs)
-        ]
-    )
+    declared = F.lit(False)
+    counters = []
+    for at, (a, p) in enumerate(_pairs(labels)):
+        this = F.coalesce((F.col("actual") == a) & (F.col("predicted") == p), F.lit(False))
+        declared = declared | this
+        counters.append(F.coalesce(F.sum(F.when(this, F.col("n"))), F.lit(0)).alias(f"n{at}"))
+    left_out = F.coalesce(F.sum(F.when(~declared, F.col("n"))), F.lit(0)).alias("n_unscored")
+    return counted.agg(*counters, left_out)
+
+
+def _pairs(labels: Sequence[str]) -> list[tuple[str, str]]:
+    return [(a, p) for a in labels for p in labels]
+
+
+def confusion(pred: DataFrame, actual: str, predicted: str, labels: Sequence[str]) -> DataFrame:
+    """(actual, predicted, n) for every pair of declared labels, zeros included."""
     rows = [
         F.struct(F.lit(a).alias("actual"), F.lit(p).alias("predicted"), F.col(f"n{at}").alias("n"))
-        for at, (a, p) in enumerate(pairs)
+        for at, (a, p) in enumerate(_pairs(labels))
     ]
-    return totals.select(F.inline(F.array(*rows)))
+    return _pair_counts(pred, actual, predicted, labels).select(F.inline(F.array(*rows)))
 
 
 def per_class(matrix: DataFrame) -> DataFrame:
@@ -194,34 +201,150 @@ def per_class(matrix: DataFrame) -> DataFrame:
     )
 
 
-def summarize(classes: DataFrame) -> DataFrame:
-    """One row: accuracy, weighted precision, recall and F1, and macro F1."""
-    total = F.sum("support")
+def evaluate(pred: DataFrame, actual: str, predicted: str, labels: Sequence[str], digits: int = 4) -> DataFrame:
+    """One row: n, n_unscored and the rates over the n rows whose pair is declared.
 
-    def weighted(name: str):
-        return F.sum(F.col(name) * F.col("support")) / total
+    Rows without a prediction or with an undeclared label on either side are unscored.
+    The rows are read once: all rates are expressions over one row of pair counts.
+    """
+    size = len(labels)
+    count = [[F.col(f"n{a * size + p}") for p in range(size)] for a in range(size)]
+    support = [sum(count[k][1:], count[k][0]) for k in range(size)]
+    called = [sum((count[a][k] for a in range(1, size)), count[0][k]) for k in range(size)]
+    total = sum(support[1:], support[0])
+
+    def rate(part: Column, whole: Column) -> Column:
+        return F.when(whole > 0, F.try_divide(part, whole)).otherwise(0.0)
+
+    precision = [rate(count[k][k], called[k]) for k in range(size)]
+    recall = [rate(count[k][k], support[k]) for k in range(size)]
+    f1 = [rate(2 * count[k][k], called[k] + support[k]) for k in range(size)]
+
+    def weighted(values: list[Column]) -> Column:
+        return F.try_divide(sum((v * s for v, s in zip(values[1:], support[1:])), values[0] * support[0]), total)
+
+    rates = {
+        "accuracy": weighted(recall),
+        "weighted_precision": weighted(precision),
+        "weighted_recall": weighted(recall),
+        "f1": weighted(f1),
+        "macro_f1": sum(f1[1:], f1[0]) / size,
+    }
+    rounded = [F.round(value, digits).alias(name) for name, value in rates.items()]
+    return _pair_counts(pred, actual, predicted, labels).select(total.alias("n"), *rounded, "n_unscored")
+
+
+def moments(
+    model: PipelineModel, train: DataFrame, label: str, features: Sequence[str]
+) -> DataFrame:
+    """(label, term, n, observed, expected, gradient) of a fitted multinomial regression.
+
+    Where the likelihood is at its maximum, the rows that a class is given in expectation
+    hold as much of every feature as the rows that have the label: `expected` equals
+    `observed`, for the constant term and each feature. `gradient` is the derivative of
+    the mean log loss by the class's standardised coefficient, the quantity that the fit
+    brings to 0. As the loss is convex, gradients near 0 certify the fit, whoever made it.
+    One aggregate over the training rows.
+    """
+    names = fitted_labels(model)
+    scaler = model.stages[2]
+    middle, spread = scaler.mean.toArray(), scaler.std.toArray()
+    terms = ["(rows)", *features]
+    scored = predict(model, train.dropna(subset=list(features)).select(label, *features))
+
+    def value(term: str) -> Column:
+        return F.lit(1) if term == "(rows)" else F.col(term)
+
+    sums = [F.count(F.lit(1)).alias("n")]
+    for k, name in enumerate(names):
+        for j, term in enumerate(terms):
+            sums.append(F.sum(F.when(F.col(label) == name, value(term)).otherwise(0)).alias(f"o{k}_{j}"))
+            sums.append(F.sum(F.get("probability", F.lit(k)) * value(term)).alias(f"e{k}_{j}"))
+    rows = []
+    for k, name in enumerate(names):
+        for j, term in enumerate(terms):
+            excess = F.col(f"e{k}_{j}") - F.col(f"o{k}_{j}")
+            if j:
+                # A feature without spread has no coefficient.
+                centred = excess - F.lit(float(middle[j - 1])) * (F.col(f"e{k}_0") - F.col(f"o{k}_0"))
+                excess = centred / F.lit(float(spread[j - 1])) if spread[j - 1] > 0 else F.lit(0.0)
+            rows.append(
+                F.struct(
+                    F.lit(name).alias("label"),
+                    F.lit(term).alias("term"),
+                    F.col("n"),
+                    F.col(f"o{k}_{j}").alias("observed"),
+                    F.col(f"e{k}_{j}").alias("expected"),
+                    F.try_divide(excess, F.col("n")).alias("gradient"),
+                )
+            )
+    return scored.agg(*sums).select(F.inline(F.array(*rows)))
+
+
+def certify(moments_of: DataFrame, tolerance: float = 1e-3) -> DataFrame:
+    """One row: the largest gradient in size, and whether it is within the tolerance."""
+    largest = F.max(F.abs("gradient"))
+    return moments_of.agg(largest.alias("largest_gradient"), (largest <= tolerance).alias("optimal"))
 
-    return classes.agg(
-        total.alias("n"),
-        weighted("recall").alias("accuracy"),
-        weighted("precision").alias("weighted_precision"),
-        weighted("recall").alias("weighted_recall"),
-        weighted("f1").alias("f1"),
-        F.avg("f1").alias("macro_f1"),
+
+def node_table(model: PipelineModel, path: str, spark: SparkSession) -> DataFrame:
+    """(tree, node, left, right, feature, threshold, votes) of a fitted forest, saved at `path`.
+
+    Leaves have no feature; their votes are the shares of the classes among their
+    training rows. The table is the model's own stored form, read as rows.
+    """
+    model.stages[-1].write().overwrite().save(path)
+    stored = spark.read.parquet(f"{path}/data")
+    data = "nodeData" if "nodeData" in stored.columns else None
+    field = (lambda name: F.col(f"{data}.{name}")) if data else F.col
+    inner = field("leftChild") >= 0
+    stats = field("impurityStats")
+    whole = F.aggregate(stats, F.lit(0.0), lambda a, b: a + b)
+    return stored.select(
+        F.col("treeID").cast("int").alias("tree"),
+        field("id").alias("node"),
+        field("leftChild").alias("left"),
+        field("rightChild").alias("right"),
+        F.when(inner, field("split.featureIndex")).alias("feature"),
+        F.when(inner, F.get(field("split.leftCategoriesOrThreshold"), F.lit(0))).alias("threshold"),
+        F.when(~inner, F.transform(stats, lambda x: F.try_divide(x, whole))).alias("votes"),
     )
 
 
-def evaluate(pred: DataFrame, actual: str, predicted: str, labels: Sequence[str], digits: int = 4) -> DataFrame:
-    """One row: n, n_unscored and the rates over the n rows whose pair is declared.
+BROADCAST_NODES = 1_000_000  # about 80 bytes each
 
-    Rows without a prediction or with an undeclared label on either side are unscored.
+
+def predict_by_joins(model: PipelineModel, nodes: DataFrame, df: DataFrame, path: str) -> DataFrame:
+    """`predict` of a forest without the model: rows go down the node table level by level.
+
+    A row starts at the root of each tree; every level is a join on (tree, node) that
+    moves it to a child, and the votes of the leaves are added up. The table is broadcast
+    as long as its size is known to be small, so the rows stay where they are; beyond it
+    the joins shuffle. Adds `joined_label`; rows with a missing feature have none. Rows are
+    numbered and written to `path` first, so that their numbers stay.
     """
-    result = summarize(per_class(confusion(pred, actual, predicted, labels)))
-    declared = F.col(actual).isin(*labels) & F.col(predicted).isin(*labels)
-    left_out = pred.agg(F.count_if(~F.coalesce(declared, F.lit(False))).alias("n_unscored"))
-    rates = [F.round(name, digits).alias(name) for name in result.columns if name != "n"]
-    one = F.lit(1).alias("_one")
-    return result.select(one, "n", *rates).join(left_out.select(one, "n_unscored"), "_one").drop("_one")
+    features, forest = fitted_features(model), model.stages[-1]
+    small = forest.totalNumNodes <= BROADCAST_NODES
+    hint = F.broadcast if small else (lambda frame: frame)
+    moves = hint(nodes.where("feature IS NOT NULL").select("tree", "node", "left", "right", "feature", "threshold"))
+    leaves = hint(nodes.where("votes IS NOT NULL").select("tree", "node", "votes"))
+    df.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    marked = df.sparkSession.read.parquet(path)
+    values = F.array(*[F.col(name).cast("double") for name in features])
+    trees = F.sequence(F.lit(0), F.lit(forest.getNumTrees - 1))
+    at = marked.dropna(subset=features).select("_row", values.alias("_x"), F.explode(trees).alias("tree"), F.lit(0).alias("node"))
+    for _ in range(max(tree.depth for tree in forest.trees)):
+        child = F.when(F.get("_x", F.col("feature")) <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
+        step = F.when(F.col("feature").isNull(), F.col("node")).otherwise(child)
+        at = at.join(moves, ["tree", "node"], "left").select("_row", "_x", "tree", step.alias("node"))
+    names = fitted_labels(model)
+    votes = at.join(leaves, ["tree", "node"]).groupBy("_row").agg(
+        *[F.sum(F.get("votes", F.lit(k))).alias(f"v{k}") for k in range(len(names))]
+    )
+    # The first of equal classes wins, as in the model.
+    most = F.greatest(*[F.col(f"v{k}") for k in range(len(names))])
+    winner = F.coalesce(*[F.when(F.col(f"v{k}") == most, F.lit(name)) for k, name in enumerate(names)])
+    return marked.join(votes.select("_row", winner.alias("joined_label")), "_row", "left").drop("_row")
 
 
 def compare(

@@ -48,6 +48,15 @@ SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS subj
 FROM {lineitem}
 """
 
+# The cohort with labels that no linear model meets: a part of the signal is a remainder
+# of several features. Rows with equal features have equal labels, so a split finds no conflict.
+MODEL_SQL = f"""
+SELECT subject_id, {", ".join(COHORT.features)},
+       CASE WHEN signal <= 25 THEN 'Low' WHEN signal <= 45 THEN 'Medium' ELSE 'High' END AS level
+FROM (SELECT c.*, age + 3 * ((7 * ind_part + 5 * ind_supp + 3 * ind_line + ind_tax * ind_disc) % 9) AS signal
+      FROM ({COHORT_SQL}) c) s
+"""
+
 # Every column as text, with deterministic damage.
 RAW_SQL = """
 SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)
@@ -120,6 +129,10 @@ def cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bind(spark, sf_dir, COHORT_SQL)
 
 
+def modelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bind(spark, sf_dir, MODEL_SQL)
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bind(spark, sf_dir, RAW_SQL)
 

@@ -262,15 +262,15 @@ def _side_groups(rows: str) -> str:
 SNAPSHOT = f"SELECT {NOW_SQL} AS created_at, split_part(key, '|', 1) AS section, key, n FROM counted"
 
 # The test side of the cohort by its signatures, as the split has to give it.
-TESTED_CTE = {
-    **COHORT_CTE,
-    "signed": f"SELECT subject_id, level, {_signature(COHORT)} AS feature_signature FROM cohort",
+SIDES_CTE = {
+    "cohort": _tables(B.MODEL_SQL),
+    "signed": f"SELECT cohort.*, {_signature(COHORT)} AS feature_signature FROM cohort",
     "ranked": """SELECT *, row_number() OVER (PARTITION BY level ORDER BY sha256(feature_signature || '42')) AS rn,
         count(*) OVER (PARTITION BY level) AS group_count FROM (SELECT DISTINCT feature_signature, level FROM signed)""",
     "held": f"SELECT feature_signature FROM ranked WHERE rn > greatest(1, least(group_count - 1, round(group_count * {RATIO})))",
-    "tested": "SELECT level FROM signed SEMI JOIN held USING (feature_signature)",
 }
-FITTED = _with(TESTED_CTE, "SELECT level AS actual, count(*) AS n, TRUE AS above_majority FROM tested GROUP BY level")
+TESTED_CTE = {**SIDES_CTE, "tested": "SELECT level FROM signed SEMI JOIN held USING (feature_signature)"}
+TRAINED_CTE = {**SIDES_CTE, "trained": "SELECT * FROM signed ANTI JOIN held USING (feature_signature)"}
 
 
 def _prefixed(name: str) -> str:
@@ -567,7 +567,25 @@ ORACLES: dict[str, str] = {
         """SELECT label, support, round("precision", 4) AS "precision", round(recall, 4) AS recall, round(f1, 4) AS f1 FROM rates""",
     ),
 }
-ORACLES["fit_logistic"] = ORACLES["fit_forest"] = FITTED
+# What a fit has to reach, from the rows alone: it beats the majority, its gradient is near 0,
+# and its classes hold as much of each feature as the rows with their label.
+ORACLES["fit_logistic"] = _with(
+    {**TRAINED_CTE, "tested": TESTED_CTE["tested"]},
+    """SELECT level AS actual, n, TRUE AS above_majority, n_train, train_age, TRUE AS optimal
+    FROM (SELECT level, count(*) AS n FROM tested GROUP BY level)
+    JOIN (SELECT level, count(*) AS n_train, CAST(sum(age) AS BIGINT) AS train_age FROM trained GROUP BY level) USING (level)""",
+)
+ORACLES["logistic_moments"] = _with(
+    TRAINED_CTE,
+    " UNION ALL ".join(
+        f"""SELECT level AS label, '{term}' AS term, (SELECT count(*) FROM trained) AS n, CAST({value} AS BIGINT) AS observed, TRUE AS met
+        FROM trained GROUP BY level"""
+        for term, value in [("(rows)", "count(*)"), *[(name, f"sum({name})") for name in COHORT.features]]
+    ),
+)
+ORACLES["fit_forest"] = _with(
+    TESTED_CTE, "SELECT level AS actual, count(*) AS n, TRUE AS above_majority, TRUE AS tables_agree FROM tested GROUP BY level"
+)
 ORACLES["model_roundtrip"] = _with(TESTED_CTE, "SELECT level AS actual, count(*) AS n, TRUE AS same FROM tested GROUP BY level")
 ORACLES["model_compare"] = _with(
     TESTED_CTE,

@@ -17,6 +17,7 @@ from cohortloom.sources import files, keyed, store
 NOW = datetime(2024, 2, 1, 12, 0, 0)
 EARLIER = datetime(2024, 1, 15, 12, 0, 0)
 VERSION = "v20240201"
+GRADIENT = 1e-3  # of the mean log loss by a standardised coefficient, at the optimum
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 RENAMES = {
@@ -632,7 +633,7 @@ def leakage_contrast(spark, sf_dir):
 
 def _model_split(spark, sf_dir):
     """A stored manifest: fitting reads it many times, the split is computed once."""
-    signed = X.with_signature(B.cohort(spark, sf_dir), COHORT.features)
+    signed = X.with_signature(B.modelled(spark, sf_dir), COHORT.features)
     rows = split.group_split(signed, "feature_signature", COHORT.label, COHORT.labels)
     path = f"{files.scratch_dir(spark)}/manifest"
     files.write_manifest(rows.select(COHORT.id, COHORT.label, *COHORT.features, "split"), path)
@@ -653,11 +654,6 @@ def _fitted(spark, sf_dir, pipeline):
     return fitted, parts.where("split = 'test'")
 
 
-def _judged(spark, sf_dir, pipeline):
-    fitted, test = _fitted(spark, sf_dir, pipeline)
-    return _support(model.predict(fitted, test))
-
-
 def _support(pred):
     """(actual, n, above_majority): test rows of each label, and whether all together are right more often than their majority."""
     right = F.coalesce(F.col(COHORT.label) == F.col("predicted_label"), F.lit(False))
@@ -668,12 +664,41 @@ def _support(pred):
 
 @query
 def fit_logistic(spark, sf_dir):
-    return _judged(spark, sf_dir, _logistic())
+    """Support on the test rows, and by class whether the fit is at the optimum of its training rows."""
+    parts = _model_split(spark, sf_dir)
+    train, test = parts.where("split = 'train'"), parts.where("split = 'test'")
+    fitted = model.fit(_logistic(), train, COHORT.features)
+    moments = model.moments(fitted, train, COHORT.label, COHORT.features)
+    by_class = moments.groupBy(F.col("label").alias("actual")).agg(
+        F.max(F.when(F.col("term") == "(rows)", F.col("observed"))).alias("n_train"),
+        F.max(F.when(F.col("term") == "age", F.col("observed"))).alias("train_age"),
+        (F.max(F.abs("gradient")) <= GRADIENT).alias("optimal"),
+    )
+    return _support(model.predict(fitted, test)).join(by_class, "actual")
+
+
+@query
+def logistic_moments(spark, sf_dir):
+    """What every class's rows hold of every feature, and whether the fit gives the class as much."""
+    parts = _model_split(spark, sf_dir).where("split = 'train'")
+    fitted = model.fit(_logistic(), parts, COHORT.features)
+    met = F.abs(F.col("expected") - F.col("observed")) <= 0.005 * F.col("observed")
+    return model.moments(fitted, parts, COHORT.label, COHORT.features).select("label", "term", "n", "observed", met.alias("met"))
 
 
 @query
 def fit_forest(spark, sf_dir):
-    return _judged(spark, sf_dir, _forest())
+    """Support on the test rows, and whether the trees as a table say the same of each, also after reloading."""
+    fitted, test = _fitted(spark, sf_dir, _forest())
+    place = files.scratch_dir(spark)
+    model.save_model(fitted, f"{place}/model")
+    loaded = model.load_model(f"{place}/model", COHORT.labels)
+    scored = model.predict(fitted, test).drop("predicted_index", "probability")
+    nodes = model.node_table(loaded, f"{place}/forest", spark)
+    both = model.predict_by_joins(loaded, nodes, scored, f"{place}/rows")
+    same = F.bool_and(F.col("joined_label").eqNullSafe(F.col("predicted_label")))
+    agreed = both.groupBy(F.col(COHORT.label).alias("actual")).agg(same.alias("tables_agree"))
+    return _support(spark.read.parquet(f"{place}/rows")).join(agreed, "actual")
 
 
 @query
