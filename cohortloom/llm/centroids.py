@@ -69,11 +69,12 @@ class Rotation:
 
     @classmethod
     def fitted(cls, rows: DataFrame, dims: int, leading: int) -> Rotation:
-        means = rows.agg(*[F.avg(F.col("v")[i]).alias(f"m{i}") for i in range(dims)]).first()
-        axes = PCA(k=min(leading, dims), inputCol="x", outputCol="y").fit(rows.select(array_to_vector(F.col("v").cast("array<double>")).alias("x"))).pc
-        axes = axes.toArray()
-        if not np.isfinite(axes).all():
-            axes = np.eye(dims, min(leading, dims))
+        count, *means = rows.agg(F.count(F.lit(1)), *[F.avg(F.col("v")[i]).alias(f"m{i}") for i in range(dims)]).first()
+        axes = np.eye(dims, min(leading, dims))
+        if count > 1:  # one vector has no principal axes
+            data = rows.select(array_to_vector(F.col("v").cast("array<double>")).alias("x"))
+            found = PCA(k=min(leading, dims), inputCol="x", outputCol="y").fit(data).pc.toArray()
+            axes = found if np.isfinite(found).all() else axes
         # Exactly orthogonal, whatever the fit returned for directions without spread.
         return cls(np.linalg.qr(axes)[0], np.array([float(m) for m in means]))
 

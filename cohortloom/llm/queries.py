@@ -14,9 +14,9 @@ from cohortloom.llm import (
 )
 from cohortloom.llm.common import table
 from cohortloom.llm.labelled import held_out, training_rows
+from cohortloom.llm.oracles import ORACLES  # noqa: F401 - read by the entry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 
 TOKENIZER = "word_bpe_49k.json"
 SAMPLE = 4000  # labelled documents that a classifier is fitted on
