@@ -45,6 +45,23 @@ def parse(df: DataFrame, name: str) -> Column:
     return F.col(name) if is_whole(df, name) else F.col(name).cast("double")
 
 
+def parsed_once(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """(frame with the numbers beside its columns, column name -> its number).
+
+    For columns on which several rules build, or a filter and a projection. A plain
+    projection would be merged into everything above it and parse a cell as often as
+    its number is named. These numbers come out of a generator over one struct a row,
+    into which the optimizer moves nothing and which it repeats nowhere.
+    """
+    doubtful = [name for name in columns if not is_whole(df, name)]
+    numbers = {name: F.col(name) for name in columns}
+    if not doubtful:
+        return df, numbers
+    aliases = {name: f"_number_{name}" for name in doubtful}
+    cells = F.struct(*[parse(df, name).alias(alias) for name, alias in aliases.items()])
+    return df.select("*", F.inline(F.array(cells))), numbers | {name: F.col(alias) for name, alias in aliases.items()}
+
+
 def inside(value: Column, low: float, high: float) -> Column:
     """Whether a number is within the closed range; null, NaN and infinity are not."""
     return F.coalesce(value.between(low, high), F.lit(False))

@@ -19,7 +19,7 @@ from cohortloom.functions import (
     is_blank,
     match_label,
     missing,
-    parse,
+    parsed_once,
     strip,
     with_numbers,
     with_signature,
@@ -125,31 +125,28 @@ def published_frames(df: DataFrame, schema: CohortSchema) -> tuple[DataFrame, Da
     return counting, model
 
 
-def rule_violations(df: DataFrame, schema: CohortSchema) -> dict[str, Column]:
-    """Column name -> true where that cell breaks its rule. Missing breaks it.
+def rule_violations(df: DataFrame, schema: CohortSchema) -> tuple[DataFrame, dict[str, Column]]:
+    """(frame, column name -> true where that cell breaks its rule). Missing breaks it.
 
-    Every rule names its cell once, so it can be filtered and counted on without
-    parsing a cell again.
+    The rules hold on the returned frame, which has the features' numbers beside them:
+    they can be filtered and counted on in any number without parsing a cell again.
     """
+    rows, numbers = parsed_once(df, schema.features)
+    return rows, _rules(rows, schema, numbers)
+
+
+def _rules(df: DataFrame, schema: CohortSchema, numbers: Mapping[str, Column]) -> dict[str, Column]:
     rules = {
-        schema.number: ~inside(parse(df, schema.number), *schema.number_range),
-        schema.category: ~F.coalesce(parse(df, schema.category).isin(*schema.codes), F.lit(False)),
+        schema.number: ~inside(numbers[schema.number], *schema.number_range),
+        schema.category: ~F.coalesce(numbers[schema.category].isin(*schema.codes), F.lit(False)),
     }
     for name in schema.ordinals:
-        rules[name] = ~inside(parse(df, name), *schema.ordinal_range)
+        rules[name] = ~inside(numbers[name], *schema.ordinal_range)
     if schema.label in df.columns:
         rules[schema.label] = match_label(F.col(schema.label), schema.labels).isNull()
     return rules
 
 
-def _broken_rules(df: DataFrame, schema: CohortSchema, scoring: bool) -> dict[str, Column]:
-    rules = rule_violations(df, schema)
-    if scoring:
-        # A scored feature has to be whole, not only inside its range.
-        return {name: broken | (parse(df, name) % 1 != 0) for name, broken in rules.items()}
-    return {schema.id: is_blank(F.col(schema.id)), **rules}
-
-
 def validate(
     df: DataFrame, schema: CohortSchema, scoring: bool = False
 ) -> tuple[DataFrame, DataFrame]:
@@ -169,7 +166,13 @@ def validate(
         raise ContractError(f"missing columns: {absent}")
     if not scoring and not isinstance(df.schema[schema.id].dataType, T.StringType):
         raise ContractError(f"{schema.id} must be text")
-    rules = _broken_rules(df, schema, scoring)
+    rows, numbers = parsed_once(df, schema.features)
+    rules = _rules(rows, schema, numbers)
+    if scoring:
+        # A scored feature has to be whole, not only inside its range.
+        rules = {name: broken | (numbers[name] % 1 != 0) for name, broken in rules.items()}
+    else:
+        rules = {schema.id: is_blank(F.col(schema.id)), **rules}
     sound = ~reduce(or_, rules.values())
     errors = F.array_compact(
         F.array(
@@ -179,4 +182,4 @@ def validate(
             ]
         )
     )
-    return df.where(sound), df.where(~sound).withColumn("errors", errors)
+    return rows.where(sound).select(*df.columns), rows.where(~sound).select(*df.columns, errors.alias("errors"))

@@ -52,9 +52,9 @@ def quality_summary(df: DataFrame, schema: CohortSchema) -> DataFrame:
     digests, which combines on the map side at both of its steps: a signature
     that fills a third of the table reaches its reducer as one row per task.
     """
-    broken = rule_violations(df, schema)
+    checked, broken = rule_violations(df, schema)
     cells = [broken[name] for name in schema.ordinals]
-    measured = df.select(
+    measured = checked.select(
         broken[schema.number].cast("int").alias("bad_number"),
         broken[schema.category].cast("int").alias("bad_category"),
         broken[schema.label].cast("int").alias("bad_label"),
@@ -184,8 +184,8 @@ def quality_report(df: DataFrame, schema: CohortSchema) -> DataFrame:
     df = with_numbers(df, schema.features)
     empty = [F.col(name).isNull() for name in schema.features]
     empty += [F.col(schema.id).isNull(), F.col(schema.label).isNull()]
-    broken = rule_violations(df, schema)
-    totals = df.select(
+    checked, broken = rule_violations(df, schema)
+    totals = checked.select(
         *[broken[name].cast("int").alias(f"bad_{name}") for name in (schema.category, schema.number, schema.label)],
         _count_true([broken[name] for name in schema.ordinals]).alias("bad_cells"),
         _count_true(empty).alias("missing"),
@@ -242,7 +242,7 @@ def violation_counts(df: DataFrame, schema: CohortSchema) -> DataFrame:
 
     Checks nothing violates are absent; `rows_total` is there for any input row.
     """
-    broken = rule_violations(df, schema)
+    checked, broken = rule_violations(df, schema)
     any_cell = reduce(lambda left, right: left | right, [broken[name] for name in schema.ordinals])
     checks = {
         "rows_total": F.lit(True),
@@ -251,7 +251,7 @@ def violation_counts(df: DataFrame, schema: CohortSchema) -> DataFrame:
         f"invalid_{schema.label}": broken[schema.label],
         "invalid_risk_scale": any_cell,
     }
-    totals = df.agg(*[F.count_if(broken_).alias(name) for name, broken_ in checks.items()])
+    totals = checked.agg(*[F.count_if(broken_).alias(name) for name, broken_ in checks.items()])
     entries = [F.struct(F.lit(name).alias("check_name"), F.col(name).alias("n")) for name in checks]
     return totals.select(F.inline(F.array(*entries))).where(F.col("n") > 0)
 

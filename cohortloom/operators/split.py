@@ -29,22 +29,50 @@ def groups(df: DataFrame, key: str, label: str) -> DataFrame:
     return df.select(key, label).distinct()
 
 
-def attach(df: DataFrame, assignment: DataFrame, key: str, salt: int = 16) -> DataFrame:
-    """Left join a per-group assignment (one row per key) to every row.
+def heavy_keys(df: DataFrame, key: str, share: float | None = None) -> list:
+    """Keys that alone hold more than `share` of the rows: by default, of an average task.
 
-    The rows of each key are spread over `salt` parts by their content, and the
-    assignment is repeated once per part, so that a key may hold a large part of the
-    rows. Sides of a split need no join at all: see `with_side`.
+    One pass over the key column fills a sketch of frequent items. It tracks eight keys
+    for each that the share leaves room for, so its size does not grow with the table and
+    its counts are off by less than half the share: it may name a key that is a little
+    less frequent, and misses none. At most 1 / share keys come to the driver.
     """
-    spread = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salt)).cast("int"))
-    repeated = assignment.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return spread.join(repeated, [key, "_salt"], "left").drop("_salt")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = share or 1 / parts
+    most = int(1 / share) + 1
+    tracked = max(1024, 8 * most)
+    sketch = F.expr(f"approx_top_k(`{key}`, {most}, {tracked})").alias("frequent")
+    found = df.where(F.col(key).isNotNull()).agg(sketch, F.count(F.lit(1)).alias("n")).first()
+    return [item["item"] for item in found["frequent"] or [] if item["count"] > share * found["n"]]
+
 
+def attach(df: DataFrame, assignment: DataFrame, key: str, hot: Sequence | None = None) -> DataFrame:
+    """Left join a per-group assignment (one row per key) to every row.
 
-def keep_groups(df: DataFrame, wanted: DataFrame, key: str, salt: int = 16) -> DataFrame:
-    """Rows whose key is among the wanted ones; a key's rows are spread as by `attach`."""
-    marked = wanted.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_wanted", F.lit(True))
-    return attach(df, marked, key, salt).where("_wanted").drop("_wanted")
+    Keys that hold a large part of the rows (`hot`, found by `heavy_keys` unless given)
+    are joined apart: their assignments, one row a key and few, are broadcast, and their
+    rows stay where they are. All other rows are joined by key, without an exchange
+    where both tables are bucketed by it. Rows without a key meet nothing. `df` is
+    read once for the sketch, its key column alone, and once for each kind of rows.
+
+    Sides of a split need no join at all: see `with_side`.
+    """
+    hot = heavy_keys(df, key) if hot is None else list(hot)
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    apart = F.col(key).isNull() | is_hot
+    few = F.broadcast(assignment.where(is_hot))  # at most a row for each hot key
+    return df.where(~apart).join(assignment, key, "left").unionByName(df.where(apart).join(few, key, "left"))
+
+
+def keep_groups(df: DataFrame, wanted: DataFrame, key: str, hot: Sequence | None = None) -> DataFrame:
+    """Rows whose key is among the wanted ones; hot keys are joined apart as by `attach`."""
+    hot = heavy_keys(df, key) if hot is None else list(hot)
+    rest, keys = df.where(F.col(key).isNotNull()), wanted.select(key)
+    if not hot:
+        return rest.join(keys, key, "left_semi")
+    is_hot = F.col(key).isin(hot)
+    few = F.broadcast(keys.where(is_hot).distinct())  # at most a row for each hot key
+    return rest.where(~is_hot).join(keys, key, "left_semi").unionByName(rest.where(is_hot).join(few, key, "left_semi"))
 
 
 def overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -150,6 +150,13 @@ def conflicting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bind(spark, sf_dir, GROUPED_SQL).select("row_id", signature.alias("feature_signature"), "label")
 
 
+def skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `grouped`, but one signature holds a third of the rows and a seventh have none."""
+    text = F.when(F.col("row_id") % 3 == 0, F.lit("everyone")).otherwise(F.col("group_text"))
+    signature = F.when(F.col("row_id") % 7 != 0, F.sha2(text, 256))
+    return bind(spark, sf_dir, GROUPED_SQL).select("row_id", signature.alias("feature_signature"), "label")
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bind(spark, sf_dir, LABELLED_SQL).select(
         "row_id", F.sha2("group_text", 256).alias("feature_signature"), "label"

@@ -86,6 +86,11 @@ ORDERED_CTE = {
         THEN 'train' ELSE 'test' END AS split FROM ranked""",
     "divided": "SELECT g.row_id, g.feature_signature, g.label, s.split FROM grouped g LEFT JOIN sides s USING (feature_signature)",
 }
+SKEWED_CTE = {
+    "bound": _tables(B.GROUPED_SQL),
+    "skewed": """SELECT row_id, CASE WHEN row_id % 7 <> 0 THEN sha256(CASE WHEN row_id % 3 = 0 THEN 'everyone' ELSE group_text END) END AS signature, label
+        FROM bound""",
+}
 LOG_CTE = {"log": _tables(B.HISTORY_SQL)}
 JUDGED_CTE = {"judged": _tables(B.JUDGED_SQL)}
 CLASSES_CTE = {
@@ -366,7 +371,13 @@ ORACLES: dict[str, str] = {
         COHORT_CTE,
         "SELECT * FROM cohort WHERE level = 'High' AND gender = 1 AND age BETWEEN 36 AND 48 AND ind_price BETWEEN 3 AND 7",
     ),
-    "lookup_by_id": "SELECT * FROM customer WHERE c_name = 'Customer#000000042'",
+    "lookup_by_id": _with(
+        COHORT_CTE,
+        f"""SELECT cohort.*, {_closed('age')} AS age_group,
+        CAST(CASE level WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 WHEN 'High' THEN 2 ELSE -1 END AS INTEGER) AS level_encoded,
+        {_signature(COHORT)} AS feature_signature, '{VERSION}' AS dataset_version, {NOW_SQL} AS updated_at
+        FROM cohort WHERE subject_id = '7-1'""",
+    ),
     "validate_valid": _with(VALIDATED_CTE, "SELECT * EXCLUDE (errors) FROM validated WHERE errors = ''"),
     "validate_quarantine": _with(VALIDATED_CTE, "SELECT * FROM validated WHERE errors <> ''"),
     "prediction_history": _with(LOG_CTE, "SELECT * FROM log WHERE subject_id = '42' AND predicted_label = 'purchase'"),
@@ -383,6 +394,16 @@ ORACLES: dict[str, str] = {
     ),
     "latest_snapshot": _with(COHORT_KEYS_CTE, SNAPSHOT),
     "split_assign": _with(ORDERED_CTE, "SELECT * FROM divided"),
+    "attach_assignment": _with(
+        SKEWED_CTE,
+        """SELECT row_id, signature AS feature_signature, label, n_labels FROM skewed LEFT JOIN
+        (SELECT signature, count(DISTINCT label) AS n_labels FROM skewed GROUP BY signature) USING (signature)""",
+    ),
+    "keep_wanted_groups": _with(
+        SKEWED_CTE,
+        """SELECT row_id, signature AS feature_signature, label FROM skewed WHERE signature IN
+        (SELECT signature FROM skewed JOIN orders ON row_id = o_orderkey WHERE o_orderpriority = '1-URGENT' AND signature IS NOT NULL)""",
+    ),
     "rows_in_train_groups": _with(ORDERED_CTE, "SELECT row_id, feature_signature, label FROM divided WHERE split = 'train'"),
     "split_overlap": _with(
         ORDERED_CTE,

@@ -62,9 +62,9 @@ def positional_bad_rows(spark, sf_dir):
     )
     path = f"{files.scratch_dir(spark)}/positional"
     B.cohort(spark, sf_dir).select(line.alias("value")).write.text(path)
-    rows, bad = files.read_positional(spark, path, columns, COHORT.labels)
+    rows, bad = files.load_positional(spark, path, columns, f"{files.scratch_dir(spark)}/rows", COHORT.labels)
     good = distribution.counts(rows.select(F.lit("good").alias("kind")), ["kind"])
-    return good.unionByName(bad.select(F.lit("bad").alias("kind"), F.col("bad_rows").alias("n")))
+    return good.unionByName(spark.range(1).select(F.lit("bad").alias("kind"), F.lit(bad).cast("long").alias("n")))
 
 
 @query
@@ -135,7 +135,7 @@ def upsert_counts(spark, sf_dir):
 def distribution_snapshot(spark, sf_dir):
     path = f"{files.scratch_dir(spark)}/snapshots"
     store.append_snapshot(distribution.distribution_table(B.cohort(spark, sf_dir), COHORT), path, NOW)
-    return spark.read.parquet(path)
+    return store.read_snapshots(spark, path)
 
 
 @query
@@ -246,54 +246,59 @@ def decode_category(spark, sf_dir):
 # Filters, lookup, paging
 
 
+_SEARCHABLE: dict[tuple[str, str], str] = {}
+
+
+def _searchable(spark, sf_dir):
+    """The stored cohort, written once a session and searched by every query."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SEARCHABLE or not files.exists(spark, _SEARCHABLE[key]):
+        path = f"{files.scratch_dir(spark)}/searchable"
+        files.write_searchable(cleaning.enrich(B.cohort(spark, sf_dir), COHORT, VERSION, NOW), path, COHORT)
+        _SEARCHABLE[key] = path
+    return spark.read.parquet(_SEARCHABLE[key])
+
+
+def _found(spark, sf_dir, **filters):
+    return search.where(_searchable(spark, sf_dir), COHORT, **filters).select(COHORT.id, *COHORT.features, COHORT.label)
+
+
 @query
 def search_eq(spark, sf_dir):
-    return search.where(B.cohort(spark, sf_dir), COHORT, feature="ind_part", operator="eq", value=4)
+    return _found(spark, sf_dir, feature="ind_part", operator="eq", value=4)
 
 
 @query
 def search_gte(spark, sf_dir):
-    return search.where(B.cohort(spark, sf_dir), COHORT, feature="ind_price", operator="gte", value=5)
+    return _found(spark, sf_dir, feature="ind_price", operator="gte", value=5)
 
 
 @query
 def search_lte(spark, sf_dir):
-    return search.where(B.cohort(spark, sf_dir), COHORT, feature="ind_tax", operator="lte", value=3)
+    return _found(spark, sf_dir, feature="ind_tax", operator="lte", value=3)
 
 
 @query
 def search_between(spark, sf_dir):
-    return search.where(
-        B.cohort(spark, sf_dir), COHORT, feature="ind_qty", operator="between", min_value=3, max_value=5
-    )
+    return _found(spark, sf_dir, feature="ind_qty", operator="between", min_value=3, max_value=5)
 
 
 @query
 def search_between_reversed(spark, sf_dir):
-    return search.where(
-        B.cohort(spark, sf_dir), COHORT, feature="ind_qty", operator="between", min_value=5, max_value=3
-    )
+    return _found(spark, sf_dir, feature="ind_qty", operator="between", min_value=5, max_value=3)
 
 
 @query
 def search_combined(spark, sf_dir):
-    return search.where(
-        B.cohort(spark, sf_dir),
-        COHORT,
-        label="high",
-        category=1,
-        number_min=36,
-        number_max=48,
-        feature="ind_price",
-        operator="between",
-        min_value=3,
-        max_value=7,
-    )
+    return _found(
+        spark, sf_dir, label="high", category=1, number_min=36, number_max=48,
+        feature="ind_price", operator="between", min_value=3, max_value=7,
+    )
 
 
 @query
 def lookup_by_id(spark, sf_dir):
-    return search.lookup(B.table(spark, sf_dir, "customer"), "c_name", "Customer#000000042")
+    return search.lookup(_searchable(spark, sf_dir), COHORT.id, "7-1")
 
 
 @query
@@ -337,7 +342,7 @@ def latest_snapshot(spark, sf_dir):
     counted = distribution.distribution_table(B.cohort(spark, sf_dir), COHORT)
     store.append_snapshot(counted.where("key like 'level|%'"), path, EARLIER)
     store.append_snapshot(counted, path, NOW)
-    return search.latest(spark.read.parquet(path), "created_at")
+    return store.latest_snapshot(spark, path)
 
 
 @query
@@ -359,6 +364,22 @@ def split_assign(spark, sf_dir):
     return split.with_side(rows, cuts, "feature_signature", "label")
 
 
+@query
+def attach_assignment(spark, sf_dir):
+    """Every row with the number of labels its group has; one group holds a third of the rows."""
+    rows = B.skewed(spark, sf_dir)
+    pairs = split.groups(rows, "feature_signature", "label").where("feature_signature IS NOT NULL")
+    return split.attach(rows, pairs.groupBy("feature_signature").agg(F.count(F.lit(1)).alias("n_labels")), "feature_signature")
+
+
+@query
+def keep_wanted_groups(spark, sf_dir):
+    """Rows of the groups that some urgent order belongs to."""
+    rows = B.skewed(spark, sf_dir)
+    urgent = B.table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("row_id"))
+    return split.keep_groups(rows, rows.join(urgent, "row_id", "left_semi"), "feature_signature")
+
+
 @query
 def rows_in_train_groups(spark, sf_dir):
     return split_assign(spark, sf_dir).where("split = 'train'").drop("split")
@@ -730,10 +751,10 @@ def score_batch(spark, sf_dir):
     scored = model.score(B.cohort(spark, sf_dir), fitted, COHORT.id, COHORT.labels, "logistic-1", VERSION, NOW)
     path = f"{files.scratch_dir(spark)}/predictions"
     for _ in range(2):  # a rerun adds nothing
-        store.append_predictions(scored, path)
+        store.append_predictions(scored, path, "all rows")
     names = F.array(*[F.lit(name) for name in model.fitted_labels(fitted)])
     total = F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda a, b: a + b)
-    return spark.read.parquet(path).select(
+    return store.read_predictions(spark, path).select(
         "prediction_id",
         "subject_id",
         "model_run_id",

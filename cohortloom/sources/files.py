@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortloom.functions import match_label, strip
+from cohortloom.schema import CohortSchema
 
 
 class EmptyExportError(ValueError):
@@ -32,6 +33,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column, from the names of the directories alone."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    names = [status.getPath().getName() for status in place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(place)]
+    return [name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")]
+
+
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in columns])
 
@@ -45,15 +53,8 @@ def read_clean(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 
-def read_positional(
-    spark: SparkSession, path: str, columns: Sequence[str], labels: Sequence[str] = ()
-) -> tuple[DataFrame, DataFrame]:
-    """(rows, one row with `bad_rows`) of CSV text read by position.
-
-    Blank lines and header lines, wherever in a file they stand, are skipped;
-    lines with too few or too many fields are counted and left out. With declared
-    `labels`, so are lines whose last field is none of them.
-    """
+def _positional(spark: SparkSession, path: str, columns: Sequence[str], labels: Sequence[str]) -> tuple[DataFrame, Column]:
+    """(lines that are no header, whether a line is broken)."""
     schema = text_schema(columns).add("_bad_line", T.StringType())
     lines = (
         spark.read.schema(schema)
@@ -68,13 +69,40 @@ def read_positional(
     is_header = F.coalesce(F.ltrim(F.col(first), F.lit("\ufeff")) == first, F.lit(False)) | F.coalesce(
         F.col(last) == last, F.lit(False)
     )
-    body = lines.where(~is_header)
     broken = F.col("_bad_line").isNotNull()
     if labels:
         broken = broken | match_label(F.col(last), labels).isNull()
+    return lines.where(~is_header), broken
+
+
+def read_positional(
+    spark: SparkSession, path: str, columns: Sequence[str], labels: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, one row with `bad_rows`) of CSV text read by position.
+
+    Blank lines and header lines, wherever in a file they stand, are skipped;
+    lines with too few or too many fields are counted and left out. With declared
+    `labels`, so are lines whose last field is none of them. Whoever needs both results
+    reads the text once with `load_positional`.
+    """
+    body, broken = _positional(spark, path, columns, labels)
     return body.where(~broken).select(*columns), body.agg(F.count_if(broken).alias("bad_rows"))
 
 
+def load_positional(
+    spark: SparkSession, path: str, columns: Sequence[str], target: str, labels: Sequence[str] = ()
+) -> tuple[DataFrame, int]:
+    """(rows stored at `target`, number of broken lines), as `read_positional` has them.
+
+    The broken lines are counted on the way, while the rows are written: one scan, one parse.
+    """
+    body, broken = _positional(spark, path, columns, labels)
+    seen = Observation()
+    rows = body.observe(seen, F.count_if(broken).alias("bad_rows")).where(~broken).select(*columns)
+    rows.write.parquet(target)
+    return spark.read.schema(rows.schema).parquet(target), seen.get["bad_rows"]
+
+
 def read_counts(spark: SparkSession, path: str) -> DataFrame:
     """(section, key, n) of `key<TAB>count` lines.
 
@@ -102,6 +130,30 @@ def write_counts(distribution: DataFrame, path: str) -> None:
     distribution.select("key", "n").write.mode("errorifexists").option("sep", "\t").csv(path)
 
 
+def write_searchable(
+    rows: DataFrame, path: str, schema: CohortSchema, files: int = 8, group_bytes: int = 8 << 20
+) -> None:
+    """Rows as Parquet that filters can skip through.
+
+    Rows are ranged by label, number and id over `files` files, so a label that most rows
+    have is spread too, and sorted within: filters on label and number skip row groups
+    by their bounds. Ids stand in no order; each row group has a Bloom filter of its ids,
+    sized for as many as `group_bytes` may hold.
+    """
+    order = [schema.label, schema.number, schema.id]
+    per_group = max(1000, group_bytes // (8 * len(rows.columns)))
+    (
+        rows.repartitionByRange(files, *order)
+        .sortWithinPartitions(*order)
+        .write.option("parquet.block.size", group_bytes)
+        .option(f"parquet.bloom.filter.enabled#{schema.id}", "true")
+        .option(f"parquet.bloom.filter.expected.ndv#{schema.id}", per_group)
+        # Repeated ids would be met by a dictionary; unique ones only bloat it.
+        .option(f"parquet.enable.dictionary#{schema.id}", "false")
+        .parquet(path)
+    )
+
+
 def write_manifest(split: DataFrame, path: str) -> None:
     """Split rows as Parquet, one directory per side so a side can be read alone.
 

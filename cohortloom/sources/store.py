@@ -10,11 +10,10 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from cohortloom.operators.cleaning import timestamp
-from cohortloom.sources.files import scratch_dir
+from cohortloom.sources.files import partition_values, scratch_dir
 
 
 def dedupe_batch(batch: DataFrame, key: str, order: str | None) -> DataFrame:
@@ -153,28 +152,57 @@ def snapshot_rows(distribution: DataFrame, now: datetime) -> DataFrame:
     )
 
 
+TAKEN = "taken"
+PART = "part"
+
+
 def append_snapshot(distribution: DataFrame, path: str, now: datetime) -> None:
-    snapshot_rows(distribution, now).write.mode("append").parquet(path)
+    """Keep a snapshot in the directory of its time; taken again, it replaces itself."""
+    rows = snapshot_rows(distribution, now).withColumn(TAKEN, F.lit(f"at-{now:%Y-%m-%dT%H-%M-%S.%f}"))
+    _replace_parts(rows, path, TAKEN)
+
+
+def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(TAKEN)
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest snapshot, all its rows; no other is read.
+
+    Which one that is, the names of the directories say.
+    """
+    newest = max(partition_values(spark, path, TAKEN), default=None)
+    return spark.read.parquet(path).where(F.col(TAKEN) == newest).drop(TAKEN)
+
+
+def _replace_parts(rows: DataFrame, path: str, column: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
 
+def append_predictions(scored: DataFrame, path: str, batch: str) -> bool:
+    """Log scored rows under their model run and the name of their batch.
 
-def append_predictions(scored: DataFrame, path: str) -> bool:
-    """Append scored rows that the log does not hold yet, by prediction id.
+    A run scores a batch into one directory of the log, which a repeated job replaces
+    whole, also after one that failed half way: the rows are the same as after a single
+    run, and the log is never read. Equal prediction ids within a batch are equal rows
+    and are kept once.
 
     The scores are computed and stored first, and a failure there is the caller's. Only
     a log that cannot be written is survived: the caller learns that nothing was logged.
     """
     spark = scored.sparkSession
     place = f"{scratch_dir(spark)}/scored"
-    scored.write.parquet(place)
-    stored = spark.read.schema(scored.schema).parquet(place)
+    scored.dropDuplicates(["prediction_id"]).write.parquet(place)
+    # Letters before the digits, so that no reader takes the name for a number.
+    named = F.concat(F.lit("b-"), F.sha2(F.concat_ws("|", "model_run_id", F.lit(batch)), 256).substr(1, 32))
+    stored = spark.read.schema(scored.schema).parquet(place).withColumn(PART, named)
     try:
-        known = spark.read.parquet(path).select("prediction_id")
-        stored = stored.join(known, "prediction_id", "left_anti").select(*scored.columns)
-    except AnalysisException:
-        pass  # no log yet
-    try:
-        stored.write.mode("append").parquet(path)
+        _replace_parts(stored, path, PART)
     except Exception as error:  # noqa: BLE001 - whatever the sink raises
         print(f"prediction log not written: {error}")
         return False
     return True
+
+
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop(PART)

@@ -126,3 +126,74 @@ def test_unscored_pairs_are_counted(spark):
     pred = spark.createDataFrame([("a", "a"), ("a", None), ("z", "a")], "actual string, predicted string")
     row = model.evaluate(pred, "actual", "predicted", ["a", "b"]).first()
     assert (row.n, row.n_unscored, row.accuracy) == (1, 2, 1.0)
+
+
+def test_moments_certify_the_optimum_and_nothing_else(cohort):
+    converged = model.fit(model.logistic(S.label, S.labels, S.features), cohort, S.features)
+    moments = model.moments(converged, cohort, S.label, S.features)
+    assert model.certify(moments).first().optimal
+    by_term = {(row.label, row.term): row for row in moments.collect()}
+    assert len(by_term) == 3 * 5
+    assert by_term["Low", "(rows)"].observed == cohort.where("level = 'Low'").count()
+    assert by_term["High", "a"].observed == cohort.where("level = 'High'").agg(F.sum("a")).first()[0]
+    assert by_term["High", "a"].expected == pytest.approx(by_term["High", "a"].observed, rel=1e-3)
+    # Not yet converged, regularised, or applied to other rows: no optimum.
+    early = model.fit(model.logistic(S.label, S.labels, S.features, max_iter=2), cohort, S.features)
+    assert not model.certify(model.moments(early, cohort, S.label, S.features)).first().optimal
+    shrunk = model.logistic(S.label, S.labels, S.features)
+    shrunk.getStages()[-1].setRegParam(0.1)
+    assert not model.certify(model.moments(model.fit(shrunk, cohort, S.features), cohort, S.label, S.features)).first().optimal
+    shifted = cohort.withColumn("a", F.col("a") + 1)
+    assert not model.certify(model.moments(converged, shifted, S.label, S.features)).first().optimal
+
+
+def test_gradients_are_those_of_the_log_loss(cohort):
+    """Against differences of the loss, on a model far from its optimum."""
+    import numpy as np
+
+    early = model.fit(model.logistic(S.label, S.labels, S.features, max_iter=1), cohort, S.features)
+    last = early.stages[-1]
+    rows = cohort.toPandas()
+    x = (rows[list(S.features)].to_numpy(float) - early.stages[2].mean.toArray()) / early.stages[2].std.toArray()
+    y = np.array([model.fitted_labels(early).index(v) for v in rows["level"]])
+
+    def loss(weights, constants):
+        z = x @ weights.T + constants
+        z -= z.max(axis=1, keepdims=True)
+        return np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(y)), y])
+
+    weights, constants = last.coefficientMatrix.toArray(), last.interceptVector.toArray()
+    found = {(r.label, r.term): r.gradient for r in model.moments(early, cohort, S.label, S.features).collect()}
+    for k, label in enumerate(model.fitted_labels(early)):
+        for j, term in enumerate(("(rows)", *S.features)):
+            up, down = (weights.copy(), constants.copy()), (weights.copy(), constants.copy())
+            for (w, c), step in ((up, 1e-5), (down, -1e-5)):
+                if j:
+                    w[k, j - 1] += step
+                else:
+                    c[k] += step
+            assert found[label, term] == pytest.approx((loss(*up) - loss(*down)) / 2e-5, abs=1e-6)
+
+
+def test_trees_as_a_table_predict_as_the_model(spark, cohort, tmp_path, monkeypatch):
+    fitted = model.fit(model.forest(S.label, S.labels, S.features, trees=12, depth=6), cohort, S.features)
+    model.save_model(fitted, f"{tmp_path}/saved")
+    loaded = model.load_model(f"{tmp_path}/saved", S.labels)
+    holed = cohort.withColumn("a", F.when(F.col("id") % 50 != 0, F.col("a"))).unionByName(cohort.limit(5))
+    expected = model.predict(fitted, holed)
+    wanted = sorted((r.id, r.predicted_label or "") for r in expected.collect())
+    for at, source in enumerate((fitted, loaded)):
+        nodes = model.node_table(source, f"{tmp_path}/forest{at}", spark)
+        assert nodes.select("tree").distinct().count() == 12 and nodes.count() == fitted.stages[-1].totalNumNodes
+        assert nodes.where("(votes IS NULL) = (feature IS NULL)").count() == 0
+        got = model.predict_by_joins(source, nodes, holed, f"{tmp_path}/rows{at}")
+        assert sorted((r.id, r.joined_label or "") for r in got.collect()) == wanted
+    monkeypatch.setattr(model, "BROADCAST_NODES", 0)  # joined by shuffles
+    got = model.predict_by_joins(loaded, nodes, holed, f"{tmp_path}/rows9")
+    assert sorted((r.id, r.joined_label or "") for r in got.collect()) == wanted
+
+
+def test_evaluation_of_nothing(spark):
+    empty = spark.createDataFrame([], "y string, p string")
+    row = model.evaluate(empty, "y", "p", ("x", "z")).first()
+    assert (row.n, row.n_unscored, row.accuracy, row.macro_f1) == (0, 0, None, 0.0)

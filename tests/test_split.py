@@ -81,7 +81,7 @@ def test_rows_are_not_shuffled_by_the_split(cohort):
 def test_salted_attach_equals_plain(cohort):
     assignment = split.assignment(cohort, KEY, LABEL)
     plain_join = split.attach(cohort, assignment, KEY)
-    salted = split.attach(cohort, assignment, KEY, salt=5)
+    salted = split.attach(cohort, assignment, KEY, hot=[])
     assert salted.count() == cohort.count()
     assert plain_join.exceptAll(salted.select(*plain_join.columns)).count() == 0
     kept = split.keep_groups(cohort, assignment.where("split = 'test'"), KEY)

@@ -148,7 +148,8 @@ def test_snapshot(spark, tmp_path):
     counted = spark.createDataFrame([("level|Low", 2), ("age|<20", 1), ("cross|level_age|Low|<20", 1)], "key string, n bigint")
     store.append_snapshot(counted, f"{tmp_path}/s", OLD)
     store.append_snapshot(counted.withColumn("n", F.lit(9).cast("bigint")), f"{tmp_path}/s", NOW)
-    snapshots = spark.read.parquet(f"{tmp_path}/s")
+    store.append_snapshot(counted, f"{tmp_path}/s", OLD)  # taken again
+    snapshots = store.read_snapshots(spark, f"{tmp_path}/s")
     assert snapshots.count() == 6
     assert [row.n for row in search.latest(snapshots, "created_at").collect()] == [9, 9, 9]
     sections = {row.section for row in search.latest(snapshots, "created_at").collect()}
@@ -162,16 +163,46 @@ def test_latest_puts_rows_without_a_time_last(spark):
     assert search.latest(frame.limit(0), "t").count() == 0
 
 
+def test_newest_snapshot_is_read_alone(spark, tmp_path):
+    counted = spark.createDataFrame([("level|Low", 2), ("age|<20", 1)], "key string, n bigint")
+    for month in (1, 3, 2):
+        store.append_snapshot(counted.withColumn("n", F.lit(month).cast("bigint")), f"{tmp_path}/s", datetime(2024, month, 1))
+    newest = store.latest_snapshot(spark, f"{tmp_path}/s")
+    assert [(row.n, row.created_at) for row in newest.collect()] == [(3, datetime(2024, 3, 1))] * 2
+    text = newest._jdf.queryExecution().executedPlan().toString()
+    assert "taken" in text.split("PartitionFilters: ")[1].split("]")[0] and text.count("FileScan") == 1
+    assert "Join" not in text and len(newest.inputFiles()) >= 2
+
+
 def test_failing_log_keeps_the_scores(spark, tmp_path):
     (tmp_path / "file").write_text("in the way")
-    scored = target(spark).withColumnRenamed("id", "prediction_id")
-    assert store.append_predictions(scored, f"{tmp_path}/file/log") is False
+    scored = target(spark).withColumnRenamed("id", "prediction_id").withColumn("model_run_id", F.lit("7"))
+    assert store.append_predictions(scored, f"{tmp_path}/file/log", "1") is False
     assert scored.count() == 3
     for _ in range(2):
-        assert store.append_predictions(scored, f"{tmp_path}/log") is True
+        assert store.append_predictions(scored, f"{tmp_path}/log", "1") is True
     assert spark.read.parquet(f"{tmp_path}/log").count() == 3
     with pytest.raises(Exception, match="no score"):
-        store.append_predictions(scored.withColumn("bad", F.raise_error(F.lit("no score"))), f"{tmp_path}/log")
+        store.append_predictions(scored.withColumn("bad", F.raise_error(F.lit("no score"))), f"{tmp_path}/log", "1")
+    assert store.read_predictions(spark, f"{tmp_path}/log").count() == 3
+
+
+def test_log_parts_are_replaced_and_never_read(spark, tmp_path):
+    scored = target(spark).withColumnRenamed("id", "prediction_id").withColumn("model_run_id", F.lit("7"))
+    log = tmp_path / "log"
+    assert store.append_predictions(scored.union(scored), str(log), "1")  # equal ids are kept once
+    first = files_of(log)
+    assert store.append_predictions(scored.where("prediction_id = 'a'"), str(log), "2")
+    assert store.append_predictions(scored.withColumn("model_run_id", F.lit("8")), str(log), "1")
+    assert first.items() <= files_of(log).items()
+    # What a job that failed half way left behind goes with its part.
+    part = next(iter(first)).parent
+    for path in part.glob("*.parquet"):
+        path.unlink()
+    (part / "part-9.parquet").write_bytes(b"not a table")
+    assert store.append_predictions(scored, str(log), "1")
+    assert store.read_predictions(spark, str(log)).groupBy("model_run_id").count().orderBy("model_run_id").collect() == [("7", 4), ("8", 3)]
+    assert store.read_predictions(spark, str(log)).columns == scored.columns
 
 
 POSITIONAL = {
@@ -192,6 +223,22 @@ def test_positional_lines(spark, tmp_path):
     assert [row.id for row in rows.collect()] == ["4"] and bad.first().bad_rows == 6
 
 
+def test_positional_lines_are_counted_while_they_are_stored(spark, tmp_path):
+    for name, content in POSITIONAL.items():
+        (tmp_path / name).write_bytes(content)
+    columns = ["id", "a", "level"]
+    for at, labels in enumerate(((), ("Medium", "HIGH"))):
+        rows, bad = files.read_positional(spark, str(tmp_path), columns, labels)
+        scans = []
+        spark.sparkContext.setJobGroup(f"positional-{at}", "")
+        stored, counted = files.load_positional(spark, str(tmp_path), columns, str(tmp_path / f"_stored{at}"), labels)
+        scans = spark.sparkContext.statusTracker().getJobIdsForGroup(f"positional-{at}")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(scans) == 1  # one job reads the text, writes the rows and counts
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, rows.collect()))
+        assert counted == bad.first().bad_rows
+
+
 def test_clean_csv_with_byte_order_mark(spark, tmp_path):
     (tmp_path / "c.csv").write_bytes(b"\xef\xbb\xbfid,a\n1,2\n")
     schema = files.text_schema(["id", "a"])
