@@ -653,12 +653,18 @@ def leakage_contrast(spark, sf_dir):
 
 
 def _model_split(spark, sf_dir):
-    """A stored manifest: fitting reads it many times, the split is computed once."""
-    signed = X.with_signature(B.modelled(spark, sf_dir), COHORT.features)
+    """A stored manifest: fitting reads it many times, the split is computed once.
+
+    Splitting reads its rows several times too, so the signed rows are stored before it,
+    over all cores however few files the source has.
+    """
+    place = files.scratch_dir(spark)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    X.with_signature(B.modelled(spark, sf_dir).repartition(parts), COHORT.features).write.parquet(f"{place}/signed")
+    signed = spark.read.parquet(f"{place}/signed")
     rows = split.group_split(signed, "feature_signature", COHORT.label, COHORT.labels)
-    path = f"{files.scratch_dir(spark)}/manifest"
-    files.write_manifest(rows.select(COHORT.id, COHORT.label, *COHORT.features, "split"), path)
-    return files.read_manifest(spark, path)
+    files.write_manifest(rows.select(COHORT.id, COHORT.label, *COHORT.features, "split"), f"{place}/manifest")
+    return files.read_manifest(spark, f"{place}/manifest")
 
 
 def _logistic():
