@@ -14,6 +14,7 @@ other than the id and the text are ignored.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from itertools import chain
 from unicodedata import is_normalized
@@ -28,22 +29,53 @@ from pyspark.sql import types as T
 
 from cohortloom.llm.common import chunks, map_text, stored, text_of
 
-# A worker keeps its encoder, so these bound what stays in memory: some 100 MB.
-MAX_CACHED_WORDS = 150_000
-MAX_CACHED_PIECES = 300_000
-
+# A worker keeps its encoder, so these bound what stays in memory: some 100 MB. Each is
+# the size of one generation of a cache, which keeps two.
+MAX_CACHED_PIECES = 200_000
 
+# The same pieces of lower-case texts of Latin-1 letters, by a quicker matcher: letters, digits, and what is neither.
+_LETTERS, _DIGITS, _SPACES = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+LATIN_PIECE = re.compile(f"[{_LETTERS}]+|[{_DIGITS}]|[^{_SPACES}{_LETTERS}{_DIGITS}]+")
 PIECE = regex.compile(r"\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 WORD_END = "</w>"
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
+def is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+class Generations(dict):
+    """A cache of bounded size that keeps what is used.
+
+    When the young generation is full it becomes the old one, and the old one goes; what
+    is found in the old one moves to the young. So frequent words are never lost.
+    """
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def absent(self, keys: set) -> set:
+        """Those of the keys that are in neither generation; the others are young afterwards."""
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+        wanted = keys.difference(self)
+        known = {key for key in wanted if key in self.old}
+        self.update(zip(known, map(self.old.__getitem__, known), strict=True))
+        return wanted - known
+
+
 class WordEncoder:
     """Ids of texts under a tokenizer that drops case and never merges across white space.
 
-    Words repeat, so each distinct one is encoded once. A worker process keeps its
-    encoder for all its tasks; a full cache starts anew. Words are put together from
-    pieces, which are dear to encode and kept longer.
+    Texts are put together from pieces, which repeat, so each distinct one is encoded once.
+    A worker process keeps its encoder for all its tasks, with a cache of two generations.
     """
 
     def __init__(self, path: str) -> None:
@@ -54,8 +86,7 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = Generations(MAX_CACHED_PIECES)
 
     @classmethod
     def of(cls, path: str) -> WordEncoder:
@@ -65,32 +96,38 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.words) > MAX_CACHED_WORDS:
-            self.words = {}
-        if len(self.pieces) > MAX_CACHED_PIECES:
-            self.pieces = {}
-        split = [text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for text in texts]
-        self.learn(set(chain.from_iterable(split)).difference(self.words))
-        ids = self.words.__getitem__
-        return [b"".join(map(ids, words)) for words in split]
+        split = [self.pieces_of(text) for text in texts]
+        self.learn(self.pieces.absent(set(chain.from_iterable(split))))
+        ids = self.pieces.__getitem__
+        return [b"".join(map(ids, pieces)) for pieces in split]
 
     def learn(self, new: set[str]) -> None:
-        parts = {word: self.parts(word) for word in new}
-        needed = sorted(set(chain.from_iterable(parts.values())).difference(self.pieces))
+        needed = sorted(new)
         letters = [piece for piece in needed if piece.isalpha()]
         rest = [piece for piece in needed if not piece.isalpha()]
         self.pieces.update(zip(letters, self.runs(letters), strict=True))
         self.pieces.update(zip(rest, self.singly(rest), strict=True))
-        for word, own in parts.items():
-            self.words[word] = b"".join([self.pieces[piece] for piece in own])
+
+    @classmethod
+    def pieces_of(cls, text: str) -> list[str]:
+        """The pieces of a text in order: of the whole text where it is plain, else word by word."""
+        if cls.plain(text):
+            lowered = text.lower()
+            return (LATIN_PIECE if is_latin(lowered) else PIECE).findall(lowered)
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return list(chain.from_iterable(map(cls.parts, words)))
 
     @staticmethod
-    def parts(word: str) -> list[str]:
+    def plain(text: str) -> bool:
+        """Whether the tokenizer encodes letters, digits and other signs of a text apart from each other."""
+        if "'" in text or "<|" in text or "\u03a3" in text or "\u0130" in text:
+            return False
+        return text.isascii() or (is_normalized("NFC", text) and is_normalized("NFC", text.lower()))
+
+    @classmethod
+    def parts(cls, word: str) -> list[str]:
         """What the tokenizer encodes apart from each other; the word itself where that is not plain."""
-        plain = word.isascii() or (is_normalized("NFC", word) and is_normalized("NFC", word.lower()))
-        if not plain or "'" in word or "<|" in word or "\u03a3" in word or "\u0130" in word:
-            return [word]
-        return PIECE.findall(word.lower())
+        return PIECE.findall(word.lower()) if cls.plain(word) else [word]
 
     def singly(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)

@@ -55,7 +55,6 @@ def test_pieces_join_to_the_ids_of_the_tokenizer(spark):
 
 
 def test_encoder_starts_anew_when_full(monkeypatch):
-    monkeypatch.setattr(packing, "MAX_CACHED_WORDS", 3)
     monkeypatch.setattr(packing, "MAX_CACHED_PIECES", 2)
     encoder, tokenizer = packing.WordEncoder(PATH), Tokenizer.from_file(PATH)
     for text in ("one two three four", "five, six. SEVEN", "one two"):
