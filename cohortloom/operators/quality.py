@@ -52,6 +52,12 @@ def quality_summary(df: DataFrame, schema: CohortSchema) -> DataFrame:
     digests, which combines on the map side at both of its steps: a signature
     that fills a third of the table reaches its reducer as one row per task.
     """
+    groups = summarize_digests(digests(df, schema))
+    return summary_of(schema, counters(df, schema), _distinct_ids(df, schema), groups)
+
+
+def counters(df: DataFrame, schema: CohortSchema) -> DataFrame:
+    """One row of sums over rows and cells; rows of several tables may be added up."""
     checked, broken = rule_violations(df, schema)
     cells = [broken[name] for name in schema.ordinals]
     measured = checked.select(
@@ -62,7 +68,7 @@ def quality_summary(df: DataFrame, schema: CohortSchema) -> DataFrame:
         _count_true([missing(df, name) for name in schema.checked]).alias("blank_cells"),
     )
     clean = F.col("bad_number") + F.col("bad_category") + F.col("bad_label") + F.col("bad_cells") == 0
-    rows = measured.agg(
+    return measured.agg(
         F.count(F.lit(1)).alias("row_count_raw"),
         F.count_if(clean).alias("row_count_valid"),
         F.coalesce(F.sum("bad_number"), F.lit(0)).alias(f"invalid_{schema.number}"),
@@ -71,8 +77,11 @@ def quality_summary(df: DataFrame, schema: CohortSchema) -> DataFrame:
         F.coalesce(F.sum("bad_label"), F.lit(0)).alias(f"invalid_{schema.label}"),
         F.coalesce(F.sum("blank_cells"), F.lit(0)).alias("missing_cells"),
     )
-    signed = F.col("signature").isNotNull()
-    groups = (
+
+
+def digests(df: DataFrame, schema: CohortSchema) -> DataFrame:
+    """(signature, stated, row_key, n): distinct rows as digests and how often each stands."""
+    return (
         with_signature(df, schema.features)
         .select(
             F.unhex("feature_signature").alias("signature"),
@@ -81,7 +90,14 @@ def quality_summary(df: DataFrame, schema: CohortSchema) -> DataFrame:
         )
         .groupBy("signature", "stated", "row_key")
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("signature")
+    )
+
+
+def summarize_digests(rows: DataFrame) -> DataFrame:
+    """One row: signatures, distinct rows, conflicts, rows without a signature."""
+    signed = F.col("signature").isNotNull()
+    return (
+        rows.groupBy("signature")
         .agg(
             F.sum("n").alias("n"),
             F.count(F.lit(1)).alias("n_distinct"),
@@ -94,9 +110,13 @@ def quality_summary(df: DataFrame, schema: CohortSchema) -> DataFrame:
             F.coalesce(F.sum(F.when(~signed, F.col("n"))), F.lit(0)).alias("rows_without_signature"),
         )
     )
+
+
+def summary_of(schema: CohortSchema, rows: DataFrame, ids: DataFrame, groups: DataFrame) -> DataFrame:
+    """The audit from its three one-row parts."""
     total = F.col("row_count_raw")
     width = len(schema.checked)
-    return _single_row([rows, _distinct_ids(df, schema), groups]).select(
+    return _single_row([rows, ids, groups]).select(
         "row_count_raw",
         "row_count_valid",
         (total - F.col("row_count_valid")).alias("row_count_invalid"),

@@ -622,4 +622,5 @@ ORACLES["score_batch"] = _with(
 ORACLES["model_card"] = f"""SELECT 'logistic-1' AS model_run_id, 'LogisticRegressionModel' AS algorithm,
     '{",".join(COHORT.features)}' AS features, '{{"0":"High","1":"Low","2":"Medium"}}' AS index_to_label,
     'accuracy,f1,macro_f1,weighted_precision,weighted_recall' AS metric_names, '{VERSION}' AS dataset_version, {NOW_SQL} AS trained_at"""
+ORACLES["audit_in_batches"] = ORACLES["quality_summary"]
 ORACLES["metrics_roundtrip"] = ORACLES["eval_metrics"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortloom import functions as X
-from cohortloom.operators import cleaning, distribution, model, quality, risk, search, split
+from cohortloom.operators import audit, cleaning, distribution, model, quality, risk, search, split
 from cohortloom.plans import bindings as B
 from cohortloom.plans.bindings import COHORT, RAW
 from cohortloom.sources import files, keyed, store
@@ -556,6 +556,17 @@ def quality_summary(spark, sf_dir):
     return quality.quality_summary(B.raw(spark, sf_dir), RAW)
 
 
+@query
+def audit_in_batches(spark, sf_dir):
+    """The audit of all rows from the states of three batches, one of them loaded twice."""
+    rows = B.raw(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64(RAW.id), F.lit(3)))
+    kept = audit.AuditStore(files.scratch_dir(spark), RAW)
+    for part in (0, 1, 2, 1):
+        limits = {name: None for name in ("invalid_age", "invalid_gender", "invalid_level", "invalid_risk_scale")}
+        kept.add(str(part), rows.where(F.col("part") == part).drop("part"), limits=limits)
+    return kept.summary(spark)
+
+
 @query
 def quality_report(spark, sf_dir):
     return _report(spark, sf_dir).select("check_name", "value")
