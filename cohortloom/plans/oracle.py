@@ -316,6 +316,17 @@ ORACLES: dict[str, str] = {
         count(*) FILTER (t.created_at IS NOT NULL AND (t.amount, t.note, t.updated_at) IS DISTINCT FROM (f.amount, f.note, f.updated_at)) AS modified
         FROM fresh f LEFT JOIN target t ON t.id IS NOT DISTINCT FROM f.id""",
     ),
+    "ingest_chain": _with(
+        {**SIGNED_CTE, "loaded": "SELECT *, CAST(split_part(subject_id, '-', 2) AS INTEGER) AS line FROM signed"},
+        f"""SELECT subject_id, {', '.join(f'CAST(trunc({n}) AS INTEGER) AS {n}' for n in RAW.features)}, level,
+        {_closed('trunc(age)')} AS age_group,
+        CAST(CASE level WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 WHEN 'High' THEN 2 ELSE -1 END AS INTEGER) AS level_encoded,
+        feature_signature, CASE WHEN line >= 3 THEN '{VERSION}' ELSE 'v20240115' END AS dataset_version,
+        CASE WHEN line >= 3 THEN {NOW_SQL} ELSE TIMESTAMP '2024-01-15 12:00:00' END AS updated_at,
+        CASE WHEN line > 4 THEN {NOW_SQL} ELSE TIMESTAMP '2024-01-15 12:00:00' END AS created_at FROM loaded
+        QUALIFY row_number() OVER (PARTITION BY subject_id ORDER BY {', '.join(f'trunc({n}) DESC NULLS LAST' for n in RAW.features)},
+        level DESC NULLS LAST, age_group DESC NULLS LAST, level_encoded DESC, feature_signature DESC NULLS LAST) = 1""",
+    ),
     "distribution_snapshot": _with(COHORT_KEYS_CTE, SNAPSHOT),
     "result_document": _with(
         COHORT_RISK,

@@ -12,7 +12,7 @@ from cohortloom import functions as X
 from cohortloom.operators import audit, cleaning, distribution, model, quality, risk, search, split
 from cohortloom.plans import bindings as B
 from cohortloom.plans.bindings import COHORT, RAW
-from cohortloom.sources import files, keyed, store
+from cohortloom.sources import files, ingest, keyed, store
 
 NOW = datetime(2024, 2, 1, 12, 0, 0)
 EARLIER = datetime(2024, 1, 15, 12, 0, 0)
@@ -131,6 +131,20 @@ def upsert_counts(spark, sf_dir):
     return store.merge_counts(target, batch, "id", order="updated_at")
 
 
+@query
+def ingest_chain(spark, sf_dir):
+    """The stored table after two overlapping sheets."""
+    rows = B.raw(spark, sf_dir)
+    line = F.element_at(F.split(F.trim(RAW.id), "-"), 2).cast("int")
+    place = files.scratch_dir(spark)
+    rows.where(line <= 4).write.option("header", True).csv(f"{place}/first")
+    rows.where(line >= 3).write.option("header", True).csv(f"{place}/second")
+    kept = ingest.CohortStore(f"{place}/store", RAW, buckets=8)
+    kept.ingest(spark, f"{place}/first", "v20240115", EARLIER)
+    kept.ingest(spark, f"{place}/second", VERSION, NOW)
+    return kept.read(spark)
+
+
 @query
 def distribution_snapshot(spark, sf_dir):
     path = f"{files.scratch_dir(spark)}/snapshots"
