@@ -59,13 +59,15 @@ FROM (SELECT c.*, age + 3 * ((7 * ind_part + 5 * ind_supp + 3 * ind_line + ind_t
 
 # Every column as text, with deterministic damage.
 RAW_SQL = """
-SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)
-         || CASE WHEN l_partkey % 5 = 0 THEN '  ' ELSE '' END AS subject_id,
-       CASE WHEN l_partkey % 97 = 0 THEN 'abc' WHEN l_partkey % 89 = 0 THEN ''
+SELECT CASE WHEN l_orderkey % 91 <> 0 THEN CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING)
+         || CASE WHEN l_partkey % 5 = 0 THEN '  ' ELSE '' END END AS subject_id,
+       CASE WHEN l_partkey % 97 = 0 THEN 'abc' WHEN l_partkey % 71 = 0 THEN 'NaN' WHEN l_partkey % 67 = 0 THEN '7d'
+            WHEN l_partkey % 101 = 0 THEN '0x1p3' WHEN l_partkey % 103 = 0 THEN '-Infinity' WHEN l_partkey % 107 = 0 THEN '1_0'
+            WHEN l_partkey % 109 = 0 THEN chr(9) || CAST(CAST(l_quantity AS INT) AS STRING) || chr(9) WHEN l_partkey % 89 = 0 THEN ''
             WHEN l_partkey % 83 = 0 THEN '130' WHEN l_partkey % 73 = 0 THEN NULL
             WHEN l_partkey % 79 = 0 THEN CAST(CAST(l_quantity AS INT) AS STRING) || '.5'
             ELSE CAST(CAST(l_quantity AS INT) AS STRING) END AS age,
-       CASE WHEN l_suppkey % 41 = 0 THEN '3' WHEN l_suppkey % 37 = 0 THEN ''
+       CASE WHEN l_suppkey % 41 = 0 THEN '3' WHEN l_suppkey % 31 = 0 THEN NULL WHEN l_suppkey % 37 = 0 THEN ''
             WHEN l_linestatus = 'F' THEN '1' ELSE '2' END AS gender,
        CASE WHEN l_partkey % 61 = 0 THEN '12' WHEN l_partkey % 59 = 0 THEN ' '
             WHEN l_partkey % 53 = 0 THEN '6.7' ELSE CAST(1 + l_partkey % 9 AS STRING) END AS ind_part,

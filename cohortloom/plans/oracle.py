@@ -27,7 +27,9 @@ def _with(ctes: dict[str, str], body: str) -> str:
 
 
 def _num(name: str) -> str:
-    return f"TRY_CAST(trim({name}) AS DOUBLE)"
+    """A cell as a finite number; 1_0 and the like are none here."""
+    cell = f"TRY_CAST(trim({name}, ' ' || chr(9)) AS DOUBLE)"
+    return f"CASE WHEN isfinite({cell}) AND NOT regexp_matches({name}, '[_xXdDfF]') THEN {cell} END"
 
 
 def _label(name: str) -> str:
@@ -211,8 +213,8 @@ REPORT_CTE = {
         UNION ALL SELECT 'invalid_level', CAST(sum(bad_level) AS BIGINT) FROM cells
         UNION ALL SELECT 'row_count', count(*) FROM cells
         UNION ALL SELECT 'column_count_clean', {len(RAW.checked) + 1}
-        UNION ALL SELECT 'missing_total', CAST(sum(empty_cells) AS BIGINT) FROM cells
-        UNION ALL SELECT 'duplicated_subject_id', count(*) - count(DISTINCT subject_id) FROM cells""",
+        UNION ALL SELECT 'missing_total', CAST(sum(empty_cells) AS BIGINT) + count(*) FILTER (subject_id IS NULL) FROM cells
+        UNION ALL SELECT 'duplicated_subject_id', (SELECT CAST(sum(n - 1) AS BIGINT) FROM ids)""",
 }
 
 
@@ -323,7 +325,7 @@ ORACLES: dict[str, str] = {
         CAST(CASE level WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 WHEN 'High' THEN 2 ELSE -1 END AS INTEGER) AS level_encoded,
         feature_signature, CASE WHEN line >= 3 THEN '{VERSION}' ELSE 'v20240115' END AS dataset_version,
         CASE WHEN line >= 3 THEN {NOW_SQL} ELSE TIMESTAMP '2024-01-15 12:00:00' END AS updated_at,
-        CASE WHEN line > 4 THEN {NOW_SQL} ELSE TIMESTAMP '2024-01-15 12:00:00' END AS created_at FROM loaded
+        CASE WHEN line > 4 THEN {NOW_SQL} ELSE TIMESTAMP '2024-01-15 12:00:00' END AS created_at FROM loaded WHERE line IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY subject_id ORDER BY {', '.join(f'trunc({n}) DESC NULLS LAST' for n in RAW.features)},
         level DESC NULLS LAST, age_group DESC NULLS LAST, level_encoded DESC, feature_signature DESC NULLS LAST) = 1""",
     ),
