@@ -214,7 +214,7 @@ REPORT_CTE = {
         UNION ALL SELECT 'row_count', count(*) FROM cells
         UNION ALL SELECT 'column_count_clean', {len(RAW.checked) + 1}
         UNION ALL SELECT 'missing_total', CAST(sum(empty_cells) AS BIGINT) + count(*) FILTER (subject_id IS NULL) FROM cells
-        UNION ALL SELECT 'duplicated_subject_id', (SELECT CAST(sum(n - 1) AS BIGINT) FROM ids)""",
+        UNION ALL SELECT 'duplicated_subject_id', count(*) - count(DISTINCT subject_id) - CAST(bool_or(subject_id IS NULL) AS BIGINT) FROM cells""",
 }
 
 
