@@ -34,6 +34,7 @@ from cohortloom.llm.common import chunks, text_of
 WORD = re.compile(r"[^\W_]+")
 BLOCK_CHARS = 16_000_000  # of items in one block
 MATCH, MISMATCH, GAP = 1.0, -0.5, -0.5
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Items:
@@ -54,22 +55,23 @@ class Items:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.flat = np.concatenate([np.empty(0, dtype=np.int64), *self.words])
         own = [np.unique(self.grams(w)) for w in self.words]
-        self.codes = np.unique(np.concatenate([np.empty(0, dtype=np.int64), *own]))
+        self.codes = np.unique(np.concatenate([np.empty(0, dtype=np.uint64), *own]))
         self.own = [np.searchsorted(self.codes, grams) for grams in own]
         held = np.concatenate([np.empty(0, dtype=np.int64), *self.own])
         by = np.repeat(np.arange(len(own)), [len(g) for g in own])[np.argsort(held, kind="stable")]
         self.holders = np.split(by, np.cumsum(np.bincount(held, minlength=len(self.codes)))[:-1])
 
     def grams(self, words: np.ndarray) -> np.ndarray:
-        """One number a gram; -1 where it has a word that no item has."""
-        base, size = len(self.vocabulary) + 1, len(words) - self.n + 1
+        """One odd 64-bit number a gram, whatever its length; 0 where it has a word that no item has."""
+        size = len(words) - self.n + 1
         if size <= 0:
-            return np.empty(0, dtype=np.int64)
+            return np.empty(0, dtype=np.uint64)
         parts = [words[i : i + size] for i in range(self.n)]
-        out = np.zeros(size, dtype=np.int64)
+        out = np.zeros(size, dtype=np.uint64)
         for part in parts:
-            out = out * base + part
-        out[np.minimum.reduce(parts) < 0] = -1
+            out = (out ^ (out >> np.uint64(29)) ^ part.astype(np.uint64)) * MULTIPLIER
+        out |= np.uint64(1)
+        out[np.minimum.reduce(parts) < 0] = 0
         return out
 
     def numbers(self, text: str) -> np.ndarray:
@@ -79,7 +81,7 @@ class Items:
     def hits(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places in the text, gram indices) of the items' grams."""
         grams = self.grams(words)
-        at = np.flatnonzero(grams >= 0)
+        at = np.flatnonzero(grams)
         if not len(at) or not len(self.codes):
             return at[:0], at[:0]
         index = np.minimum(np.searchsorted(self.codes, grams[at]), len(self.codes) - 1)
