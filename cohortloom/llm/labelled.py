@@ -18,12 +18,15 @@ def training_rows(
     docs: DataFrame, labels: DataFrame, label_col: str, modulus: int, fold: int, sample: int,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """(id, text, label) of at most `sample` labelled ids outside the fold, in the order of a hash of the id.
+    """(id, text, label) of at most `sample` labelled documents outside the fold, in the order of a hash of the id.
 
-    An id labelled more than once counts as its highest label.
+    An id labelled more than once counts as its highest label; of documents that share an
+    id one is taken, by a hash of its text, so `sample` bounds the rows too.
     """
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col, modulus, fold))
     one = known.groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
     chosen = one.orderBy(F.xxhash64("id"), "id").limit(sample)
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    return rows.join(F.broadcast(chosen), "id")  # `sample` rows at most
+    found = rows.join(F.broadcast(chosen), "id")  # `sample` rows at most
+    first = F.min_by(F.struct("text", "label"), F.struct(F.xxhash64("text"), "text")).alias("one")
+    return found.groupBy("id").agg(first).select("id", "one.text", "one.label")
