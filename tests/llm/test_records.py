@@ -7,6 +7,7 @@ import hashlib
 import struct
 import zlib
 from collections import Counter, defaultdict
+from datetime import datetime
 
 import public_tokenizers
 import pytest
@@ -91,6 +92,32 @@ def test_revisits_after_a_round_trip(spark, least):
     assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in rows) == expected
 
 
+def test_every_reference_leads_to_a_record(spark):
+    same, other = "<p>the same page again and again</p>", "<p>nobody knows this one</p>"
+    rows = [(i, f"http://h.example/{i}", same) for i in range(7, 0, -1)]
+    rows += [(None, f"http://n.example/{i}", other) for i in range(3)] + [(50, "http://h.example/50", "alone"), (51, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = warc.deduplicate(pages.repartition(3), now=datetime(2024, 2, 1, 12, 30)).collect()
+    by_id = {r.record_id: r for r in found}
+    assert len(by_id) == len(rows) and {r.date for r in found} == {"2024-02-01T12:30:00Z"}
+    revisits = [r for r in found if r.record_type == "revisit"]
+    assert sorted(Counter(r.refers_to for r in revisits).items(), key=str) == [(1, 6), (None, 2)]
+    for r in revisits:
+        original = by_id[r.refers_to_record]
+        assert original.record_type == "response" and original.payload_digest == r.payload_digest
+        assert original.page_id == r.refers_to
+    assert all(r.refers_to_record is None for r in found if r.record_type == "response")
+
+
+def test_revisit_records_say_what_they_repeat():
+    first = warc.Original("<urn:uuid:1>", None, "http://h.example/", "2024-01-01T00:00:00Z")
+    text = warc.record("9", "http://h.example/9", "body", "D", 4, "2024-02-01T00:00:00Z", "<urn:uuid:2>", first)
+    ((_, fields, payload),) = warc.parse((text + warc.END).encode())
+    assert payload == b"" and fields["Content-Length"] == "0" and fields["X-Payload-Length"] == "4"
+    assert (fields["WARC-Refers-To"], fields["WARC-Refers-To-Target-URI"]) == ("<urn:uuid:1>", "http://h.example/")
+    assert fields["WARC-Refers-To-Date"] == "2024-01-01T00:00:00Z" and fields["WARC-Record-ID"] == "<urn:uuid:2>"
+
+
 def test_archives_of_nothing(spark):
     assert warc.deduplicate(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
