@@ -1,4 +1,13 @@
-"""The training-data pipeline over `documents`: each stage is written as Parquet and reread by the next."""
+"""The training-data pipeline over `documents`: each stage is written as Parquet and reread by the next.
+
+Defined cases: null and blank texts are documents like others. The classifier scores them
+as it scores any; they link with nothing, hold no item and no personal data, and pack as
+their end mark alone. Rows with a null id are never taken for copies of others and stay;
+rows that share an id stay or go together. Of equal documents the one with the smallest
+id stays. Other columns pass through to the last stage, which returns pieces. An empty
+table gives empty stages; without labelled documents every score is that of an unfitted
+field.
+"""
 
 from __future__ import annotations
 
