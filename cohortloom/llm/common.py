@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.sources.files import scratch_dir
+from cohortloom.sources.files import remove, scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +24,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.stored_path = path
+    return back
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete stored frames whose successors are stored: nothing is computed from them any more."""
+    for frame in frames:
+        remove(frame.sparkSession, frame.stored_path)
 
 
 def text_of(column: str) -> Column:

@@ -12,7 +12,8 @@ least r + 1 classes of a linked pair are equal. A document enters one cell for e
 class it has shingles in, and for its empty ones when these are more than r, so every
 linked pair shares a cell, whatever it holds. Shingles that very many documents share
 are left out of the classes first, which only lowers the difference. Cells that share
-documents form a region.
+documents form a region. Most cells have one member, so tasks pack their cells by bucket
+before the shuffle.
 
 Pivots. Within a region documents are compared with pivots. Documents linked to a
 pivot need no comparison with each other. The next pivots are documents outside the
@@ -45,17 +46,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.common import chunks, salted_left_join, stored, text_of
+from cohortloom.llm.common import chunks, discard, salted_left_join, stored, text_of
 from cohortloom.llm.graph import components
 
-BLOCK = 4000  # documents in which a shingle's frequency is looked at together
+BLOCK = 4000  # documents in which a shingle's frequency is looked at together,
+BLOCK_SHINGLES = 2_000_000  # or fewer, as long as their sets have so many shingles
+BLOCK_CELLS = 500_000  # entries that are packed together
+BUCKET_CELLS = 1_000_000  # entries that are met in one group
 HOT_SHARE = 0.01
 TABLE_SHARE = 0.002
 TASK_SHINGLES = 3_000_000  # of a region joined within one task
+MEASURED = 8  # pivots within a task whose distances to all members are kept
 PIVOTS = 64  # first pivots of a larger region
 MORE_PIVOTS = 512  # pivots of a larger region in each later round
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-CACHED_WORDS = 250_000
+SEEN = 250_000  # sets that a task remembers having entered
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -66,30 +71,47 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Shingler:
-    """Sets of shingle hashes. Words are parted by ASCII white space; only A-Z change case."""
+    """Sets of shingle hashes. Words are parted by ASCII white space; only A-Z change case.
 
-    def __init__(self, k: int) -> None:
-        self.k, self.known = k, {}
+    A word's hash is the sum over its bytes of a random number for the byte times one for
+    its place in the word, taken for all words of a text at once.
+    """
 
-    def number(self, word: bytes) -> int:
-        found = self.known.get(word)
-        if found is None:
-            if len(self.known) > CACHED_WORDS:
-                self.known = {}
-            found = self.known[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return found
+    SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+    BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * MULTIPLIER)
+
+    def __init__(self, k: int) -> None:
+        self.k, self.places = k, np.empty(0, dtype=np.uint64)
+
+    def numbers(self, text: str) -> np.ndarray:
+        """The hashes of the words in order."""
+        raw = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), dtype=np.uint8)
+        inside = np.zeros(len(raw) + 2, dtype=np.int8)
+        np.logical_not(self.SPACE[raw], out=inside[1:-1], casting="unsafe")
+        edges = np.flatnonzero(np.diff(inside))
+        starts, lengths = edges[::2], edges[1::2] - edges[::2]
+        if not len(starts):
+            return np.empty(0, dtype=np.uint64)
+        if lengths.max() > len(self.places):
+            self.places = mixed((np.arange(2 * int(lengths.max()), dtype=np.uint64) + np.uint64(1 << 32)) * MULTIPLIER) | np.uint64(1)
+        firsts = np.cumsum(lengths) - lengths
+        within = np.arange(lengths.sum()) - np.repeat(firsts, lengths)
+        weighed = self.BYTES[raw[inside[1:-1].view(bool)]] * self.places[within]
+        return mixed(np.add.reduceat(weighed, firsts) + lengths.astype(np.uint64))
 
     def shingles(self, text: str) -> np.ndarray:
         """The sorted distinct shingles."""
-        words = text.encode("utf-8", "surrogatepass").lower().split()
-        if not words:
-            return np.empty(0, dtype=np.uint64)
-        numbers = np.array(list(map(self.number, words)), dtype=np.uint64)
-        k = min(self.k, len(words))
-        out = np.full(len(words) - k + 1, k, dtype=np.uint64)
+        numbers = self.numbers(text)
+        if not len(numbers):
+            return numbers
+        k = min(self.k, len(numbers))
+        out = np.full(len(numbers) - k + 1, k, dtype=np.uint64)
         for i in range(k):
             out = out * MULTIPLIER + numbers[i : i + len(out)]
-        return np.unique(mixed(out))
+        out = np.sort(mixed(out))
+        new = np.ones(len(out), dtype=bool)
+        np.not_equal(out[1:], out[:-1], out=new[1:])
+        return out[new]
 
 
 class Cells:
@@ -120,71 +142,156 @@ class Cells:
             if not classes:
                 continue
             place = ((rest >> np.uint64(17)) % np.uint64(classes)).astype(np.int64)
-            order = np.argsort(place, kind="stable")
-            filled, starts, counts = np.unique(place[order], return_index=True, return_counts=True)
+            counts, sums = np.bincount(place, minlength=classes), np.zeros(classes, dtype=np.uint64)
+            np.add.at(sums, place, rest)
+            filled = np.flatnonzero(counts)
             key = np.uint64(number << 40) + filled.astype(np.uint64)
-            if len(filled):
-                sums = np.add.reduceat(rest[order], starts)
-                out.append(mixed(sums + mixed(key + (counts.astype(np.uint64) << np.uint64(52)))))
+            out.append(mixed(sums[filled] + mixed(key + (counts[filled].astype(np.uint64) << np.uint64(52)))))
             if classes - len(filled) > spare:
-                empty = np.setdiff1d(np.arange(classes), filled, assume_unique=True).astype(np.uint64)
+                empty = np.flatnonzero(counts == 0).astype(np.uint64)
                 out.append(mixed(mixed(np.uint64(number << 40) + empty)))
         return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
 
 
-def frequent_shingles(rows: DataFrame, k: int) -> DataFrame:
-    """(shingle): shingles that stand out in blocks of documents and are frequent in the whole table.
+def survey(rows: DataFrame, k: int) -> DataFrame:
+    """(id, key, size, node) of every document, and (shingle, n) of shingles that stand out in a block.
 
-    Within a block, each different set counts once; a shingle stands out from HOT_SHARE
-    of the block on. Of these, the ones stay whose counts add up to TABLE_SHARE of all
-    documents, which can be at most (mean set size) / TABLE_SHARE, whatever the table's size.
+    Within a block of documents, each different set counts once; a shingle stands out from
+    HOT_SHARE of the block on. One pass over the texts serves both.
     """
+    # Ids pass as text: a column of whole numbers with nulls would become floating in pandas.
+    schema = T.StructType().add("id", T.StringType()).add("key", T.LongType())
+    schema = schema.add("size", T.LongType()).add("node", T.LongType()).add("shingle", T.LongType()).add("n", T.LongType())
+    nothing = {"id": None, "key": None, "size": None, "node": None}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler = Shingler(k)
-        for frame in frames:
-            for part in chunks([frame], BLOCK):
-                sets = {s.tobytes() for s in map(shingler.shingles, part["text"])}
-                values, counts = np.unique(np.frombuffer(b"".join(sets), np.uint64), return_counts=True)
-                hot = counts >= max(20, HOT_SHARE * len(part))
-                if hot.any():
-                    yield pd.DataFrame({"shingle": values[hot].astype(np.int64), "n": counts[hot].astype(np.int64)})
+        shingler, block, documents, held = Shingler(k), {}, 0, 0
+        for frame in chunks(frames, 1000):
+            sets = [shingler.shingles(text) for text in frame["text"]]
+            nodes = [set_number(own) for own in sets]
+            described = {"id": frame["id"].to_numpy(), "key": frame["key"].to_numpy(), "size": list(map(len, sets)), "node": nodes}
+            yield pd.DataFrame({**described, "shingle": None, "n": None}, columns=schema.names)
+            for node, own in zip(nodes, sets, strict=True):
+                if node not in block:
+                    block[node] = own
+                    held += len(own)
+            documents += len(frame)
+            if documents >= BLOCK or held >= BLOCK_SHINGLES:
+                yield from standing_out(block, documents)
+                block, documents, held = {}, 0, 0
+        yield from standing_out(block, documents)
+
+    def standing_out(block: dict[int, np.ndarray], documents: int) -> Iterator[pd.DataFrame]:
+        if block:
+            values, counts = np.unique(np.concatenate(list(block.values())), return_counts=True)
+            hot = counts >= max(20, HOT_SHARE * documents)
+            if hot.any():
+                found = {"shingle": values[hot].astype(np.int64), "n": counts[hot].astype(np.int64)}
+                yield pd.DataFrame({**nothing, **found}, columns=schema.names)
+
+    return rows.withColumn("id", F.col("id").cast("string")).mapInPandas(run, schema).withColumn("id", F.col("id").cast(rows.schema["id"].dataType))
+
+
+def frequent_shingles(surveyed: DataFrame, documents: int) -> np.ndarray:
+    """Sorted shingles that stand out in blocks and are frequent in the whole table.
+
+    Those whose counts add up to TABLE_SHARE of all documents, which can be at most
+    (mean set size) / TABLE_SHARE, whatever the table's size.
+    """
+    found = surveyed.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("n").alias("n"))
+    hot = [row.shingle for row in found.where(F.col("n") >= TABLE_SHARE * documents).collect()]
+    return np.sort(np.array(hot, dtype=np.int64).astype(np.uint64))
+
 
-    least = TABLE_SHARE * rows.count()
-    found = rows.select("text").mapInPandas(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    return found.filter(F.col("n") >= least).select("shingle")
+ENTRY = 6  # bytes of a cell in a packed block, besides those that its bucket says
 
 
-def described(rows: DataFrame, hot: np.ndarray, k: int, percent: int) -> DataFrame:
-    """(id, size, node, cells); the first document of a task with some set alone lists that set's cells."""
+def cell_edges(rows: DataFrame, hot: np.ndarray, k: int, percent: int, shingles: int) -> DataFrame:
+    """(a, b): every set that shares a cell is connected with the smallest of the cell.
+
+    Most cells have one member, so what is shuffled is kept small: a task links the members
+    that it holds itself, and sends one of each cell, packed by bucket, as six bytes and a
+    number into the block's list of nodes. A cell that very many sets enter thus sends one
+    entry a block, however many there are. A chance meeting of two cells only puts
+    documents into one region; whether they link is decided there.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(hot)
-    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType)])
-    schema = schema.add("size", T.LongType()).add("node", T.LongType()).add("cells", T.ArrayType(T.LongType()))
+    bits = max(5, math.ceil(math.log2(max(1, shingles) / BUCKET_CELLS)))
+    packed = "bucket long, cells binary, owners binary, nodes binary, a binary, b binary"
+
+    def pack(cells: list[np.ndarray], nodes: list[int]) -> pd.DataFrame:
+        number = np.argsort(np.argsort(np.array(nodes)))  # by size, so the smallest owner is the smallest node
+        ordered = np.sort(np.array(nodes, dtype=np.int64))
+        flat = np.concatenate(cells)
+        owners = np.repeat(number, list(map(len, cells))).astype(np.uint32)
+        at = np.lexsort((owners, flat))
+        flat, owners = flat[at], owners[at]
+        first = np.ones(len(flat), dtype=bool)
+        np.not_equal(flat[1:], flat[:-1], out=first[1:])
+        low = owners[np.flatnonzero(first)[np.cumsum(first) - 1]]
+        own = np.unique(np.stack([owners[~first], low[~first]]), axis=1) if not first.all() else np.empty((2, 0), dtype=np.uint32)
+        own = own[:, own[0] != own[1]]
+        flat, owners = flat[first], owners[first]
+        bucket = (flat >> np.uint64(64 - bits)).astype(np.int64)
+        entries = np.ascontiguousarray(flat >> np.uint64(16 - bits) if bits < 16 else flat).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ENTRY]
+        numbers, starts = np.unique(bucket, return_index=True)
+        ends, out = [*starts[1:], len(flat)], []
+        for b, s, e in zip(numbers, starts, ends, strict=True):
+            used, short = np.unique(owners[s:e], return_inverse=True)
+            out.append((b, entries[s:e].tobytes(), short.astype("<u4").tobytes() if len(used) > 65535 else short.astype("<u2").tobytes(), ordered[used].tobytes(), b"", b""))
+        out[0] = (*out[0][:4], ordered[own[0]].tobytes(), ordered[own[1]].tobytes())
+        return pd.DataFrame(out, columns=["bucket", "cells", "owners", "nodes", "a", "b"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler, cells, seen, left_out = Shingler(k), Cells(percent), set(), shared.value
-        for frame in chunks(frames, 1000):
-            sizes, nodes, lists = [], [], []
+        shingler, entered, seen, left_out = Shingler(k), Cells(percent), set(), shared.value
+        cells, nodes, held = [], [], 0
+        for frame in frames:
             for text in frame["text"]:
                 own = shingler.shingles(text)
-                sizes.append(len(own))
                 node = set_number(own)
-                nodes.append(node)
                 if not len(own) or node in seen:
-                    lists.append(None)
                     continue
-                if len(seen) > CACHED_WORDS:
+                if len(seen) > SEEN:
                     seen = set()
                 seen.add(node)
+                rest = own
                 if len(left_out):
                     at = np.minimum(np.searchsorted(left_out, own), len(left_out) - 1)
                     rest = own[left_out[at] != own]
-                else:
-                    rest = own
-                lists.append(cells.of(len(own), rest).astype(np.int64))
-            yield pd.DataFrame({"id": frame["id"].to_numpy(), "size": sizes, "node": nodes, "cells": lists})
-
-    return rows.select("id", "text").mapInPandas(run, schema)
+                found = entered.of(len(own), rest)
+                if len(found):
+                    cells.append(found)
+                    nodes.append(node)
+                    held += len(found)
+                if held >= BLOCK_CELLS:
+                    yield pack(cells, nodes)
+                    cells, nodes, held = [], [], 0
+        if held:
+            yield pack(cells, nodes)
+
+    def meet(part: pd.DataFrame) -> pd.DataFrame:
+        """Connect the members of cells that came from several blocks."""
+        cells, nodes = [], []
+        for entries, owners, listed in zip(part["cells"], part["owners"], part["nodes"], strict=True):
+            wide = np.zeros((len(entries) // ENTRY, 8), dtype=np.uint8)
+            wide[:, :ENTRY] = np.frombuffer(entries, dtype=np.uint8).reshape(-1, ENTRY)
+            cells.append(wide.view("<u8").ravel())
+            known = np.frombuffer(listed, dtype=np.int64)
+            nodes.append(known[np.frombuffer(owners, dtype="<u2" if len(owners) == 2 * len(wide) else "<u4")])
+        cells, nodes = np.concatenate(cells), np.concatenate(nodes)
+        at = np.argsort(cells, kind="stable")
+        cells, nodes = cells[at], nodes[at]
+        starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+        low = np.repeat(np.minimum.reduceat(nodes, starts), np.diff([*starts, len(cells)]))
+        far = nodes != low
+        a = np.concatenate([nodes[far], *[np.frombuffer(x, np.int64) for x in part["a"]]])
+        b = np.concatenate([low[far], *[np.frombuffer(x, np.int64) for x in part["b"]]])
+        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+
+    # As many partitions as buckets, so that a task's share does not grow with the table.
+    parts = max(1 << bits, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.select("text").mapInPandas(run, packed).repartition(parts, "bucket")
+    return dealt.groupBy("bucket").applyInPandas(meet, "a long, b long")
 
 
 def set_number(own: np.ndarray) -> int:
@@ -202,6 +309,10 @@ class Region:
         flat = np.concatenate([sets[i] for i in self.order])
         self.words, self.flat = np.unique(flat, return_inverse=True)
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        # Members of each word, word after word.
+        owners = np.repeat(np.arange(len(sets)), self.sizes)
+        self.holders = owners[np.argsort(self.flat, kind="stable")]
+        self.held = np.concatenate([[0], np.cumsum(np.bincount(self.flat, minlength=len(self.words)))])
 
     def window(self, size: int) -> tuple[int, int]:
         """The range of members whose size allows a link."""
@@ -218,17 +329,44 @@ class Region:
         hits = marked[self.flat[self.starts[low] : self.starts[high]]].astype(np.int32)
         return np.add.reduceat(hits, self.starts[low:high] - self.starts[low])
 
-    def linked(self, own: np.ndarray, size: int) -> np.ndarray:
-        """Members linked with a set of the given size, of which `own` are in `words`."""
+    def met(self, own: np.ndarray, listed: np.ndarray) -> np.ndarray:
+        """As `shared` for all members, through the members of each word: quick where words are rare."""
+        at = np.repeat(self.held[own] - (np.cumsum(listed) - listed), listed) + np.arange(listed.sum())
+        return np.bincount(self.holders[at], minlength=len(self.sizes))
+
+    def shared_of(self, own: np.ndarray, members: np.ndarray) -> np.ndarray:
+        """As `shared`, for some members."""
+        if not len(members):
+            return np.empty(0, dtype=np.int64)
+        marked = np.zeros(len(self.words), dtype=bool)
+        marked[own] = True
+        sizes = self.sizes[members]
+        first = np.cumsum(sizes) - sizes
+        at = np.repeat(self.starts[members] - first, sizes) + np.arange(sizes.sum())
+        return np.add.reduceat(marked[self.flat[at]].astype(np.int32), first)
+
+    def linked(self, own: np.ndarray, size: int, near: np.ndarray | None = None) -> np.ndarray:
+        """Members linked with a set of the given size, of which `own` are in `words`; with `near`, among these."""
         low, high = self.window(size)
-        shared = self.shared(own, low, high)
-        union = size + self.sizes[low:high] - shared
-        return low + np.flatnonzero(100 * shared >= self.percent * union)
+        members = np.arange(low, high) if near is None else low + np.flatnonzero(near[low:high])
+        listed = self.held[own + 1] - self.held[own]
+        if listed.sum() < self.sizes[members].sum():
+            shared = self.met(own, listed)[members]
+        else:
+            shared = self.shared_of(own, members)
+        union = size + self.sizes[members] - shared
+        return members[100 * shared >= self.percent * union]
 
     def labels(self) -> np.ndarray:
-        """The component of every member, in the order the sets were given."""
-        n = len(self.sizes)
+        """The component of every member, in the order the sets were given.
+
+        Members are compared with one pivot after another. The first few pivots are measured
+        against all members; a later one only meets members whose distance to each of those
+        differs from its own by the radius at most, as the triangle inequality demands.
+        """
+        n, radius = len(self.sizes), 1 - self.percent / 100 + 1e-9
         label, waiting = np.arange(n), np.ones(n, dtype=bool)
+        measured: list[np.ndarray] = []
         while True:
             sizes = np.bincount(label, minlength=n)
             open_ = np.flatnonzero(waiting & (label != sizes.argmax() if n > 1 else False))
@@ -237,7 +375,17 @@ class Region:
             # Pivots of one component follow each other until it is joined to the largest.
             pivot = int(open_[0])
             waiting[pivot] = False
-            found = self.linked(self.flat[self.starts[pivot] : self.starts[pivot + 1]], int(self.sizes[pivot]))
+            own, size = self.flat[self.starts[pivot] : self.starts[pivot + 1]], int(self.sizes[pivot])
+            if len(measured) < MEASURED:
+                shared = self.met(own, self.held[own + 1] - self.held[own])
+                union = size + self.sizes - shared
+                measured.append(1 - shared / union)
+                found = np.flatnonzero(100 * shared >= self.percent * union)
+            else:
+                near = np.ones(n, dtype=bool)
+                for distance in measured:
+                    near &= np.abs(distance - distance[pivot]) <= radius
+                found = self.linked(own, size, near)
             together = np.unique(label[np.append(found, pivot)])
             if len(together) > 1:
                 label[np.isin(label, together)] = together[0]
@@ -259,7 +407,7 @@ def join_small(members: DataFrame, percent: int) -> DataFrame:
 
 
 def join_large(members: DataFrame, percent: int) -> DataFrame:
-    """(node, label) of regions too large for a task: (region, weight, node, shingles) in Voronoi cells."""
+    """(node, label) of regions too large for a task: stored (region, weight, count, node, shingles) in Voronoi cells."""
     radius = 1 - percent / 100
     first = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.col("count") / PIVOTS).cast("long")) == 0
     pivots = members.filter(first).select("region", "node", "shingles")
@@ -294,11 +442,14 @@ def join_large(members: DataFrame, percent: int) -> DataFrame:
         F.min(F.get("distances", F.col("cell"))).alias("near"),
         F.max(F.get("distances", F.col("cell"))).alias("far"),
     )
-    crowd = crowd.withColumn("slices", F.ceil(F.col("mass") / (TASK_SHINGLES // 4)).cast("int"))
+    crowd = stored(crowd.withColumn("slices", F.ceil(F.col("mass") / (TASK_SHINGLES // 4)).cast("int")), "regions-crowd")
     homes = placed.join(crowd.select("region", "cell", "slices"), ["region", "cell"])
     homes = stored(homes.withColumn("slice", F.pmod(F.xxhash64("node", F.lit(2)), "slices").cast("int")), "regions-homes")
-    done, edges = pivots.select("node").limit(0), None
-    asked = homes.join(pivots.select("node"), "node", "left_semi")
+    first_pivots = stored(pivots.select("node"), "regions-first")
+    # Each of these holds all sets of the regions; the homes are enough from here on.
+    discard(members, spread, placed)
+    done, edges = first_pivots.limit(0), None
+    asked = homes.join(first_pivots, "node", "left_semi")
 
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """Links of a slice of a cell with the pivots copied to it."""
@@ -328,6 +479,7 @@ def join_large(members: DataFrame, percent: int) -> DataFrame:
         keys = ["region", "cell", "slice"]
         found = homes.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInPandas(compare, "a long, b long")
         found = stored(found, "regions-links")
+        discard(copies)
         edges = found if edges is None else edges.unionByName(found)
         done = stored(done.unionByName(asked.select("node")), "regions-done")
         labels = components(edges, "regions")
@@ -350,17 +502,21 @@ def classes(
 ) -> DataFrame:
     """(id, n_shingles, component_id) of every document."""
     rows = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    hot = [r.shingle for r in frequent_shingles(rows, k).collect()]  # bounded, see there
-    hot = np.sort(np.array(hot, dtype=np.int64).astype(np.uint64))
-    seen = stored(described(rows, hot, k, percent), "jaccard-described")
-    sets = seen.filter("size > 0").groupBy("node").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    cells = seen.select("node", F.explode("cells").alias("cell"))
-    # A cell's members are joined to its smallest; which of them link is decided later.
-    together = cells.repartition(F.col("cell")).withColumn("low", F.expr("min(node) over (partition by cell)"))
-    edges = together.filter("node != low").select(F.col("node").alias("a"), F.col("low").alias("b"))
+    rows = rows.select("id", F.xxhash64("text").alias("key"), "text")
+    surveyed = stored(survey(rows, k), "jaccard-survey")
+    seen = surveyed.where("node IS NOT NULL").select("id", "key", "size", "node")
+    documents, shingles = seen.agg(F.count("*"), F.sum("size")).first()
+    hot = frequent_shingles(surveyed, documents)
+    # A set is known by the smallest id of its documents, null only where no other is; its
+    # text is found again by that id and the text's hash, so repeated and null ids do no harm.
+    holder = F.min(F.struct(F.col("id").isNull().alias("without"), "id", "key")).alias("holder")
+    sets = seen.filter("size > 0").groupBy("node").agg(holder, F.first("size").alias("size"), F.count("*").alias("n"))
+    sets = sets.select("node", "size", F.col("holder.id").alias("first"), F.col("holder.key").alias("key"), "n")
+    edges = stored(cell_edges(rows, hot, k, percent, shingles or 0).distinct(), "jaccard-meetings")
     regions = components(edges, "cells").withColumnRenamed("label", "region")
-    members = regions.join(sets.select("node", "first"), "node")
-    labels = stored(join_regions(rows, members, k, percent), "jaccard-labels")
+    discard(edges)
+    members = regions.join(sets.select("node", "size", "first", "key"), "node")
+    labels = join_regions(rows, members, k, percent)
     # Ids of classes that are linked to another, or that more than one document has.
     linked = sets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     lowest = linked.groupBy("label").agg(F.min("first").alias("component_id"), F.count("*").alias("classes"))
@@ -371,27 +527,43 @@ def classes(
 
 
 def join_regions(rows: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
-    """(node, label) for (node, region, first): the components within regions."""
+    """(node, label) for (node, region, size, first, key): the components within regions.
+
+    Regions are weighed by the sizes that are known, before any text is fetched. Shingles
+    go straight to their region's task; only those of regions too large for one are stored.
+    """
 
     def shingled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingler = Shingler(k)
-        for frame in frames:
+        shingler, done = Shingler(k), set()
+        for frame in chunks(frames, 1000):
             sets = [shingler.shingles(text) for text in frame["text"]]
-            numbers, raw = [set_number(s) for s in sets], [s.tobytes() for s in sets]
-            out = frame[["region", "node"]].assign(size=[len(s) for s in sets], shingles=raw)
-            yield out[out["node"] == numbers]
-
-    found = members.select("node", "region", F.col("first").alias("id")).join(rows, "id")
-    schema = "region long, node long, size long, shingles binary"
-    fetched = found.select("region", "node", "text").mapInPandas(shingled, schema)
-    whole = stored(fetched.dropDuplicates(["node"]), "jaccard-members")
-    weights = whole.groupBy("region").agg(F.sum("size").alias("weight"), F.count("*").alias("count"))
-    weighed = whole.join(weights, "region")
-    small = join_small(weighed.filter(F.col("weight") <= TASK_SHINGLES).select("region", "node", "shingles"), percent)
-    large = weighed.filter(F.col("weight") > TASK_SHINGLES).select("region", "weight", "count", "node", "shingles")
-    if weights.filter(F.col("weight") > TASK_SHINGLES).isEmpty():
-        return small
-    return small.unionByName(join_large(stored(large, "regions-large"), percent))
+            # Another text may have the wanted one's hash; repeated rows are needed once.
+            new = []
+            for node, own in zip(frame["node"].tolist(), sets, strict=True):
+                new.append(node not in done and node == set_number(own))
+                if new[-1]:
+                    done.add(node)
+            out = frame[["region", "weight", "count", "node"]].assign(shingles=[own.tobytes() for own in sets])
+            yield out[np.array(new, dtype=bool)]
+
+    weights = members.groupBy("region").agg(F.sum("size").alias("weight"), F.count("*").alias("count"))
+    weighed = stored(members.join(weights, "region"), "jaccard-members")
+    schema = "region long, weight long, count long, node long, shingles binary"
+
+    def fetched(which: str) -> DataFrame:
+        wanted = weighed.filter(which).select("region", "weight", "count", "node", "first", F.col("key").alias("wanted"))
+        # Copies of a text under different ids spread over tasks, because the id is part of the key.
+        found = rows.join(wanted, (F.col("key") == F.col("wanted")) & F.col("id").eqNullSafe(F.col("first")))
+        return found.select("region", "weight", "count", "node", "text").mapInPandas(shingled, schema)
+
+    labels = join_small(fetched(f"weight <= {TASK_SHINGLES}").select("region", "node", "shingles"), percent)
+    if not weighed.filter(F.col("weight") > TASK_SHINGLES).isEmpty():
+        # A skewed join may have split the rows of one text over tasks.
+        large = stored(fetched(f"weight > {TASK_SHINGLES}").dropDuplicates(["node"]), "regions-large")
+        labels = labels.unionByName(join_large(large, percent))
+    found = stored(labels.distinct(), "jaccard-labels")
+    discard(weighed)
+    return found
 
 
 def representatives(

@@ -54,10 +54,53 @@ def near_copies(seed=3):
     return [(100 + 3 * i, text) for i, text in enumerate(rows)]
 
 
-@pytest.mark.parametrize("limit", [None, 300])
-def test_components_match_all_pairs(spark, monkeypatch, limit):
-    if limit:
-        monkeypatch.setattr(jaccard, "TASK_SHINGLES", limit)
+def bridge():
+    """Three texts in a chain of similarity 0.9; the outer ones are further apart than the threshold."""
+    words = [f"w{i}" for i in range(60)]
+    left, right = list(words), list(words)
+    left[0], left[2], right[-1], right[-3] = "a", "b", "c", "d"
+    return " ".join(left), " ".join(words), " ".join(right)
+
+
+def test_a_set_under_null_ids_alone_links_its_neighbours(spark):
+    left, middle, right = bridge()
+    rows = [(1, left), (None, middle), (None, middle), (2, right), (2, right), (2, "quite another text than the others are")]
+    got = Counter((r.doc_id, r.component_id) for r in jaccard.classes(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect())
+    assert got == Counter({(1, 1): 1, (None, 1): 2, (2, 1): 2, (2, 2): 1})
+    big = 2**60 + 1  # beyond what floating numbers tell apart
+    rows = [(big, left), (None, middle), (big + 1, right), (None, None)]
+    got = Counter((r.doc_id, r.component_id) for r in jaccard.classes(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect())
+    assert got == Counter({(big, big): 1, (None, big): 1, (big + 1, big): 1, (None, None): 1})
+
+
+def test_windows_prune_and_lose_nothing():
+    """Later pivots meet few members, and the labels are those of all comparisons."""
+    rng = np.random.default_rng(6)
+    chain = [np.sort(rng.choice(5000, 200, replace=False)).astype(np.uint64) for _ in range(6)]
+    for at in range(240):
+        near = chain[at].copy()
+        near[rng.integers(0, 200, 12)] = 5000 + 12 * at + np.arange(12)
+        chain.append(np.unique(near))
+    met = []
+    region = jaccard.Region(chain, 85)
+    linked = region.linked
+    region.linked = lambda own, size, near=None: met.append(near.sum()) or linked(own, size, near)
+    labels = region.labels()
+    assert met and np.mean(met) < len(chain) / 2
+    whole = np.array([[100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)) for b in chain] for a in chain])
+    expected = np.arange(len(chain))
+    while True:
+        lowest = np.array([expected[row].min() for row in whole])
+        if (lowest == expected).all():
+            break
+        expected = lowest
+    assert ((labels[:, None] == labels) == (expected[:, None] == expected)).all()
+
+
+@pytest.mark.parametrize("limits", [{}, {"TASK_SHINGLES": 300}, {"MEASURED": 1, "BLOCK_CELLS": 50, "BUCKET_CELLS": 20, "SEEN": 2}])
+def test_components_match_all_pairs(spark, monkeypatch, limits):
+    for name, limit in limits.items():
+        monkeypatch.setattr(jaccard, name, limit)
         monkeypatch.setattr(jaccard, "PIVOTS", 4)
         monkeypatch.setattr(jaccard, "MORE_PIVOTS", 3)
     rows = near_copies()
@@ -295,3 +338,29 @@ def test_pipeline_stages_keep_the_columns_and_take_effect(spark, tmp_path):
     assert len(good - ids[0]) <= 0.05 * len(good)
     rows = [(r.doc_id, r.text) for r in seen[0].collect()]
     assert ids[1] == {c for _, _, c in brute_components(rows, 5, 80)}
+
+
+@pytest.mark.parametrize("n", [3, 5, 8, 12])
+def test_grams_of_any_length_find_every_exact_copy(n):
+    """Many words, so that a gram as one number in a base would not fit 64 bits."""
+    rng = random.Random(n)
+    words = [f"v{i}" for i in range(20_000)]
+    texts = [(i, " ".join(rng.sample(words, 20))) for i in range(1500)]
+    items = decontamination.Items(texts, n)
+    for number, (_, text) in enumerate(texts):
+        at, grams = items.hits(items.numbers(f"before it {text} after it"))
+        assert at.tolist() == list(range(2, 2 + 20 - n + 1))
+        assert all(number in items.holders[g] for g in grams.tolist())
+    at, _ = items.hits(items.numbers(" ".join(rng.choices(words, k=2000))))
+    assert len(at) < 3
+
+
+def test_samples_bound_rows_not_ids(spark):
+    docs = [(i % 6, f"text {i}") for i in range(600)] + [(None, "nobody")]
+    labels = [(i, i % 2, 0) for i in range(6)] + [(1, 0, 0), (None, 1, 1)]
+    frame = spark.createDataFrame(docs, SCHEMA)
+    marked = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    rows = labelled.training_rows(frame, marked, "quality", 4, 2, 4).collect()
+    again = labelled.training_rows(frame.repartition(7), marked, "quality", 4, 2, 4).collect()
+    assert len(rows) <= 4 and len({r.id for r in rows}) == len(rows)
+    assert sorted(rows) == sorted(again) and all(r.label == r.id % 2 for r in rows)
