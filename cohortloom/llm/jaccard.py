@@ -57,8 +57,8 @@ HOT_SHARE = 0.01
 TABLE_SHARE = 0.002
 TASK_SHINGLES = 3_000_000  # of a region joined within one task
 MEASURED = 8  # pivots within a task whose distances to all members are kept
-PIVOTS = 64  # first pivots of a larger region
-MORE_PIVOTS = 512  # pivots of a larger region in each later round
+PIVOTS = 16  # first pivots of a larger region
+MORE_PIVOTS = 4096  # pivots of a larger region in each later round
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SEEN = 250_000  # sets that a task remembers having entered
 
@@ -314,6 +314,11 @@ class Region:
         self.holders = owners[np.argsort(self.flat, kind="stable")]
         self.held = np.concatenate([[0], np.cumsum(np.bincount(self.flat, minlength=len(self.words)))])
 
+    def known(self, shingles: np.ndarray) -> np.ndarray:
+        """Numbers into `words` of those shingles that the region has."""
+        at = np.minimum(np.searchsorted(self.words, shingles), len(self.words) - 1)
+        return at[self.words[at] == shingles]
+
     def window(self, size: int) -> tuple[int, int]:
         """The range of members whose size allows a link."""
         low = np.searchsorted(self.sizes, -(-size * self.percent // 100), side="left")
@@ -428,7 +433,7 @@ def join_large(members: DataFrame, percent: int) -> DataFrame:
             region = Region(sets, percent)
             for j, pivot in enumerate(pivot_list):
                 own = np.frombuffer(pivot["shingles"], np.uint64)
-                shared = region.shared(np.flatnonzero(np.isin(region.words, own)), 0, len(sets))
+                shared = region.shared(region.known(own), 0, len(sets))
                 distance[region.order, j] = 1 - shared / (len(own) + region.sizes - shared)
         home = distance.argmin(axis=1) if len(pivot_list) else np.zeros(len(sets), dtype=int)
         out = left[["region", "weight", "count", "node", "shingles"]].assign(cell=home)
@@ -442,7 +447,7 @@ def join_large(members: DataFrame, percent: int) -> DataFrame:
         F.min(F.get("distances", F.col("cell"))).alias("near"),
         F.max(F.get("distances", F.col("cell"))).alias("far"),
     )
-    crowd = stored(crowd.withColumn("slices", F.ceil(F.col("mass") / (TASK_SHINGLES // 4)).cast("int")), "regions-crowd")
+    crowd = stored(crowd.withColumn("slices", F.ceil(F.col("mass") / TASK_SHINGLES).cast("int")), "regions-crowd")
     homes = placed.join(crowd.select("region", "cell", "slices"), ["region", "cell"])
     homes = stored(homes.withColumn("slice", F.pmod(F.xxhash64("node", F.lit(2)), "slices").cast("int")), "regions-homes")
     first_pivots = stored(pivots.select("node"), "regions-first")
@@ -464,7 +469,7 @@ def join_large(members: DataFrame, percent: int) -> DataFrame:
                 # The window of every first pivot has to hold for some member of the slice.
                 near = (np.abs(far[low:high] - np.asarray(distances)) <= radius + 1e-5).all(axis=1)
                 if near.any():
-                    found = region.linked(np.flatnonzero(np.isin(region.words, numbers)), len(numbers))
+                    found = region.linked(region.known(numbers), len(numbers))
                     out += [(int(node), int(other)) for other in nodes[found] if other != node]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
