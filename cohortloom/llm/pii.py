@@ -10,8 +10,8 @@ The trees learn from the corpus itself: a candidate whose value, once its disgui
 undone and its separators are plain, meets the strict rule of its kind is an example,
 one that breaks it a counter-example. Candidates that overlap a base span teach
 nothing besides the span itself. The trees see shape, checksum and context, but not
-the marks by which strict patterns know a kind, and fit on at most `sample`
-candidates, taken in the order of a hash.
+the marks by which strict patterns know a kind. They fit on every distinct candidate
+of three folds, and the thresholds count every one of the fourth.
 
 Defined cases: a null text counts as empty. Rows with equal or null ids are kept as
 rows of their own. Additions that overlap a base span are dropped. Without both
@@ -187,15 +187,15 @@ def features(spans: DataFrame) -> DataFrame:
 class Booster:
     """Boosted trees with a threshold per kind; `model` is None when there was nothing to learn from."""
 
-    def __init__(self, spans: DataFrame, sample: int = 20_000, seed: int = 7) -> None:
-        order = F.xxhash64("value", "left", "right", F.lit(seed))
+    def __init__(self, spans: DataFrame, seed: int = 7) -> None:
         right = F.col("base") | genuine(F.col("kind"), F.col("value"), F.col("left"), F.col("right"))
         shown = spans.filter("kind is not null and (base or clear)").withColumn("right_one", right)
-        # Distinct candidates only, else one copied text would fill the sample.
+        # Distinct candidates only, else one copied text would outweigh the others.
         pool = shown.groupBy("kind", "value", "left", "right").agg(F.max("right_one").cast("double").alias("label"))
-        bounded = pool.withColumn("_o", order).orderBy("_o", "kind", "value", "left", "right").limit(sample)
         part = F.pmod(F.xxhash64("value", F.lit(seed + 1)), F.lit(FOLDS))
-        known = stored(features(bounded.withColumn("_fold", part)), "pii-sample")
+        # A fixed order of the rows, as Spark ML places its split points by rows that it draws.
+        known = features(pool.withColumn("_fold", part)).sortWithinPartitions("value", "left", "right", "kind")
+        known = stored(known, "pii-known")
         fit_on, held = known.filter("_fold > 0"), known.filter("_fold = 0")
         classes = {row.label for row in fit_on.select("label").distinct().limit(3).collect()}
         self.model, self.thresholds = None, {}
@@ -230,11 +230,11 @@ class Booster:
         return scored.select(*spans.columns, "score", F.coalesce(chosen, F.lit(False)).alias("chosen"))
 
 
-def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = 20_000) -> DataFrame:
+def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_row, id, kind, start, end, value, base, score) of every chosen span; null kind for documents without candidates."""
     rows = with_row(docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")))
     spans = stored(candidates(rows), "pii-candidates")
-    return Booster(spans, sample).select(spans)
+    return Booster(spans).select(spans)
 
 
 def digest(spans: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -254,12 +254,12 @@ def digest(spans: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, text_col: str = "text", sample: int = 20_000) -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with every chosen span replaced by its kind in brackets; other columns as they were."""
     boxed = docs.select(F.struct("*").alias("doc"))
     rows = stored(with_row(boxed), "pii-documents")
     spans = stored(candidates(rows.select(ROW, text_of(f"doc.{text_col}").alias("text"))), "pii-candidates")
-    chosen = Booster(spans, sample).select(spans).filter("chosen").select(ROW, "kind", "start", "end")
+    chosen = Booster(spans).select(spans).filter("chosen").select(ROW, "kind", "start", "end")
     before = Window.partitionBy(ROW).orderBy("start", F.desc("end"), "kind").rowsBetween(Window.unboundedPreceding, -1)
     reached = F.coalesce(F.max("end").over(before), F.lit(0))
     # What an earlier span covers is cut off a later one.

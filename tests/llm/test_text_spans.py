@@ -161,6 +161,15 @@ def test_candidates_in_other_writing_are_added(spark):
     assert [kept[i + 3] for i in range(3)] == others
 
 
+def test_thresholds_count_every_candidate(spark):
+    """A kind that is rare beside 60 000 others has its threshold."""
+    rare = [t for t in disguised_and_plain()[: 9 * 60] if "phone" in t or "part" in t]
+    many = spark.range(60_000).selectExpr("id + 10000 AS doc_id", "concat('please write to user', id, '@site.org today') AS text")
+    docs = many.unionByName(spark.createDataFrame(list(enumerate(rare)), EMPTY))
+    spans = pii.candidates(pii.with_row(docs.withColumnRenamed("doc_id", "id")))
+    assert "phone" in pii.Booster(spans).thresholds
+
+
 def marks(text, k=3, w=4):
     """Every window's smallest gram, by definition; grams are told apart by their words."""
     words = text.lower().split()
