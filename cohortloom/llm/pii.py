@@ -208,7 +208,7 @@ class Booster:
             self.thresholds = self._calibrate(held)
 
     def _calibrate(self, held: DataFrame) -> dict[str, float]:
-        """For each kind the lowest score above which held-out candidates are right often enough."""
+        """For each kind the lowest score above which the held-out candidates, all of them, are right often enough."""
         bins = self._scored(held).groupBy("kind", F.floor(F.col("_score") * 100).alias("bin"))
         counted = bins.agg(F.sum("label").alias("right"), F.count("*").alias("n"))
         above = Window.partitionBy("kind").orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
