@@ -8,10 +8,12 @@ Regions. Pivot documents alone cannot cut this space, because unrelated document
 lie at distance 1 from each other. So the first regions come from the symmetric
 difference, which is a metric too: a linked pair differs in at most D shingles, D
 following from their sizes. Shingles are dealt into D + 1 + r classes by hash; at
-least r + 1 classes of a linked pair are equal. A document enters one cell for each
-class it has shingles in, and for its empty ones when these are more than r, so every
-linked pair shares a cell, whatever it holds. Shingles that very many documents share
-are left out of the classes first, which only lowers the difference. Cells that share
+least r + 1 classes of a linked pair are equal. A document enters a cell for each class
+but its r smallest, in an order that follows from what a class holds: the largest equal
+class of a pair has r others below it in both documents, so every linked pair shares a
+cell, whatever it holds, and a shingle alone in its class seldom makes a meeting. Shingles
+that very many documents share are left out of the classes first, which only lowers the
+difference. Cells that share
 documents form a region. Most cells have one member, so tasks pack their cells by bucket
 before the shuffle.
 
@@ -42,7 +44,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +63,7 @@ PIVOTS = 16  # first pivots of a larger region
 MORE_PIVOTS = 4096  # pivots of a larger region in each later round
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SEEN = 250_000  # sets that a task remembers having entered
+MARKS = 1 << 24  # bits that tell most of the texts that are wanted from the others, whatever their number
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -144,12 +147,9 @@ class Cells:
             place = ((rest >> np.uint64(17)) % np.uint64(classes)).astype(np.int64)
             counts, sums = np.bincount(place, minlength=classes), np.zeros(classes, dtype=np.uint64)
             np.add.at(sums, place, rest)
-            filled = np.flatnonzero(counts)
-            key = np.uint64(number << 40) + filled.astype(np.uint64)
-            out.append(mixed(sums[filled] + mixed(key + (counts[filled].astype(np.uint64) << np.uint64(52)))))
-            if classes - len(filled) > spare:
-                empty = np.flatnonzero(counts == 0).astype(np.uint64)
-                out.append(mixed(mixed(np.uint64(number << 40) + empty)))
+            key = np.uint64(number << 40) + np.arange(classes, dtype=np.uint64)
+            held = mixed(sums + mixed(key + (counts.astype(np.uint64) << np.uint64(52))))
+            out.append(held[np.lexsort((held, counts))[spare:]])
         return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
 
 
@@ -531,6 +531,21 @@ def classes(
     return joined.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), component.alias("component_id"))
 
 
+def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose `key` is `wanted`, and a few more, told by a broadcast bitmap of bounded size."""
+
+    def at(column: str) -> tuple[Column, Column]:
+        bit = F.pmod(F.col(column), F.lit(MARKS))
+        return F.floor(bit / 64), (bit % 64).cast("int")
+
+    word, bit = at("wanted")
+    marks = wanted.select(word.alias("_word"), bit.alias("_bit"))
+    words = marks.groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    word, bit = at("key")
+    found = rows.withColumn("_word", word).join(F.broadcast(words), "_word").filter(F.getbit("_bits", bit) == 1)
+    return found.select(*rows.columns)
+
+
 def join_regions(rows: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, label) for (node, region, size, first, key): the components within regions.
 
@@ -557,8 +572,9 @@ def join_regions(rows: DataFrame, members: DataFrame, k: int, percent: int) -> D
 
     def fetched(which: str) -> DataFrame:
         wanted = weighed.filter(which).select("region", "weight", "count", "node", "first", F.col("key").alias("wanted"))
-        # Copies of a text under different ids spread over tasks, because the id is part of the key.
-        found = rows.join(wanted, (F.col("key") == F.col("wanted")) & F.col("id").eqNullSafe(F.col("first")))
+        # Only texts of members are shuffled, the join being exact. Copies of a text under
+        # different ids spread over tasks, because the id is part of the key.
+        found = marked(rows, wanted).join(wanted, (F.col("key") == F.col("wanted")) & F.col("id").eqNullSafe(F.col("first")))
         return found.select("region", "weight", "count", "node", "text").mapInPandas(shingled, schema)
 
     labels = join_small(fetched(f"weight <= {TASK_SHINGLES}").select("region", "node", "shingles"), percent)

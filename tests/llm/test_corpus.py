@@ -126,6 +126,28 @@ def test_linked_sets_share_a_cell():
                 assert np.intersect1d(cells.of(size, base), cells.of(len(other), other)).size
 
 
+def test_sets_that_share_a_part_seldom_meet():
+    """A shingle alone in its class makes no meeting: of 150 pairs that share a fifth, few meet."""
+    rng = np.random.default_rng(7)
+    cells, met = jaccard.Cells(85), 0
+    for _ in range(150):
+        size = int(rng.integers(400, 620))
+        common = rng.integers(0, 1 << 63, size // 5, dtype=np.uint64)
+        a, b = (np.concatenate([common, rng.integers(0, 1 << 63, size - size // 5, dtype=np.uint64)]) for _ in range(2))
+        met += np.intersect1d(cells.of(size, a), cells.of(size, b)).size > 0
+    assert met <= 10
+    # Sets of frequent shingles alone enter as many cells as any others.
+    assert len(cells.of(500, a[:0])) == len(cells.of(500, a))
+
+
+def test_only_wanted_texts_are_fetched(spark):
+    rows = spark.range(5000).selectExpr("id", "xxhash64(id) AS key", "'t' AS text")
+    wanted = rows.filter("id % 100 = 3").select(rows.key.alias("wanted"))
+    got = [r.id for r in jaccard.marked(rows, wanted).collect()]
+    assert {i for i in range(5000) if i % 100 == 3} <= set(got) and len(got) <= 60
+    assert len(got) == len(set(got)) and jaccard.marked(rows, wanted.limit(0)).count() == 0
+
+
 def test_ids_that_repeat_or_are_null(spark):
     text = " ".join(f"x{i}" for i in range(30))
     docs = spark.createDataFrame([(5, text), (5, text), (None, text), (2, text + " y"), (9, "other words here now")], SCHEMA)
