@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from cohortloom.sources.files import remove, scratch_dir
 
+MARKS = 1 << 24  # bits that tell most of the rows that are wanted from the others, whatever their number
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -64,3 +66,23 @@ def salted_left_join(big: DataFrame, small: DataFrame, keys: Sequence[str], salt
     left = big.withColumn(salt, spread)
     right = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*keys, salt], "left").drop(salt)
+
+
+def flagged(rows: DataFrame, wanted: DataFrame, flag: str) -> DataFrame:
+    """`flag` is true where `key` is `wanted` and for a few more rows, told by a broadcast bitmap of bounded size."""
+
+    def at(column: str) -> tuple[Column, Column]:
+        bit = F.pmod(F.col(column), F.lit(MARKS))
+        return F.floor(bit / 64), (bit % 64).cast("int")
+
+    word, bit = at("wanted")
+    marks = wanted.select(word.alias("_word"), bit.alias("_bit"))
+    words = marks.groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    word, bit = at("key")
+    found = rows.withColumn("_word", word).join(F.broadcast(words), "_word", "left")
+    return found.select(*rows.columns, F.coalesce(F.getbit("_bits", bit) == 1, F.lit(False)).alias(flag))
+
+
+def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose `key` is `wanted`, and a few more; no row is shuffled."""
+    return flagged(rows, wanted, "_marked").filter("_marked").drop("_marked")

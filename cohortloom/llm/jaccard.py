@@ -24,7 +24,9 @@ components, so at least one of them is, and becomes a pivot in turn. When every
 document outside the largest component has been one, the region is joined exactly.
 Known distances to earlier pivots prune by the triangle inequality: documents whose
 distances to any of them differ by more than the radius are not compared. A region
-that does not fit a task is cut into Voronoi cells of its first pivots, dealt over
+that does not fit a task, mostly a chain of documents that share passages, is first
+narrowed: its documents meet anew by their rarest shingles, which gives smaller regions.
+One that still does not fit is cut into Voronoi cells of its first pivots, dealt over
 tasks, and a pivot is copied only to the cells within its window.
 
 Documents with equal sets are one node throughout. Shingles and sets are known by
@@ -44,11 +46,11 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.llm.common import chunks, discard, salted_left_join, stored, text_of
+from cohortloom.llm.common import chunks, discard, marked, salted_left_join, stored, text_of
 from cohortloom.llm.graph import components
 
 BLOCK = 4000  # documents in which a shingle's frequency is looked at together,
@@ -63,7 +65,6 @@ PIVOTS = 16  # first pivots of a larger region
 MORE_PIVOTS = 4096  # pivots of a larger region in each later round
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 SEEN = 250_000  # sets that a task remembers having entered
-MARKS = 1 << 24  # bits that tell most of the texts that are wanted from the others, whatever their number
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -204,6 +205,86 @@ def frequent_shingles(surveyed: DataFrame, documents: int) -> np.ndarray:
 
 
 ENTRY = 6  # bytes of a cell in a packed block, besides those that its bucket says
+PACKED = "bucket long, cells binary, owners binary, nodes binary, a binary, b binary"
+
+
+def bucket_bits(entries: int) -> int:
+    """The bits of a cell that number its bucket: a bucket has at most about BUCKET_CELLS entries."""
+    return max(5, math.ceil(math.log2(max(1, entries) / BUCKET_CELLS)))
+
+
+def partitions(frame: DataFrame, bits: int) -> int:
+    """As many partitions as buckets, so that a task's share does not grow with the table."""
+    return max(1 << bits, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def packed(cells: np.ndarray, owners: np.ndarray, ordered: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """(cells, owners, nodes) in bytes; owners are numbers into `ordered`, of which the nodes list those in use."""
+    entries = np.ascontiguousarray(cells).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ENTRY]
+    used, short = np.unique(owners, return_inverse=True)
+    return entries.tobytes(), short.astype("<u4" if len(used) > 65535 else "<u2").tobytes(), ordered[used].tobytes()
+
+
+def unpacked(entries: bytes, owners: bytes, listed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The cells of one bucket and the node of each."""
+    wide = np.zeros((len(entries) // ENTRY, 8), dtype=np.uint8)
+    wide[:, :ENTRY] = np.frombuffer(entries, dtype=np.uint8).reshape(-1, ENTRY)
+    known = np.frombuffer(listed, dtype=np.int64)
+    return wide.view("<u8").ravel(), known[np.frombuffer(owners, dtype="<u2" if len(owners) == 2 * len(wide) else "<u4")]
+
+
+def sorted_block(cells: list[np.ndarray], nodes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The cells in order, the number of the owner of each, and the nodes that the numbers stand for."""
+    number = np.argsort(np.argsort(np.array(nodes)))  # by size, so the smallest owner is the smallest node
+    flat = np.concatenate(cells)
+    owners = np.repeat(number, list(map(len, cells))).astype(np.uint32)
+    at = np.lexsort((owners, flat))
+    return flat[at], owners[at], np.sort(np.array(nodes, dtype=np.int64))
+
+
+def by_bucket(flat: np.ndarray, owners: np.ndarray, ordered: np.ndarray, bits: int) -> list[tuple[int, bytes, bytes, bytes]]:
+    """(bucket, cells, owners, nodes) of each bucket of cells in order."""
+    bucket = (flat >> np.uint64(64 - bits)).astype(np.int64)
+    short = flat >> np.uint64(16 - bits) if bits < 16 else flat
+    numbers, starts = np.unique(bucket, return_index=True)
+    ends = [*starts[1:], len(flat)]
+    return [(b, *packed(short[s:e], owners[s:e], ordered)) for b, s, e in zip(numbers, starts, ends, strict=True)]
+
+
+def pack(cells: list[np.ndarray], nodes: list[int], bits: int) -> pd.DataFrame:
+    """One entry of each cell by bucket, and the links (a, b) of the others with it."""
+    flat, owners, ordered = sorted_block(cells, nodes)
+    first = np.ones(len(flat), dtype=bool)
+    np.not_equal(flat[1:], flat[:-1], out=first[1:])
+    low = owners[np.flatnonzero(first)[np.cumsum(first) - 1]]
+    own = np.unique(np.stack([owners[~first], low[~first]]), axis=1) if not first.all() else np.empty((2, 0), dtype=np.uint32)
+    own = own[:, own[0] != own[1]]
+    out = [(*row, b"", b"") for row in by_bucket(flat[first], owners[first], ordered, bits)]
+    out[0] = (*out[0][:4], ordered[own[0]].tobytes(), ordered[own[1]].tobytes())
+    return pd.DataFrame(out, columns=["bucket", "cells", "owners", "nodes", "a", "b"])
+
+
+def bucket_entries(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The cells of a bucket in order, the node of each, and where each cell starts."""
+    blocks = [unpacked(*row) for row in zip(part["cells"], part["owners"], part["nodes"], strict=True)]
+    cells, nodes = (np.concatenate(x) for x in zip(*blocks, strict=True))
+    at = np.argsort(cells, kind="stable")
+    cells, nodes = cells[at], nodes[at]
+    return cells, nodes, np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+
+
+def connected(blocks: DataFrame, bits: int) -> DataFrame:
+    """(a, b): the members of each cell, whatever block they came in, connected with the smallest."""
+
+    def meet(part: pd.DataFrame) -> pd.DataFrame:
+        cells, nodes, starts = bucket_entries(part)
+        low = np.repeat(np.minimum.reduceat(nodes, starts), np.diff([*starts, len(cells)]))
+        far = nodes != low
+        a = np.concatenate([nodes[far], *[np.frombuffer(x, np.int64) for x in part["a"]]])
+        b = np.concatenate([low[far], *[np.frombuffer(x, np.int64) for x in part["b"]]])
+        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+
+    return blocks.repartition(partitions(blocks, bits), "bucket").groupBy("bucket").applyInPandas(meet, "a long, b long")
 
 
 def cell_edges(rows: DataFrame, hot: np.ndarray, k: int, percent: int, shingles: int) -> DataFrame:
@@ -216,31 +297,7 @@ def cell_edges(rows: DataFrame, hot: np.ndarray, k: int, percent: int, shingles:
     documents into one region; whether they link is decided there.
     """
     shared = rows.sparkSession.sparkContext.broadcast(hot)
-    bits = max(5, math.ceil(math.log2(max(1, shingles) / BUCKET_CELLS)))
-    packed = "bucket long, cells binary, owners binary, nodes binary, a binary, b binary"
-
-    def pack(cells: list[np.ndarray], nodes: list[int]) -> pd.DataFrame:
-        number = np.argsort(np.argsort(np.array(nodes)))  # by size, so the smallest owner is the smallest node
-        ordered = np.sort(np.array(nodes, dtype=np.int64))
-        flat = np.concatenate(cells)
-        owners = np.repeat(number, list(map(len, cells))).astype(np.uint32)
-        at = np.lexsort((owners, flat))
-        flat, owners = flat[at], owners[at]
-        first = np.ones(len(flat), dtype=bool)
-        np.not_equal(flat[1:], flat[:-1], out=first[1:])
-        low = owners[np.flatnonzero(first)[np.cumsum(first) - 1]]
-        own = np.unique(np.stack([owners[~first], low[~first]]), axis=1) if not first.all() else np.empty((2, 0), dtype=np.uint32)
-        own = own[:, own[0] != own[1]]
-        flat, owners = flat[first], owners[first]
-        bucket = (flat >> np.uint64(64 - bits)).astype(np.int64)
-        entries = np.ascontiguousarray(flat >> np.uint64(16 - bits) if bits < 16 else flat).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :ENTRY]
-        numbers, starts = np.unique(bucket, return_index=True)
-        ends, out = [*starts[1:], len(flat)], []
-        for b, s, e in zip(numbers, starts, ends, strict=True):
-            used, short = np.unique(owners[s:e], return_inverse=True)
-            out.append((b, entries[s:e].tobytes(), short.astype("<u4").tobytes() if len(used) > 65535 else short.astype("<u2").tobytes(), ordered[used].tobytes(), b"", b""))
-        out[0] = (*out[0][:4], ordered[own[0]].tobytes(), ordered[own[1]].tobytes())
-        return pd.DataFrame(out, columns=["bucket", "cells", "owners", "nodes", "a", "b"])
+    bits = bucket_bits(shingles)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, entered, seen, left_out = Shingler(k), Cells(percent), set(), shared.value
@@ -264,40 +321,100 @@ def cell_edges(rows: DataFrame, hot: np.ndarray, k: int, percent: int, shingles:
                     nodes.append(node)
                     held += len(found)
                 if held >= BLOCK_CELLS:
-                    yield pack(cells, nodes)
+                    yield pack(cells, nodes, bits)
                     cells, nodes, held = [], [], 0
         if held:
-            yield pack(cells, nodes)
+            yield pack(cells, nodes, bits)
 
-    def meet(part: pd.DataFrame) -> pd.DataFrame:
-        """Connect the members of cells that came from several blocks."""
-        cells, nodes = [], []
-        for entries, owners, listed in zip(part["cells"], part["owners"], part["nodes"], strict=True):
-            wide = np.zeros((len(entries) // ENTRY, 8), dtype=np.uint8)
-            wide[:, :ENTRY] = np.frombuffer(entries, dtype=np.uint8).reshape(-1, ENTRY)
-            cells.append(wide.view("<u8").ravel())
-            known = np.frombuffer(listed, dtype=np.int64)
-            nodes.append(known[np.frombuffer(owners, dtype="<u2" if len(owners) == 2 * len(wide) else "<u4")])
-        cells, nodes = np.concatenate(cells), np.concatenate(nodes)
-        at = np.argsort(cells, kind="stable")
-        cells, nodes = cells[at], nodes[at]
-        starts = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
-        low = np.repeat(np.minimum.reduceat(nodes, starts), np.diff([*starts, len(cells)]))
-        far = nodes != low
-        a = np.concatenate([nodes[far], *[np.frombuffer(x, np.int64) for x in part["a"]]])
-        b = np.concatenate([low[far], *[np.frombuffer(x, np.int64) for x in part["b"]]])
-        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
-
-    # As many partitions as buckets, so that a task's share does not grow with the table.
-    parts = max(1 << bits, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.select("text").mapInPandas(run, packed).repartition(parts, "bucket")
-    return dealt.groupBy("bucket").applyInPandas(meet, "a long, b long")
+    return connected(rows.select("text").mapInPandas(run, PACKED), bits)
 
 
 def set_number(own: np.ndarray) -> int:
     return int.from_bytes(blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def rare_edges(large: DataFrame, percent: int) -> DataFrame:
+    """(a, b): sets of a region that share one of their rarest shingles, connected with the smallest that has it.
+
+    `large` has (region, node, shingles), a row a node. Each of two linked sets has at least
+    `percent` of its shingles in common with the other. So in any order of all shingles, here
+    from the rarest in the region to the most frequent, the first that both have is among the
+    first size - ceil(percent of size) + 1 of either. Shingles are counted by bucket; one that
+    a single set has meets nobody, so only the others go back to their sets.
+    """
+    bits = bucket_bits(large.agg(F.sum(F.length("shingles"))).first()[0] // 8)
+    parts = partitions(large, bits)
+
+    def spread(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cells, nodes, held = [], [], 0
+        columns = ["bucket", "cells", "owners", "nodes"]
+        for frame in frames:
+            salts = mixed(frame["region"].to_numpy().astype(np.int64).view(np.uint64))
+            for salt, node, own in zip(salts, frame["node"].tolist(), frame["shingles"], strict=True):
+                cells.append(mixed(np.frombuffer(own, np.uint64) + salt))
+                nodes.append(node)
+                held += len(cells[-1])
+                if held >= BLOCK_CELLS:
+                    yield pd.DataFrame(by_bucket(*sorted_block(cells, nodes), bits), columns=columns)
+                    cells, nodes, held = [], [], 0
+        if held:
+            yield pd.DataFrame(by_bucket(*sorted_block(cells, nodes), bits), columns=columns)
+
+    def count(part: pd.DataFrame) -> pd.DataFrame:
+        """For each share of the sets, their shingles in this bucket that occur more than once, with how often."""
+        cells, nodes, starts = bucket_entries(part)
+        often = np.diff([*starts, len(cells)])
+        n = np.repeat(often, often)
+        cells, nodes, n = cells[n > 1], nodes[n > 1], np.minimum(n[n > 1], 65535)
+        at = np.argsort(nodes % parts, kind="stable")
+        cells, nodes, n = cells[at], nodes[at], n[at]
+        ordered, owners = np.unique(nodes, return_inverse=True)
+        shares, starts = np.unique(nodes % parts, return_index=True)
+        out = [
+            (share, part["bucket"].iloc[0], n[s:e].astype("<u2").tobytes(), *packed(cells[s:e], owners[s:e], ordered))
+            for share, s, e in zip(shares, starts, [*starts[1:], len(nodes)], strict=True)
+        ]
+        return pd.DataFrame(out, columns=["share", "bucket", "n", "cells", "owners", "nodes"])
+
+    def choose(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """The rarest shingles of a share of the sets, packed as cells."""
+        nothing = pd.DataFrame(columns=["bucket", "cells", "owners", "nodes", "a", "b"])
+        if left.empty:
+            return nothing
+        blocks = [unpacked(*row) for row in zip(left["cells"], left["owners"], left["nodes"], strict=True)]
+        buckets = left["bucket"].to_numpy().astype(np.uint64) << np.uint64(48)
+        cells = mixed(np.concatenate([own | bucket for (own, _), bucket in zip(blocks, buckets, strict=True)]))
+        nodes = np.concatenate([node for _, node in blocks])
+        n = np.concatenate([np.frombuffer(x, "<u2") for x in left["n"]])
+        at = np.lexsort((cells, n, nodes))
+        cells, nodes = cells[at], nodes[at]
+        ordered, starts, shared = np.unique(nodes, return_index=True, return_counts=True)
+        sizes = right.set_index("node")["size"].loc[ordered].to_numpy()
+        # The shingles that a set has alone come first in its order.
+        most = np.maximum(0, shared + (-sizes * percent // 100) + 1)
+        kept = [cells[s : s + m] for s, m in zip(starts[most > 0], most[most > 0], strict=True)]
+        return pack(kept, ordered[most > 0].tolist(), bits) if kept else nothing
+
+    blocks = large.select("region", "node", "shingles").mapInPandas(spread, "bucket long, cells binary, owners binary, nodes binary")
+    dealt = blocks.repartition(parts, "bucket").groupBy("bucket")
+    counted = dealt.applyInPandas(count, "share long, bucket long, n binary, cells binary, owners binary, nodes binary")
+    sizes = large.select(F.pmod("node", F.lit(parts)).cast("long").alias("share"), "node", (F.length("shingles") / 8).cast("long").alias("size"))
+    return connected(counted.groupBy("share").cogroup(sizes.groupBy("share")).applyInPandas(choose, PACKED), bits)
+
+
+def narrowed(large: DataFrame, percent: int) -> DataFrame:
+    """Stored (region, weight, count, node, shingles) in the regions of rare shingles; sets that share none are left out."""
+    edges = stored(rare_edges(large, percent).distinct(), "regions-meetings")
+    regions = components(edges, "narrowed").withColumnRenamed("label", "region")
+    members = regions.join(large.select("node", (F.length("shingles") / 8).cast("long").alias("size")), "node")
+    weights = members.groupBy("region").agg(F.sum("size").alias("weight"), F.count("*").alias("count"))
+    wanted = stored(members.join(weights, "region").select("region", "weight", "count", F.col("node").alias("wanted")), "narrowed-members")
+    found = marked(large.select(F.col("node").alias("key"), "shingles"), wanted).join(wanted, F.col("key") == F.col("wanted"))
+    out = stored(found.select("region", "weight", "count", F.col("wanted").alias("node"), "shingles"), "regions-narrowed")
+    discard(edges, wanted)
+    return out
+
+
 class Region:
     """Sets of one region in memory, sorted by size, with their links found so far."""
 
@@ -531,21 +648,6 @@ def classes(
     return joined.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), component.alias("component_id"))
 
 
-def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows whose `key` is `wanted`, and a few more, told by a broadcast bitmap of bounded size."""
-
-    def at(column: str) -> tuple[Column, Column]:
-        bit = F.pmod(F.col(column), F.lit(MARKS))
-        return F.floor(bit / 64), (bit % 64).cast("int")
-
-    word, bit = at("wanted")
-    marks = wanted.select(word.alias("_word"), bit.alias("_bit"))
-    words = marks.groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
-    word, bit = at("key")
-    found = rows.withColumn("_word", word).join(F.broadcast(words), "_word").filter(F.getbit("_bits", bit) == 1)
-    return found.select(*rows.columns)
-
-
 def join_regions(rows: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, label) for (node, region, size, first, key): the components within regions.
 
@@ -577,13 +679,22 @@ def join_regions(rows: DataFrame, members: DataFrame, k: int, percent: int) -> D
         found = marked(rows, wanted).join(wanted, (F.col("key") == F.col("wanted")) & F.col("id").eqNullSafe(F.col("first")))
         return found.select("region", "weight", "count", "node", "text").mapInPandas(shingled, schema)
 
-    labels = join_small(fetched(f"weight <= {TASK_SHINGLES}").select("region", "node", "shingles"), percent)
-    if not weighed.filter(F.col("weight") > TASK_SHINGLES).isEmpty():
-        # A skewed join may have split the rows of one text over tasks.
-        large = stored(fetched(f"weight > {TASK_SHINGLES}").dropDuplicates(["node"]), "regions-large")
-        labels = labels.unionByName(join_large(large, percent))
+    small, beyond = f"weight <= {TASK_SHINGLES}", f"weight > {TASK_SHINGLES}"
+    labels, done = join_small(fetched(small).select("region", "node", "shingles"), percent), [weighed]
+    if not weighed.filter(beyond).isEmpty():
+        large = stored(fetched(beyond), "regions-large")
+        if large.count() > large.select("node").distinct().count():
+            # A skewed join has split the rows of one text over tasks.
+            repeated, large = large, stored(large.dropDuplicates(["node"]), "regions-large")
+            discard(repeated)
+        finer = narrowed(large, percent)
+        discard(large)
+        done.append(finer)
+        labels = labels.unionByName(join_small(finer.filter(small).select("region", "node", "shingles"), percent))
+        if not finer.filter(beyond).isEmpty():
+            labels = labels.unionByName(join_large(stored(finer.filter(beyond), "regions-large"), percent))
     found = stored(labels.distinct(), "jaccard-labels")
-    discard(weighed)
+    discard(*done)
     return found
 
 

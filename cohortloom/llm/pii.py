@@ -28,7 +28,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.llm.common import stored, text_of
+from cohortloom.llm.common import flagged, stored, text_of
 from cohortloom.llm.spans import ROW, found, joined, uncovered, with_row
 
 KINDS = ("email", "ip", "card", "phone")
@@ -264,9 +264,11 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     reached = F.coalesce(F.max("end").over(before), F.lit(0))
     # What an earlier span covers is cut off a later one.
     apart = chosen.withColumn("start", F.greatest("start", reached)).filter("start < end")
-    edits = apart.groupBy(ROW).agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("edits"))
+    edits = stored(apart.groupBy(ROW).agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("edits")), "pii-edits")
+    # Texts without an edit, which is most, stay where they are; the join decides on the others.
+    told = flagged(rows.withColumn("key", F.xxhash64(ROW)), edits.select(F.xxhash64(ROW).alias("wanted")), "_edited")
     # Characters as an array: cutting pieces out of it takes time in proportion to the text, however many there are.
-    edited = rows.join(edits, ROW).withColumn("chars", F.split(f"doc.{text_col}", ""))
+    edited = told.filter("_edited").join(edits, ROW, "left").withColumn("chars", F.split(f"doc.{text_col}", ""))
     pieces = F.expr("""
         transform(edits, (e, i) -> concat(
             array_join(slice(chars, int(if(i = 0, 0L, edits[i - 1].end)) + 1, int(e.start - if(i = 0, 0L, edits[i - 1].end))), ''),
@@ -274,6 +276,6 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """)
     tail = F.expr("array_join(slice(chars, int(element_at(edits, -1).end) + 1, size(chars)), '')")
     text = F.concat(F.array_join(pieces, ""), tail)
-    changed = edited.select(F.col("doc").withField(text_col, text).alias("doc"))
-    same = rows.join(edits.select(ROW), ROW, "left_anti").select("doc")
+    changed = edited.select(F.when(F.col("edits").isNull(), F.col("doc")).otherwise(F.col("doc").withField(text_col, text)).alias("doc"))
+    same = told.filter("not _edited").select("doc")
     return changed.unionByName(same).select("doc.*")

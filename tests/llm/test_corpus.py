@@ -112,6 +112,29 @@ def test_components_match_all_pairs(spark, monkeypatch, limits):
     assert got == expected
 
 
+def test_regions_of_shared_passages_are_narrowed(spark, monkeypatch):
+    """Texts that only share a passage chain into one region; what goes beyond a task is the group of near copies."""
+    large, regions, whole, narrow = [], [], jaccard.join_large, jaccard.narrowed
+    monkeypatch.setattr(jaccard, "join_large", lambda members, percent: large.append({r.node for r in members.collect()}) or whole(members, percent))
+    monkeypatch.setattr(jaccard, "narrowed", lambda members, percent: regions.append(members.count()) or narrow(members, percent))
+    for name, limit in {"TASK_SHINGLES": 1500, "PIVOTS": 4, "MORE_PIVOTS": 6, "BLOCK_CELLS": 700, "BUCKET_CELLS": 200}.items():
+        monkeypatch.setattr(jaccard, name, limit)
+    rng = random.Random(11)
+    passages = [[f"p{i}x{j}" for j in range(100)] for i in range(2)]
+    texts = [passages[i % 2] + [f"own{i}x{j}" for j in range(40)] for i in range(40)]
+    texts += [t[:-4] + ["edited"] + t[-3:] for t in texts[:4]] + [t[:60] + ["edited"] + t[61:] for t in texts[2:4]]
+    copied = [f"c{j}" for j in range(140)]
+    for _ in range(20):
+        copied = list(copied)
+        copied[rng.randrange(140)] = f"w{rng.randrange(400)}"
+        texts.append(copied)
+    rows = [(100 + i, " ".join(t)) for i, t in enumerate(texts)]
+    rng.shuffle(rows)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.classes(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect())
+    assert got == brute_components(rows, 4, 85)
+    assert regions == [66] and [len(nodes) for nodes in large] == [20]
+
+
 def test_linked_sets_share_a_cell():
     rng = np.random.default_rng(5)
     cells = jaccard.Cells(85)

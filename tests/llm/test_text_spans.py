@@ -116,6 +116,21 @@ def test_redaction_leaves_nothing_and_keeps_the_rest(spark):
         assert all(p in (row.chars or "") for p in pieces)
 
 
+def test_texts_without_personal_data_are_not_shuffled(spark):
+    plain = [(i, f"nothing to see in text {i}") for i in range(300)]
+    found = [(1000 + i, f"write to a{i}@b.org") for i in range(5)]
+    docs = spark.createDataFrame([*plain, *found, (2000, None)], EMPTY).repartition(4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        redacted = pii.redact(docs)
+        plan = redacted._jdf.queryExecution().executedPlan().toString()
+        assert {(r.doc_id, r.text) for r in redacted.collect()} == {*plain, *[(i, "write to [EMAIL]") for i, _ in found], (2000, None)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plan.count("SortMergeJoin") == 1 and "getbit" in plan.split("SortMergeJoin")[1]
+
+
 def disguised_and_plain(seed=8):
     """Documents with personal data in plain writing, in disguise, and with what only resembles it."""
     rng = random.Random(seed)
