@@ -11,7 +11,7 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.hashing import length_prefixed
 from cohortloom.operators.cleaning import timestamp
+from cohortloom.operators.forest import CountedForest
 
 PROBABILITY_DIGITS = 4
 
@@ -60,7 +61,7 @@ def forest(
     return Pipeline(
         stages=[
             *_prepare(label, labels, features, "features"),
-            RandomForestClassifier(labelCol="label_index", numTrees=trees, maxDepth=depth, seed=seed),
+            CountedForest(labelCol="label_index", numTrees=trees, maxDepth=depth, seed=seed),
         ]
     )
 
