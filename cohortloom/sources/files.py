@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,24 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Inside, what a job has shuffled is deleted when the job ends, not when the driver happens to collect garbage.
+
+    For jobs whose frames run once, as those that store them. Run again, they shuffle again.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of a partition column, from the names of the directories alone."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -160,13 +179,14 @@ def write_searchable(
     )
 
 
-def write_manifest(split: DataFrame, path: str) -> None:
+def write_manifest(split: DataFrame, path: str, dealt: bool = False) -> None:
     """Split rows as Parquet, one directory per side so a side can be read alone.
 
-    The rows are dealt out evenly, because a fit reads them many times over.
+    The rows are dealt out evenly, because a fit reads them many times over; those that
+    are `dealt` out already stay where they are.
     """
     parts = int(split.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    split.repartition(parts).write.mode("errorifexists").partitionBy("split").parquet(path)
+    (split if dealt else split.repartition(parts)).write.mode("errorifexists").partitionBy("split").parquet(path)
 
 
 def read_manifest(spark: SparkSession, path: str, side: str | None = None) -> DataFrame:

@@ -89,20 +89,21 @@ class CohortStore:
         `limits` the audit gates the load (see `AuditStore.add`); without, whatever is
         invalid is loaded, as missing or with an unknown label, and only counted.
         """
-        sheet = self.sheet(spark, path)
-        lax = {f"invalid_{name}": None for name in (self.schema.number, self.schema.category, self.schema.label)}
-        self.audits.add(version, sheet, limits=dict(limits) if limits is not None else {**lax, "invalid_risk_scale": None})
-        loads, name = f"{self.root}/loads", F.lit(f"v-{version}")
-        enriched = cleaning.enrich(sheet, self.schema, version, now).withColumn(LOAD, name)
-        enriched.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(LOAD).parquet(loads)
-        loaded = spark.read.parquet(loads).where(F.col(LOAD) == name).drop(LOAD)
-        counts = self.table.merge(loaded, now, order="updated_at")
-        counts["rows"] = loaded.count()
-        rows = self.table.read(spark)
-        store.append_snapshot(distribution.distribution_table(rows, self.schema), f"{self.root}/snapshots", now)
-        self._verify(spark, rows)
-        self._register(spark, version, counts, now)
-        return counts
+        with files.shuffles_dropped(spark):
+            sheet = self.sheet(spark, path)
+            lax = {f"invalid_{name}": None for name in (self.schema.number, self.schema.category, self.schema.label)}
+            self.audits.add(version, sheet, limits=dict(limits) if limits is not None else {**lax, "invalid_risk_scale": None})
+            loads, name = f"{self.root}/loads", F.lit(f"v-{version}")
+            enriched = cleaning.enrich(sheet, self.schema, version, now).withColumn(LOAD, name)
+            enriched.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy(LOAD).parquet(loads)
+            loaded = spark.read.parquet(loads).where(F.col(LOAD) == name).drop(LOAD)
+            counts = self.table.merge(loaded, now, order="updated_at")
+            counts["rows"] = loaded.count()
+            rows = self.table.read(spark)
+            store.append_snapshot(distribution.distribution_table(rows, self.schema), f"{self.root}/snapshots", now)
+            self._verify(spark, rows)
+            self._register(spark, version, counts, now)
+            return counts
 
     def _verify(self, spark: SparkSession, rows: DataFrame) -> None:
         """Ids unique, signatures whole where no feature is missing, columns complete, no sheet header left."""

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortloom.sources.files import exists, scratch_dir
+from cohortloom.sources.files import exists, remove, scratch_dir, shuffles_dropped
 from cohortloom.sources.store import changes, dedupe_batch, merged_rows
 
 BUCKET = "_bucket"
@@ -84,7 +84,15 @@ class KeyedTable:
             without = typed.where(F.col(self.key).isNull()).count()
             if without:
                 raise KeyedTableError(f"{without} rows of the batch have no {self.key}")
-        dedupe_batch(typed, self.key, order).withColumn(BUCKET, self.bucket()).write.parquet(f"{place}/batch")
+        with shuffles_dropped(spark):
+            counts = self._replace(spark, typed, place, now, order)
+        remove(spark, place)
+        return counts
+
+    def _replace(self, spark: SparkSession, typed: DataFrame, place: str, now: datetime, order: str | None) -> dict[str, int]:
+        fields = typed.columns
+        once = dedupe_batch(typed, self.key, order).withColumn(BUCKET, self.bucket())
+        once.write.option("compression", "zstd").parquet(f"{place}/batch")
         fresh = spark.read.parquet(f"{place}/batch")
         touched = [row[0] for row in fresh.select(BUCKET).distinct().collect()]  # at most `buckets` numbers
         if not touched:
@@ -92,9 +100,11 @@ class KeyedTable:
         current = self._rows(spark).where(F.col(BUCKET).isin(touched))
         facts = Observation()
         merged = merged_rows(current, fresh, self.key, fields, now, [BUCKET]).observe(facts, *changes())
-        merged = merged.select(*self.schema.names, BUCKET)
+        # Stored as the join leaves them: dealt out by bucket once, when they replace the table's.
+        merged.select(*self.schema.names, BUCKET).write.option("compression", "zstd").parquet(f"{place}/merged")
+        remove(spark, f"{place}/batch")
         # One bucket goes to one file or a few, not to one from every task.
-        merged.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{place}/merged")
         ready = spark.read.schema(self._stored_schema()).parquet(f"{place}/merged").repartition(BUCKET)
-        ready.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path)
+        stored = ready.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
+        stored.partitionBy(BUCKET).parquet(self.path)
         return {name: int(value or 0) for name, value in facts.get.items()}
