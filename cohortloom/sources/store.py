@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortloom.operators.cleaning import timestamp
-from cohortloom.sources.files import partition_values, scratch_dir
+from cohortloom.sources.files import partition_values, remove, scratch_dir, shuffles_dropped
 
 
 def dedupe_batch(batch: DataFrame, key: str, order: str | None) -> DataFrame:
@@ -176,7 +176,26 @@ def latest_snapshot(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _replace_parts(rows: DataFrame, path: str, column: str) -> None:
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    stored = rows.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic")
+    stored.partitionBy(column).parquet(path)
+
+
+MARKS = 1 << 24  # bits that tell most ids that do not repeat from those that do, whatever their number
+
+
+def _once(rows: DataFrame, key: str) -> DataFrame:
+    """`dropDuplicates` by a column that rarely repeats, over stored rows: only hashes of it are
+    shuffled, and the rows whose hash repeats, told by a broadcast bitmap of bounded size."""
+    spot = F.pmod(F.xxhash64(key), F.lit(MARKS))
+    word, bit = F.floor(spot / 64), (spot % 64).cast("int")
+    repeated = rows.select(F.xxhash64(key).alias("_hash")).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    marks = repeated.select(F.pmod("_hash", F.lit(MARKS)).alias("_spot"))
+    marks = marks.select(F.floor(F.col("_spot") / 64).alias("_word"), (F.col("_spot") % 64).cast("int").alias("_bit"))
+    words = marks.groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    told = rows.withColumns({"_word": word, "_at": bit}).join(F.broadcast(words), "_word", "left")
+    told = told.withColumn("_maybe", F.coalesce(F.getbit("_bits", F.col("_at")) == 1, F.lit(False)))
+    alone = told.where(~F.col("_maybe")).select(*rows.columns)
+    return alone.unionByName(told.where("_maybe").select(*rows.columns).dropDuplicates([key]))
 
 
 def append_predictions(scored: DataFrame, path: str, batch: str) -> bool:
@@ -192,15 +211,18 @@ def append_predictions(scored: DataFrame, path: str, batch: str) -> bool:
     """
     spark = scored.sparkSession
     place = f"{scratch_dir(spark)}/scored"
-    scored.dropDuplicates(["prediction_id"]).write.parquet(place)
+    scored.write.option("compression", "zstd").parquet(place)
     # Letters before the digits, so that no reader takes the name for a number.
     named = F.concat(F.lit("b-"), F.sha2(F.concat_ws("|", "model_run_id", F.lit(batch)), 256).substr(1, 32))
-    stored = spark.read.schema(scored.schema).parquet(place).withColumn(PART, named)
+    stored = _once(spark.read.schema(scored.schema).parquet(place), "prediction_id").withColumn(PART, named)
     try:
-        _replace_parts(stored, path, PART)
+        with shuffles_dropped(spark):
+            _replace_parts(stored, path, PART)
     except Exception as error:  # noqa: BLE001 - whatever the sink raises
         print(f"prediction log not written: {error}")
         return False
+    finally:
+        remove(spark, place)
     return True
 
 

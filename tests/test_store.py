@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortloom.operators import cleaning, search
 from cohortloom.sources import files, keyed, store
@@ -270,3 +271,53 @@ def test_scratch_uses_the_shared_folder():
     first, second = (files.scratch_dir(session("hdfs://shared/work/")) for _ in range(2))
     assert first != second and first.startswith("hdfs://shared/work/cohortloom-")
     assert files.scratch_dir(session(None)).startswith("file:/warehouse/cohortloom-")
+
+
+def scratch(spark, monkeypatch, tmp_path):
+    """From now on scratch folders are made below `tmp_path`; what is left in them."""
+    import uuid
+
+    for module in (files, keyed, store):
+        monkeypatch.setattr(module, "scratch_dir", lambda _: f"{tmp_path}/scratch/{uuid.uuid4().hex}")
+    return lambda: sorted(str(path) for path in (tmp_path / "scratch").rglob("*.parquet"))
+
+
+def shuffled(spark):
+    return spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().size()
+
+
+def test_what_a_job_shuffles_goes_with_it(spark, tmp_path):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, before = spark.conf.get(name), shuffled(spark)
+    with files.shuffles_dropped(spark):
+        assert spark.conf.get(name) == "true"
+        spark.range(1000).repartition(5).write.parquet(f"{tmp_path}/rows")
+    assert shuffled(spark) <= before and spark.conf.get(name) == was
+    with pytest.raises(ZeroDivisionError), files.shuffles_dropped(spark):
+        1 / 0
+    assert spark.conf.get(name) == was
+
+
+def test_merges_and_logs_leave_no_scratch(spark, tmp_path, monkeypatch):
+    left = scratch(spark, monkeypatch, tmp_path)
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "id int, note string")
+    table = keyed.KeyedTable(f"{tmp_path}/table", "id", T.StructType([*rows.schema.fields, T.StructField("created_at", T.TimestampNTZType())]), 4)
+    before = shuffled(spark)
+    for _ in range(2):
+        counts = table.merge(rows, datetime(2024, 1, 1))
+    assert counts == {"total": 3, "inserted": 0, "matched": 3, "modified": 0}
+    assert sorted(table.read(spark).select("note").collect()) == [("a",), ("b",), ("c",)]
+    assert left() == [] and shuffled(spark) <= before
+    scored = rows.select(F.col("note").alias("prediction_id"), F.lit("r").alias("model_run_id"))
+    assert store.append_predictions(scored.union(scored), f"{tmp_path}/log", "1")
+    assert store.read_predictions(spark, f"{tmp_path}/log").count() == 3 and left() == []
+
+
+def test_repeated_ids_are_dropped_wherever_their_hashes_meet(spark, monkeypatch):
+    """Also rows whose id repeats nowhere but meets a repeated one in the bitmap, null ids and columns that cannot be compared."""
+    rows = spark.range(300).select((F.col("id") % 200).cast("string").alias("id"), F.create_map(F.lit("k"), F.col("id") % 200).alias("map"))
+    rows = rows.unionByName(spark.createDataFrame([(None, None), (None, None)], "id string, map map<string, bigint>"))
+    for marks in (64, 128, store.MARKS):
+        monkeypatch.setattr(store, "MARKS", marks)
+        got = store._once(rows, "id").collect()
+        assert len(got) == 201 and {(r.id, r.map and r.map["k"]) for r in got} == {*((str(i), i) for i in range(200)), (None, None)}
