@@ -29,7 +29,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortloom.sources.files import remove, scratch_dir
+from cohortloom.sources.files import remove, scratch_dir, shuffles_dropped
 
 CHUNK = 1 << 16  # rows walked at once
 BLOCK = 64  # nodes whose counts are added up in one group
@@ -75,7 +75,8 @@ class CountedForest(RandomForestClassifier):
         values = np.array([row.x for row in drawn.collect()]).reshape(-1, width)
         splits = [split_points(values[:, at], min(self.getMaxBins(), total)) for at in range(width)]
         rows.mapInArrow(_binned(splits), "at bigint, cells binary").write.parquet(f"{place}/cells")
-        grown = grow(spark.read.parquet(f"{place}/cells"), self, splits, classes)
+        with shuffles_dropped(spark):
+            grown = grow(spark.read.parquet(f"{place}/cells"), self, splits, classes)
         model = as_model(spark, self, grown, splits, classes, f"{place}/model")
         remove(spark, place)
         return model

@@ -90,3 +90,16 @@ def test_odd_rows(spark, cohort):  # noqa: F811
     assert told(model.fit(narrow, cohort, S.features)) == told(whole)
     with pytest.raises(Exception):
         grown(cohort.where("id = 'none'"))
+
+
+def test_a_comparison_grows_its_forest_by_counting(cohort, monkeypatch):  # noqa: F811
+    grow, seen = forest.grow, []
+    monkeypatch.setattr(forest, "grow", lambda cells, *more: seen.append(cells.count()) or grow(cells, *more))
+    split = cohort.withColumn("split", F.when(F.col("id") % 4 == 0, "test").otherwise("train"))
+    pipelines = {
+        "logistic": model.logistic(S.label, S.labels, S.features, max_iter=5),
+        "forest": model.forest(S.label, S.labels, S.features, trees=3, depth=3),
+    }
+    compared = model.compare(pipelines, split, S.label, S.labels, S.features).collect()
+    assert {(row.model, row.n, row.n_unscored) for row in compared} == {("logistic", 150, 0), ("forest", 150, 0)}
+    assert seen == [450]
